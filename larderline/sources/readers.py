@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larderline.config import FOOD_RELEASES
 from larderline.sources import schemas as S
 
 
@@ -133,31 +134,27 @@ def document_texts(spark: SparkSession, path: str) -> DataFrame:
             .select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("doc")))
 
 
-def bulk(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One table of every bulk release below ``path``, with the release folder and row order.
+def bulk(spark: SparkSession, path: str, table: str, releases=tuple(FOOD_RELEASES)) -> DataFrame:
+    """One table of the bulk releases below ``path``, all text, with release and row order.
 
-    Releases carry different sets of columns, so each file's own header is
-    read and the wanted columns are picked by name.
+    Releases carry different columns; each is read by its own header and the
+    wanted columns are taken by name, null where a release has none. A release
+    without the table (the two category tables) is left out.
     """
     wanted = [f.split()[0] for f in S.BULK[table].split(", ")]
-    raw = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"{table}.csv")
-           .option("wholetext", False).text(path)
-           .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                   F.monotonically_increasing_id().alias("row")))
-    head = raw.groupBy("file").agg(F.min_by("value", F.struct("block", "row")).alias("header"),
-                                   F.min(F.struct("block", "row")).alias("at"))
-    # a header is short and plain; its names are split once per file
-    names = F.transform(F.split("header", ","), lambda n: F.trim(F.translate(n, '"\r﻿', "")))
-    body = raw.join(head.select("file", names.alias("names"), "at"), "file").filter(F.struct("block", "row") > F.col("at"))
-    cells = F.transform(F.regexp_extract_all("value", F.lit(r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'), F.lit(1)),
-                        lambda c: F.when(c.startswith('"'), F.replace(F.regexp_replace(c, '^"|"\r?$', ""), F.lit('""'), F.lit('"')))
-                        .otherwise(F.rtrim(c)))
-    body = body.withColumn("cells", cells)
-    cell = lambda n: F.when(F.array_position("names", n) > 0,
-                            F.get("cells", (F.array_position("names", n) - 1).cast("int")))
-    release = F.regexp_extract("file", r"/(FoodData_Central_[^/]+)/", 1)
-    return body.select(release.alias("release"), F.struct("file", "block", "row").alias("ord"),
-                       *[cell(n).alias(n) for n in wanted])
+    out = None
+    for release in releases:
+        rows = (spark.read.option("header", True).option("recursiveFileLookup", True).option("escape", '"')
+                .option("multiLine", True).option("pathGlobFilter", f"{table}.csv").csv(f"{path}/{release}"))
+        if not rows.columns:
+            continue
+        part = rows.select(
+            F.lit(release).alias("release"),
+            F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("row")).alias("ord"),
+            *[F.col(f"`{c}`") if c in rows.columns else F.lit(None).cast("string").alias(c) for c in wanted])
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def food_categories(spark: SparkSession, path: str) -> DataFrame:
