@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import json
 import unicodedata
 from functools import lru_cache
 from typing import Mapping, Sequence
@@ -29,16 +30,27 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
     return "".join(one_from), "".join(one_to), longer
 
 
+def _ranges(chars: Sequence[str]) -> str:
+    """Characters as ranges of a regex class."""
+    codes, out = sorted(map(ord, chars)), []
+    for code in codes:
+        if out and out[-1][1] == code - 1:
+            out[-1][1] = code
+        else:
+            out.append([code, code])
+    return "".join(f"\\x{{{lo:x}}}-\\x{{{hi:x}}}" for lo, hi in out)
+
+
 def fold(c: Column) -> Column:
     """ASCII form of a text: accents dropped, compatibility forms spelled out, the rest removed."""
     one_from, one_to, longer = _fold_tables()
-    single = F.translate(c, one_from, one_to)
-    spell = F.create_map(*[F.lit(x) for kv in longer.items() for x in kv])
-    spelled = F.array_join(
-        F.transform(F.regexp_extract_all(single, F.lit("(?s)(.)"), F.lit(1)),
-                    lambda ch: F.coalesce(spell[ch], ch)), "")
-    has_longer = single.rlike("[" + "".join(longer) + "]")
-    ascii_only = F.regexp_replace(F.when(has_longer, spelled).otherwise(single), r"[^\x00-\x7F]", "")
+    # after one-letter forms are replaced, only ASCII and the longer forms are of interest
+    single = F.regexp_replace(F.translate(c, one_from, one_to), r"[^\x00-\x7F" + _ranges(list(longer)) + "]", "")
+    spell = F.from_json(F.lit(json.dumps(longer)), "map<string,string>")
+    pieces = F.regexp_extract_all(single, F.lit(r"([\x00-\x7F]+|[^\x00-\x7F])"), F.lit(1))
+    spelled = F.array_join(F.transform(
+        pieces, lambda p: F.when(p.rlike(r"^[\x00-\x7F]"), p).otherwise(spell[p])), "")
+    ascii_only = F.when(single.rlike(r"[^\x00-\x7F]"), spelled).otherwise(single)
     return F.when(c.rlike(r"[^\x00-\x7F]"), ascii_only).otherwise(c)
 
 
