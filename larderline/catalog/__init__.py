@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("risk", "places")
+MODULES = ("risk", "places", "inspections", "items", "foods")
 
 
 def load() -> tuple[dict, dict]:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import difflib
-import json
 import unicodedata
 from functools import lru_cache
 from typing import Mapping, Sequence
@@ -30,6 +29,12 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
     return "".join(one_from), "".join(one_to), longer
 
 
+def constant_map(entries: Mapping[str, str]) -> Column:
+    """A map as one text literal, which the optimizer turns into a map literal once."""
+    text = "\x01".join(f"{k}\x02{v}" for k, v in entries.items())
+    return F.str_to_map(F.lit(text), F.lit("\x01"), F.lit("\x02"))
+
+
 def _ranges(chars: Sequence[str]) -> str:
     """Characters as ranges of a regex class."""
     codes, out = sorted(map(ord, chars)), []
@@ -46,7 +51,7 @@ def fold(c: Column) -> Column:
     one_from, one_to, longer = _fold_tables()
     # after one-letter forms are replaced, only ASCII and the longer forms are of interest
     single = F.regexp_replace(F.translate(c, one_from, one_to), r"[^\x00-\x7F" + _ranges(list(longer)) + "]", "")
-    spell = F.from_json(F.lit(json.dumps(longer)), "map<string,string>")
+    spell = constant_map(longer)
     pieces = F.regexp_extract_all(single, F.lit(r"([\x00-\x7F]+|[^\x00-\x7F])"), F.lit(1))
     spelled = F.array_join(F.transform(
         pieces, lambda p: F.when(p.rlike(r"^[\x00-\x7F]"), p).otherwise(spell[p])), "")
@@ -67,8 +72,8 @@ def name_tokens(c: Column, stop_words: Sequence[str]) -> Column:
     words = F.split(F.trim(F.regexp_replace(s, r"[^a-z0-9]+", " ")), " ")
     stop = F.array(*[F.lit(w) for w in (*stop_words, "")])
     kept = F.filter(words, lambda w: ~F.array_contains(stop, w))
-    return F.transform(kept, lambda w: F.when(w.rlike("^.{2,}[^s]s$"), F.regexp_replace(w, "s$", ""))
-                       .otherwise(w))
+    return F.transform(kept, lambda w: F.when(
+        (F.length(w) > 3) & w.endswith("s") & ~w.endswith("ss"), F.substring(w, F.lit(1), F.length(w) - 1)).otherwise(w))
 
 
 def slug(c: Column) -> Column:
@@ -130,27 +135,24 @@ def short_number(c: Column) -> Column:
 
 def singular(w: Column) -> Column:
     """Plural to singular, roughly: pizzas -> pizza, tomatoes -> tomato."""
-    return (F.when(w.rlike("^.{2,}[^s]es$"), F.regexp_replace(w, "es$", ""))
-            .when(w.rlike("^.{2,}[^s]s$"), F.regexp_replace(w, "s$", ""))
+    n, less = F.length(w), lambda k: F.substring(w, F.lit(1), F.length(w) - k)
+    return (F.when((n > 4) & w.endswith("es") & ~w.endswith("ses"), less(2))
+            .when((n > 3) & w.endswith("s") & ~w.endswith("ss"), less(1))
             .otherwise(w))
 
 
 def search_tokens(c: Column, prefix_length: int) -> Column:
-    """Singular words of more than two letters, each followed by its ``~prefix`` key when long."""
-    words = F.regexp_extract_all(F.lower(fold(F.coalesce(c, F.lit("")))), F.lit("([a-z]+)"), F.lit(1))
-    words = F.filter(words, lambda w: F.length(w) > 2)
-    keyed = F.transform(words, lambda w: F.when(
-        F.length(w) >= prefix_length,
-        F.array(singular(w), F.concat(F.lit("~"), F.substring(w, 1, prefix_length))))
-        .otherwise(F.array(singular(w))))
-    return F.flatten(keyed)
-
-
-def expand_aliases(tokens: Column, text: Column, aliases: Mapping[str, str]) -> Column:
-    """The text followed by the words its tokens stand for."""
-    table = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv])
-    extra = F.transform(tokens, lambda t: table[t])
-    return F.concat_ws(" ", text, F.array_join(extra, " "))
+    """Singular words of more than two letters, and the ``~prefix`` key of the long ones."""
+    text = F.lower(fold(F.coalesce(c, F.lit(""))))
+    words = F.regexp_extract_all(text, F.lit("([a-z]{3,})"), F.lit(1))
+    keys = F.regexp_extract_all(text, F.lit(f"([a-z]{{{prefix_length}}})[a-z]*"), F.lit(1))
+    return F.concat(F.transform(words, singular), F.transform(keys, lambda k: F.concat(F.lit("~"), k)))
+
+
+def alias_words(tokens: Column, aliases: Mapping[str, str]) -> Column:
+    """The words that the tokens stand for, as one text."""
+    table = constant_map(aliases)
+    return F.array_join(F.filter(F.transform(tokens, lambda t: table[t]), lambda w: w.isNotNull()), " ")
 
 
 def text_hash(c: Column, n: int = 20) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larderline.functions import geo
-from larderline.operators.ordering import ROWS_PER_TASK, first_rows, ordered_position
+from larderline.operators.ordering import ROWS_PER_TASK, each, first_rows, ordered_position
 from larderline.session import cut
 
 FOLD_ROWS = 2_000  # names on more rows than this are decided in rounds over a grid
@@ -32,12 +32,12 @@ def _kept_in_rounds(rows: DataFrame, limit_m: float) -> DataFrame:
     kept = None
     while not open_rows.isEmpty():
         heads = first_rows(open_rows, ["_norm", "_y", "_x"], [F.asc("_ord")])
-        spread = heads.withColumn("_c", F.explode(near))
+        spread = each(heads, near, "_c")
         earliest = spread.groupBy("_norm", F.col("_c.y").alias("_y"), F.col("_c.x").alias("_x")).agg(
             F.min("_ord").alias("_first"))
         winners = cut(heads.join(earliest, ["_norm", "_y", "_x"]).filter("_ord = _first").drop("_first"))
         kept = winners if kept is None else kept.unionByName(winners)
-        reach = winners.withColumn("_c", F.explode(near)).select(
+        reach = each(winners, near, "_c").select(
             F.col("_norm").alias("w_norm"), F.col("_c.y").alias("w_y"), F.col("_c.x").alias("w_x"),
             F.col("lat").alias("w_lat"), F.col("lon").alias("w_lon"))
         close = geo.metres(F.col("lat"), F.col("lon"), F.col("w_lat"), F.col("w_lon")) <= limit_m
@@ -56,7 +56,7 @@ def _kept_by_fold(rows: DataFrame, limit_m: float) -> DataFrame:
         lambda acc, p: F.when(
             F.exists(acc, lambda q: geo.metres(p["lat"], p["lon"], q["lat"], q["lon"]) <= limit_m),
             acc).otherwise(F.concat(acc, F.array(p))))
-    return listed.select("_norm", F.explode(F.transform(kept, lambda p: p["o"])).alias("_ord"))
+    return each(listed, F.transform(kept, lambda p: p["o"]), "_ord").select("_norm", "_ord")
 
 
 def keep_distinct_places(places: DataFrame, name_key: Column, ordinal: str, limit_m: float,

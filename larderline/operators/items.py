@@ -92,6 +92,12 @@ def manifest(documents: DataFrame) -> DataFrame:
                             "source", "as_of")
 
 
+def manifest_from_rows(documents: DataFrame, items: DataFrame, key: str) -> DataFrame:
+    """Documents with the number of item rows that carry their key."""
+    n = items.groupBy(key).agg(F.count(F.lit(1)).alias("items_count"))
+    return documents.join(n, key, "left").withColumn("items_count", F.coalesce("items_count", F.lit(0)))
+
+
 def median_price(items: DataFrame, place: str, price: str, unique: str,
                  rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Exact median price per place, from positions in the price order."""

@@ -78,6 +78,10 @@ def latest_rows(df: DataFrame, keys: Sequence[str], version: Sequence[str]) -> D
     return first_rows(df, keys, [F.col(c).desc() for c in version])
 
 
-def scalar(df: DataFrame) -> Column:
-    """A one-row, one-column result as a column."""
-    return df.scalar()
+def each(df: DataFrame, array: Column | str, out: str) -> DataFrame:
+    """One row per element, none for an empty or missing array; elements are not null.
+
+    A plain ``explode`` also makes the optimizer filter on the size of the
+    array below the projections, which computes a costly array again.
+    """
+    return df.withColumn(out, F.explode_outer(array)).filter(F.col(out).isNotNull())

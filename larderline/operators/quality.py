@@ -11,6 +11,7 @@ from larderline.config import (DocumentRules, FoodRules, FreshnessRules, Nutrien
 from larderline.functions.numbers import printed_tolerance
 from larderline.functions.text import item_text, text_hash
 from larderline.operators.dedup import duplicates
+from larderline.operators.ordering import each
 from larderline.operators.retrieval import record_kind
 
 
@@ -247,8 +248,7 @@ def nutrient_bounds(rows: DataFrame, food: str, rules: NutrientRules = NutrientR
         lambda c: F.struct(c["field"].alias("field"), c["value"].alias("value")))
     over = F.filter(F.array(F.struct(F.lit("sum").alias("field"), total.alias("value"))),
                     lambda c: c["value"].isNotNull() & (c["value"] > rules.sum_max))
-    return (rows.select(food, F.explode(F.concat(outside, over)).alias("b"))
-            .select(food, "b.field", "b.value"))
+    return each(rows, F.concat(outside, over), "b").select(food, "b.field", "b.value")
 
 
 def record_set(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -318,12 +318,12 @@ def pattern_scan(texts: DataFrame, patterns: Sequence[tuple[str, str]], exempt:
             lambda acc, p: F.struct(
                 (acc["at"] + F.length(p["gap"]) + F.length(p["match"])).alias("at"),
                 F.concat(acc["starts"], F.array(acc["at"] + F.length(p["gap"]))).alias("starts")))
-        each = (hit.withColumn("_f", found).withColumn("_s", steps["starts"])
-                .withColumn("_m", F.explode(F.arrays_zip(F.col("_s").alias("at"), F.col("_f").alias("match")))))
+        found_rows = hit.withColumn("_f", found).withColumn("_s", steps["starts"])
+        each_match = each(found_rows, F.arrays_zip(F.col("_s").alias("at"), F.col("_f").alias("match")), "_m")
         start = F.col("_m.at")
         ahead = F.substring(F.col("text"), F.lit(1), start - 1)
         left = F.greatest(start - context, F.lit(1))
-        out.append(each.select(
+        out.append(each_match.select(
             "path", F.lit(label).alias("label"),
             (F.length(ahead) - F.length(F.translate(ahead, "\n", "")) + 1).alias("line"),
             F.col("_m.match").alias("match"),

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larderline.config import SURVEY, FoodRules
-from larderline.functions.text import expand_aliases, search_tokens
-from larderline.operators.ordering import first_rows
+from larderline.functions.text import alias_words, search_tokens
+from larderline.operators.ordering import each, first_rows
+from larderline.session import cut
 
 
 def candidate_foods(foods: DataFrame, rules: FoodRules = FoodRules()) -> DataFrame:
@@ -17,21 +18,21 @@ def candidate_foods(foods: DataFrame, rules: FoodRules = FoodRules()) -> DataFra
             .withColumn("pool", F.when(survey, "dish").otherwise("single")))
 
 
-def item_weights(section: Column, name: Column, description: Column, rules: FoodRules = FoodRules()) -> Column:
-    """Tokens of an item with the weight of the best field they stand in; sorted by token."""
-    fields = []
-    for text, weight in ((name, rules.name_weight), (description, rules.description_weight),
-                         (section, rules.section_weight)):
-        text = F.coalesce(text, F.lit(""))
-        wide = expand_aliases(search_tokens(text, rules.prefix_length), text, rules.aliases)
-        fields.append((F.array_distinct(search_tokens(wide, rules.prefix_length)), weight))
-    every = F.array_sort(F.array_distinct(F.concat(*[t for t, _ in fields])))
+def with_weights(items: DataFrame, out: str, rules: FoodRules = FoodRules()) -> DataFrame:
+    """Tokens of each item with the weight of the best field they stand in, sorted by token."""
+    fields = {"name": rules.name_weight, "description": rules.description_weight, "section": rules.section_weight}
+    # arrays become columns of their own, so that each text is split once and not once per token
+    own = items.withColumns({f"_o_{f}": search_tokens(F.col(f), rules.prefix_length) for f in fields})
+    wide = own.withColumns({f"_w_{f}": F.array_distinct(F.concat(
+        f"_o_{f}", search_tokens(alias_words(F.col(f"_o_{f}"), rules.aliases), rules.prefix_length))) for f in fields})
+    every = wide.withColumn("_every", F.array_sort(F.array_distinct(F.concat(*[f"_w_{f}" for f in fields]))))
 
     def weigh(t: Column) -> Column:
-        best = F.greatest(*[F.when(F.array_contains(tokens, t), weight).otherwise(0.0) for tokens, weight in fields])
+        best = F.greatest(*[F.when(F.array_contains(f"_w_{f}", t), w).otherwise(0.0) for f, w in fields.items()])
         return best * F.when(t.startswith("~"), rules.prefix_weight).otherwise(1.0)
 
-    return F.transform(every, lambda t: F.struct(t.alias("token"), weigh(t).alias("w")))
+    weighed = F.transform("_every", lambda t: F.struct(t.alias("token"), weigh(t).alias("w")))
+    return every.withColumn(out, weighed).drop("_every", *[f"_{k}_{f}" for f in fields for k in "ow"])
 
 
 def retrieve(items: DataFrame, foods: DataFrame, rules: FoodRules = FoodRules()) -> DataFrame:
@@ -50,14 +51,14 @@ def retrieve(items: DataFrame, foods: DataFrame, rules: FoodRules = FoodRules())
     """
     q = F.sha2(F.concat_ws("\x1f", *[F.coalesce(c, F.lit("")) for c in ("section", "name", "description")]), 256)
     keyed = items.withColumn("q", q)
-    texts = (keyed.select("q", "section", "name", "description").dropDuplicates(["q"])
-             .select("q", item_weights(F.col("section"), F.col("name"), F.col("description"), rules).alias("tw")))
-    words = foods.select("fdcId", "pool", F.explode(F.array_distinct(
-        search_tokens(F.col("description"), rules.prefix_length))).alias("token"))
+    texts = with_weights(keyed.select("q", "section", "name", "description").dropDuplicates(["q"]), "tw", rules)
+    # the inverted index is read three times below, so the texts are split once
+    tokens = F.array_distinct(search_tokens(F.col("description"), rules.prefix_length))
+    words = cut(each(foods.select("fdcId", "pool", "description"), tokens, "token").drop("description"))
     total = foods.agg(F.count(F.lit(1))).scalar()
     df = words.groupBy("token").agg(F.count(F.lit(1)).alias("df")).select(
         "token", F.log(total / F.col("df")).alias("idf"), (F.col("df") > rules.common_df).alias("common"))
-    asked = texts.select("q", F.explode("tw").alias("x")).select("q", "x.token", "x.w").join(df, "token")
+    asked = cut(each(texts, "tw", "x").select("q", "x.token", "x.w")).join(df, "token")
     posted = words.join(df.filter("common").select("token"), "token", "left_semi")
 
     pair = asked.select("q", "token", (F.col("w") * F.col("idf")).alias("s"), "common")
