@@ -55,8 +55,7 @@ def fold(c: Column) -> Column:
     pieces = F.regexp_extract_all(single, F.lit(r"([\x00-\x7F]+|[^\x00-\x7F])"), F.lit(1))
     spelled = F.array_join(F.transform(
         pieces, lambda p: F.when(p.rlike(r"^[\x00-\x7F]"), p).otherwise(spell[p])), "")
-    ascii_only = F.when(single.rlike(r"[^\x00-\x7F]"), spelled).otherwise(single)
-    return F.when(c.rlike(r"[^\x00-\x7F]"), ascii_only).otherwise(c)
+    return F.when(c.rlike(r"[^\x00-\x7F]"), spelled).otherwise(c)
 
 
 def normal_name(c: Column) -> Column:
@@ -133,20 +132,18 @@ def short_number(c: Column) -> Column:
     return F.when(n.isNull(), c.cast("string")).otherwise(plain)
 
 
-def singular(w: Column) -> Column:
-    """Plural to singular, roughly: pizzas -> pizza, tomatoes -> tomato."""
-    n, less = F.length(w), lambda k: F.substring(w, F.lit(1), F.length(w) - k)
-    return (F.when((n > 4) & w.endswith("es") & ~w.endswith("ses"), less(2))
-            .when((n > 3) & w.endswith("s") & ~w.endswith("ss"), less(1))
-            .otherwise(w))
-
-
 def search_tokens(c: Column, prefix_length: int) -> Column:
-    """Singular words of more than two letters, and the ``~prefix`` key of the long ones."""
+    """Words of more than two letters without their plural ending, and the ``~prefix`` key of the long ones.
+
+    The ending is taken off in the text as a whole: es (tomatoes) unless the
+    word ends in ses, else s (pizzas) unless it ends in ss.
+    """
     text = F.lower(fold(F.coalesce(c, F.lit(""))))
-    words = F.regexp_extract_all(text, F.lit("([a-z]{3,})"), F.lit(1))
+    stemmed = F.regexp_replace(text, r"(?<![a-z])([a-z]{2,}[a-rt-z])es(?![a-z])", "$1")
+    stemmed = F.regexp_replace(stemmed, r"(?<![a-z])([a-z]{2,}[a-rt-z])s(?![a-z])", "$1")
+    words = F.regexp_extract_all(stemmed, F.lit("([a-z]{3,})"), F.lit(1))
     keys = F.regexp_extract_all(text, F.lit(f"([a-z]{{{prefix_length}}})[a-z]*"), F.lit(1))
-    return F.concat(F.transform(words, singular), F.transform(keys, lambda k: F.concat(F.lit("~"), k)))
+    return F.concat(words, F.transform(keys, lambda k: F.concat(F.lit("~"), k)))
 
 
 def alias_words(tokens: Column, aliases: Mapping[str, str]) -> Column:
@@ -170,7 +167,7 @@ def item_text(section: Column, name: Column, description: Column) -> Column:
 def quotes(words: Column, text: Column) -> Column:
     """Words, trimmed, that occur in the text whatever their case."""
     low = F.lower(text)
-    trimmed = F.transform(F.coalesce(words, F.array().cast("array<string>")), F.trim)
+    trimmed = F.transform(F.coalesce(words, F.array().cast("array<string>")), lambda w: F.trim(w))
     return F.filter(trimmed, lambda w: (w != "") & F.contains(low, F.lower(w)))
 
 
