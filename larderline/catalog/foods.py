@@ -14,6 +14,7 @@ from larderline.operators.matching import token_frequency
 from larderline.operators.ordering import each
 from larderline.operators.retrieval import candidate_foods, retrieve, with_weights
 from larderline.plans import readings as plan
+from larderline.session import spread
 
 REGISTRY = Registry()
 RULES = FoodRules()
@@ -37,7 +38,7 @@ def tokens_sql(c: str) -> str:
 @REGISTRY.add("token_df", f"""
 SELECT token, count(*) AS df FROM (SELECT unnest({tokens_sql('text')}) AS token FROM documents) GROUP BY token""")
 def token_df(spark, sf):
-    return token_frequency(table(spark, sf, "documents"), search_tokens(F.col("text"), RULES.prefix_length))
+    return token_frequency(spread(table(spark, sf, "documents").select("text")), search_tokens(F.col("text"), RULES.prefix_length))
 
 
 def _foods(spark, sf):

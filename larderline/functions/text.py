@@ -183,13 +183,25 @@ def json_hash(parts: Sequence[Column], n: int = 12) -> Column:
     return F.substring(F.sha2(F.to_json(F.struct(*parts)), 256), 1, n)
 
 
-@F.pandas_udf(T.DoubleType())
-def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Matching-block ratio of two strings; null in, null out."""
-    return pd.Series([
-        None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio()
-        for x, y in zip(a, b)
-    ], dtype="float64")
+def _similarity():
+    # a nested function travels to the workers by value, so they need not have this package installed
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        known = {}
+        out = []
+        for pair in zip(a, b):
+            if pair[0] is None or pair[1] is None:
+                out.append(None)
+                continue
+            if pair not in known:
+                known[pair] = difflib.SequenceMatcher(None, *pair).ratio()
+            out.append(known[pair])
+        return pd.Series(out, dtype="float64")
+
+    return F.pandas_udf(ratio, T.DoubleType())
+
+
+# matching-block ratio of two strings, equal pairs of a batch read once; null in, null out
+similarity = _similarity()
 
 
 def similarity_ceiling(a: Column, b: Column) -> Column:

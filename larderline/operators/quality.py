@@ -13,6 +13,7 @@ from larderline.functions.text import item_text, text_hash
 from larderline.operators.dedup import duplicates
 from larderline.operators.ordering import each
 from larderline.operators.retrieval import record_kind
+from larderline.session import spread
 
 
 def problems(df: DataFrame, rule: str, key: Column, detail: Column, severity: str | Column = "fail") -> DataFrame:
@@ -306,6 +307,7 @@ def pattern_scan(texts: DataFrame, patterns: Sequence[tuple[str, str]], exempt:
     """
     for prefix in exempt:
         texts = texts.filter(~F.col("path").startswith(prefix))
+    texts = spread(texts)
     out = []
     for pattern, label in patterns:
         regex = F.lit(f"(?iuU){pattern}")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from larderline.config import SURVEY, FoodRules
 from larderline.functions.text import alias_words, search_tokens
 from larderline.operators.ordering import each, first_rows
-from larderline.session import cut
+from larderline.session import cut, spread
 
 
 def candidate_foods(foods: DataFrame, rules: FoodRules = FoodRules()) -> DataFrame:
@@ -54,7 +54,7 @@ def retrieve(items: DataFrame, foods: DataFrame, rules: FoodRules = FoodRules())
     texts = with_weights(keyed.select("q", "section", "name", "description").dropDuplicates(["q"]), "tw", rules)
     # the inverted index is read three times below, so the texts are split once
     tokens = F.array_distinct(search_tokens(F.col("description"), rules.prefix_length))
-    words = cut(each(foods.select("fdcId", "pool", "description"), tokens, "token").drop("description"))
+    words = cut(each(spread(foods.select("fdcId", "pool", "description")), tokens, "token").drop("description"))
     total = foods.agg(F.count(F.lit(1))).scalar()
     df = words.groupBy("token").agg(F.count(F.lit(1)).alias("df")).select(
         "token", F.log(total / F.col("df")).alias("idf"), (F.col("df") > rules.common_df).alias("common"))

@@ -49,3 +49,18 @@ def cut(df: DataFrame) -> DataFrame:
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many tasks as there are cores, ahead of a step that costs CPU per row.
+
+    Only for a plain scan: a few small files would else keep one core busy.
+    A large table has more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
+def wide(df: DataFrame) -> DataFrame:
+    """``df`` over the session's number of shuffle partitions, ahead of a step that multiplies its rows."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
