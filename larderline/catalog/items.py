@@ -156,3 +156,10 @@ SELECT min(strftime(o_orderdate, '%Y-%m-%d')) AS date_min, max(strftime(ts, '%Y-
 FROM (SELECT o_orderdate, NULL::TIMESTAMP AS ts FROM orders UNION ALL SELECT NULL, ts FROM events)""")
 def dataset_range(spark, sf):
     return R.dataset_range(dataset_profile(spark, sf))
+
+
+@REGISTRY.add("local_dates", "SELECT event_id, strftime(ts - INTERVAL 8 HOUR, '%Y-%m-%d') AS day FROM events")
+def local_dates(spark, sf):
+    """Calendar date of each event in a zone eight hours behind."""
+    instant = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
+    return table(spark, sf, "events").select("event_id", I.local_date(instant, "Etc/GMT+8").cast("string").alias("day"))

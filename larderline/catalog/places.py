@@ -110,7 +110,8 @@ def polygons_from_geojson(spark, sf):
     feats = readers.features(spark, path)
     lat, lon = point("s_suppkey")
     pts = table(spark, sf, "supplier").select("s_suppkey", lat.alias("lat"), lon.alias("lon"))
-    out = label_points(pts, readers.polygons(feats), "neighborhood")
+    areas = readers.keep_areas(feats, [f"NATION_{i}" for i in range(25)])
+    out = label_points(pts, readers.polygons(areas), "neighborhood")
     return relabel_north_of(out, readers.split_line(feats), "neighborhood", SPLIT, "north side").select("s_suppkey", "neighborhood")
 
 
@@ -389,7 +390,17 @@ def menu_coverage(spark, sf):
     return R.menu_coverage(_covered(spark, sf))
 
 
-_TOK = r"list_filter(string_split(trim(regexp_replace(replace(regexp_replace(lower({0}), '[.'']', '', 'g'), '&', ' and '), '[^a-z0-9]+', ' ', 'g')), ' '), lambda w: w NOT IN ('', {1}))"
+
+@REGISTRY.add("extra_points", f"""
+SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN s.lat ELSE c_custkey / 1000.0::DOUBLE END AS lat, CASE WHEN c_custkey % 3 = 0 THEN s.lon ELSE 1.0::DOUBLE END AS lon
+FROM customer LEFT JOIN (SELECT s_suppkey, {point_sql('s_suppkey')} FROM supplier) s ON s.s_suppkey = c_custkey""")
+def extra_points(spark, sf):
+    """Customers without a point take the one of the supplier of the same number."""
+    k = F.col("c_custkey")
+    lat, lon = point("s_suppkey")
+    places = table(spark, sf, "customer").select("c_custkey", k.cast("string").alias("name"), F.when(k % 3 != 0, k / 1000).alias("lat"), F.when(k % 3 != 0, 1.0).alias("lon"))
+    extras = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("name"), lat.alias("lat"), lon.alias("lon"))
+    return plan.with_extra_points(places, extras).select("c_custkey", "lat", "lon")
 
 
 @REGISTRY.add("text_scalars", f"""

@@ -113,3 +113,15 @@ WHERE lat BETWEEN 37.72::DOUBLE AND 37.76::DOUBLE AND lon BETWEEN -122.48::DOUBL
   AND strftime(ts, '%Y-%m-%dT%H:%M:%S') >= '2024-01-10T00:00:00'""")
 def incident_pull(spark, sf):
     return in_pull(incident_rows(spark, sf), 37.72, -122.48, 37.76, -122.43, "2024-01-10T00:00:00").select("row_id", "incident_id")
+
+
+@REGISTRY.add("risk_layer", f"""
+WITH {BASE_SQL}, per AS (SELECT key, event_type AS category, count(DISTINCT iid) AS n FROM near JOIN inc USING (iid) WHERE d <= 150 GROUP BY key, event_type),
+top AS (SELECT * FROM per QUALIFY row_number() OVER (PARTITION BY key ORDER BY n DESC, category) <= 5),
+txt AS (SELECT key, string_agg(category || '=' || n, ',' ORDER BY n DESC, category) AS top_categories FROM top GROUP BY key)
+SELECT key, total, percentile, top_categories FROM ranked LEFT JOIN txt USING (key)""")
+def risk_layer(spark, sf):
+    p, rows = places(spark, sf), incident_rows(spark, sf)
+    out = plan.layer(plan.street_risk(p, rows, RULES), plan.top_categories(p, rows, RULES))
+    text = F.array_join(F.transform("top_categories", lambda c: F.concat(c["category"], F.lit("="), c["n"].cast("string"))), ",")
+    return out.select("key", "total", "percentile", text.alias("top_categories"))

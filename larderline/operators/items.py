@@ -113,3 +113,8 @@ def price_level(median: Column, levels: PriceLevels = PriceLevels()) -> Column:
     for n, limit in enumerate(levels.below, 1):
         out = out.when(median < limit, n)
     return out.otherwise(len(levels.below) + 1)
+
+
+def local_date(instant: Column, zone: str) -> Column:
+    """Calendar date of an instant (ISO text with offset) in a time zone."""
+    return F.to_date(F.from_utc_timestamp(F.to_utc_timestamp(F.to_timestamp(instant), F.current_timezone()), zone))

@@ -6,6 +6,7 @@ CSV, from the file, its block and the row within it.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -144,10 +145,13 @@ def bulk(spark: SparkSession, path: str, table: str, releases=tuple(FOOD_RELEASE
     wanted = [f.split()[0] for f in S.BULK[table].split(", ")]
     out = None
     for release in releases:
-        rows = (spark.read.option("header", True).option("recursiveFileLookup", True).option("escape", '"')
-                .option("multiLine", True).option("pathGlobFilter", f"{table}.csv").csv(f"{path}/{release}"))
-        if not rows.columns:
-            continue
+        try:
+            rows = (spark.read.option("header", True).option("recursiveFileLookup", True).option("escape", '"')
+                    .option("multiLine", True).option("pathGlobFilter", f"{table}.csv").csv(f"{path}/{release}"))
+        except AnalysisException as e:
+            if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # no such file in this release
+                continue
+            raise
         part = rows.select(
             F.lit(release).alias("release"),
             F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
