@@ -165,17 +165,19 @@ _pick = lambda values, i: F.element_at(F.array(*[F.lit(v) for v in values]), (i
 _sql_list = lambda values: "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
 
-@REGISTRY.add("food_index", f"""
-WITH f AS (SELECT p_partkey AS id, p_partkey % 3 AS r, p_name AS description, p_size % 27 AS cat FROM part WHERE p_partkey % 10 <> 9),
-po AS (SELECT l_partkey AS id, l_orderkey, l_linenumber, l_quantity, l_extendedprice,
-  round_even(l_quantity / 4, 1)::DOUBLE AS g, l_linenumber % 6 AS u FROM lineitem WHERE l_tax > 0.01::DOUBLE),
-lab AS (SELECT po.*, r, trim(regexp_replace(concat_ws(' ', l_linenumber::VARCHAR, CASE WHEN u < 5 THEN (SELECT r_name FROM region WHERE r_regionkey = u) END,
-  CASE WHEN l_linenumber % 2 = 0 THEN 'chopped' END), ' +', ' ', 'g')) AS label FROM po JOIN f USING (id)),
-agg AS (SELECT id, string_agg((CASE WHEN r = 2 AND l_linenumber % 3 = 0 THEN 'as served' WHEN l_linenumber % 3 = 0 THEN label || ' as served' ELSE label END) || '=' || g, '; '
-  ORDER BY l_orderkey, l_linenumber, l_quantity, l_extendedprice) AS portions FROM lab GROUP BY id)
-SELECT id AS fdcId, {_sql_list(_API)}[r::INT + 1] AS dataType, description, coalesce((SELECT n_name FROM nation WHERE n_nationkey = cat), '') AS category,
-  coalesce(portions, '') AS portions FROM f LEFT JOIN agg USING (id)""")
-def food_index(spark, sf):
+@REGISTRY.add("food_portions", f"""
+WITH f AS (SELECT p_partkey AS id, p_partkey % 3 AS r FROM part WHERE p_partkey % 10 <> 9),
+po AS (SELECT l_partkey AS id, l_linenumber, round_even(l_quantity / 4, 1)::DOUBLE AS g, l_linenumber % 6 AS u FROM lineitem WHERE l_tax > 0.01::DOUBLE),
+lab AS (SELECT po.*, r, trim(concat_ws(' ', l_linenumber::VARCHAR, CASE WHEN u < 5 THEN (SELECT r_name FROM region WHERE r_regionkey = u) END,
+  CASE WHEN l_linenumber % 2 = 0 THEN 'chopped' END)) AS label FROM po JOIN f USING (id))
+SELECT id::VARCHAR AS fdc_id, CASE WHEN r = 2 AND l_linenumber % 3 = 0 THEN 'as served' WHEN l_linenumber % 3 = 0 THEN label || ' as served' ELSE label END AS label, g AS grams FROM lab""")
+def food_portions(spark, sf):
+    food, portions, units, _ = _bulk(spark, sf)
+    return N.food_portions(N.own_foods(food), portions, units).select("fdc_id", "label", "grams")
+
+
+def _bulk(spark, sf):
+    """Parts as foods and order lines as their portions, in the tables of the bulk releases."""
     k = F.col("p_partkey")
     release = _pick(_RELEASES, k % 3)
     food = table(spark, sf, "part").select(
@@ -191,8 +193,22 @@ def food_index(spark, sf):
     releases = F.explode(F.array(*[F.lit(r) for r in _RELEASES])).alias("release")
     units = table(spark, sf, "region").select(releases, F.col("r_regionkey").cast("string").alias("id"), F.col("r_name").alias("name"))
     categories = table(spark, sf, "nation").select(releases, F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("description"))
+    return food, portions, units, categories
+
+
+@REGISTRY.add("food_index", f"""
+WITH f AS (SELECT p_partkey AS id, p_partkey % 3 AS r, p_name AS description, p_size % 27 AS cat FROM part WHERE p_partkey % 10 <> 9),
+po AS (SELECT l_partkey AS id, l_orderkey, l_linenumber, l_quantity, l_extendedprice,
+  round_even(l_quantity / 4, 1)::DOUBLE AS g, l_linenumber % 6 AS u FROM lineitem WHERE l_tax > 0.01::DOUBLE),
+lab AS (SELECT po.*, r, trim(regexp_replace(concat_ws(' ', l_linenumber::VARCHAR, CASE WHEN u < 5 THEN (SELECT r_name FROM region WHERE r_regionkey = u) END,
+  CASE WHEN l_linenumber % 2 = 0 THEN 'chopped' END), ' +', ' ', 'g')) AS label FROM po JOIN f USING (id)),
+agg AS (SELECT id, string_agg((CASE WHEN r = 2 AND l_linenumber % 3 = 0 THEN 'as served' WHEN l_linenumber % 3 = 0 THEN label || ' as served' ELSE label END) || '=' || g, '; '
+  ORDER BY l_orderkey, l_linenumber, l_quantity, l_extendedprice) AS portions FROM lab GROUP BY id)
+SELECT id AS fdcId, {_sql_list(_API)}[r::INT + 1] AS dataType, description, coalesce((SELECT n_name FROM nation WHERE n_nationkey = cat), '') AS category,
+  coalesce(portions, '') AS portions FROM f LEFT JOIN agg USING (id)""")
+def food_index(spark, sf):
     text = F.array_join(F.transform("portions", lambda p: F.concat(p["label"], F.lit("="), p["grams"].cast("string"))), "; ")
-    return N.food_index(food, portions, units, categories).withColumn("portions", text)
+    return N.food_index(*_bulk(spark, sf)).withColumn("portions", text)
 
 
 _IDS = (1008, 2047, 1003, 1079, 1093, 2000, 1063, 1004, 1258, 1005, 2048)
@@ -285,26 +301,27 @@ def missing_records(spark, sf):
 
 
 @REGISTRY.add("record_flatten", """
-WITH n AS (SELECT l_orderkey AS fdcId, count(*) FILTER (l_linenumber % 5 <> 0 AND l_discount > 0.01::DOUBLE) AS nutrients,
-  min(l_linenumber) FILTER (l_linenumber % 5 <> 0 AND l_discount > 0.01::DOUBLE) AS first_id,
-  string_agg(CASE WHEN l_orderkey % 2 = 0 THEN 'p' || l_linenumber ELSE l_linenumber || '.0 cup chopped p' || l_linenumber END, '; ' ORDER BY l_linenumber, l_partkey) AS labels FROM lineitem GROUP BY 1)
-SELECT * FROM n""")
+WITH x AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber AS n, l_discount > 0.01::DOUBLE AS has, unnest([l_linenumber + 2, l_linenumber, l_linenumber + 1]) AS i FROM lineitem),
+g AS (SELECT l_orderkey, l_partkey, l_suppkey, n, has, count(*) FILTER (i % 5 <> 0 AND (has OR i <> n)) AS nutrients, min(i) FILTER (i % 5 <> 0 AND (has OR i <> n)) AS first_id FROM x GROUP BY ALL)
+SELECT l_orderkey, l_partkey, l_suppkey, n AS line, any_value(nutrients) AS nutrients, any_value(first_id) AS first_id,
+  CASE WHEN l_orderkey % 2 = 0 THEN 'p' || n ELSE n || '.0 cup chopped p' || n END AS labels FROM g JOIN lineitem USING (l_orderkey, l_partkey, l_suppkey)
+WHERE l_linenumber = n AND (l_discount > 0.01::DOUBLE) = has GROUP BY l_orderkey, l_partkey, l_suppkey, n, l_extendedprice, has""")
 def record_flatten(spark, sf):
-    """Order lines as the nutrients and portions of service records."""
+    """Each order line as one service record of three nutrients and two portions, one of them unweighed."""
     n = F.col("l_linenumber")
-    line = F.struct(
-        "l_linenumber", "l_partkey",
-        F.struct(F.when(n % 5 != 0, n).alias("id"), n.cast("string").alias("number"), F.lit("x").alias("name"), F.lit("g").alias("unitName")).alias("nutrient"),
-        F.when(F.col("l_discount") > 0.01, F.col("l_discount")).alias("amount"),
-        n.cast("double").alias("p_amount"), F.concat(F.lit(" p"), n.cast("string")).alias("d"))
-    grouped = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("fdcId")).agg(F.array_sort(F.collect_list(line)).alias("x"))
-    records = grouped.select(
-        "fdcId", F.when(F.col("fdcId") % 2 == 0, SURVEY).otherwise("SR Legacy").alias("dataType"), F.lit("d").alias("description"), F.lit("4/1/2019").alias("publicationDate"),
-        F.transform("x", lambda v: F.struct(v["nutrient"].alias("nutrient"), v["amount"].alias("amount"))).alias("foodNutrients"),
-        F.transform("x", lambda v: F.struct(v["p_amount"].alias("amount"), F.struct(F.lit("cup").alias("name")).alias("measureUnit"), F.lit("chopped").alias("modifier"),
-                                            v["d"].alias("portionDescription"), F.lit(5.0).alias("gramWeight"))).alias("foodPortions"))
+    has = F.col("l_discount") > 0.01
+    nutrient = lambda i: F.struct(
+        F.struct(F.when(i % 5 != 0, i).alias("id"), i.cast("string").alias("number"), F.lit("x").alias("name"), F.lit("g").alias("unitName")).alias("nutrient"),
+        F.when(has | (i != n), F.lit(0.5)).alias("amount"))
+    portion = lambda weight: F.struct(
+        n.cast("double").alias("amount"), F.struct(F.lit("cup").alias("name")).alias("measureUnit"), F.lit("chopped").alias("modifier"),
+        F.concat(F.lit(" p"), n.cast("string")).alias("portionDescription"), F.lit(weight).alias("gramWeight"))
+    records = table(spark, sf, "lineitem").select(
+        F.struct("l_orderkey", "l_partkey", "l_suppkey", n.alias("line")).alias("fdcId"), F.when(F.col("l_orderkey") % 2 == 0, SURVEY).otherwise("SR Legacy").alias("dataType"),
+        F.lit("d").alias("description"), F.lit("4/1/2019").alias("publicationDate"),
+        F.array(nutrient(n + 2), nutrient(n), nutrient(n + 1)).alias("foodNutrients"), F.array(portion(5.0), portion(0.0)).alias("foodPortions"))
     flat = N.flatten_records(records, "2026-01-01")
-    return flat.select("fdcId", F.size("nutrients").alias("nutrients"), F.get("nutrients", F.lit(0))["id"].alias("first_id"),
+    return flat.select("fdcId.*", F.size("nutrients").alias("nutrients"), F.get("nutrients", F.lit(0))["id"].alias("first_id"),
                        F.array_join(F.transform("portions", lambda p: p["description"]), "; ").alias("labels"))
 
 

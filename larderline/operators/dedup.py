@@ -100,5 +100,5 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def numbered_chunks(ids: DataFrame, column: str, size: int) -> DataFrame:
     """Request number of each id: ids in ascending order, ``size`` a request."""
-    return (ordered_position(ids.select(column).distinct(), [], [column], "_pos")
+    return (ordered_position(cut(ids.select(column).distinct()), [], [column], "_pos")
             .withColumn("request", F.floor((F.col("_pos") - 1) / size)).drop("_pos"))

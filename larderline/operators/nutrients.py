@@ -26,22 +26,29 @@ def own_foods(food: DataFrame) -> DataFrame:
             .withColumn("dataType", _releases(1)[F.col("release")]))
 
 
+def food_portions(foods: DataFrame, portions: DataFrame, units: DataFrame) -> DataFrame:
+    """Weighed portions of the foods (see ``own_foods``), one row each: (release, fdc_id, ord, label, grams)."""
+    weighed = portions.filter(F.coalesce("gram_weight", F.lit("")) != "").join(
+        foods.select("release", "fdc_id", "dataType"), ["release", "fdc_id"])
+    named = weighed.join(units.select("release", F.col("id").alias("measure_unit_id"), F.col("name").alias("unit")),
+                         ["release", "measure_unit_id"], "left")
+    label = portion_label(F.col("amount"), F.coalesce("unit", F.lit("")), F.col("modifier"), F.col("portion_description"))
+    own = (F.col("dataType") == SURVEY) & (F.trim("portion_description") != "")
+    return named.select("release", "fdc_id", "ord", F.when(own, F.trim("portion_description")).otherwise(label).alias("label"),
+                        round_even(F.col("gram_weight").cast("double"), 1).alias("grams"))
+
+
 def food_index(food: DataFrame, portions: DataFrame, units: DataFrame, categories: DataFrame) -> DataFrame:
     """Foods with category and portions: (fdcId, dataType, description, category, portions).
 
     All inputs carry ``release``; portions carry ``ord``; categories are
-    (release, id, description) of either category table.
+    (release, id, description) of either category table. The list nests the
+    household portions of one food, a handful; ``food_portions`` is the same
+    as a long table.
     """
     foods = own_foods(food)
-    weighed = portions.filter(F.coalesce("gram_weight", F.lit("")) != "")
-    weighed = weighed.join(foods.select("release", "fdc_id", "dataType"), ["release", "fdc_id"])
-    named = weighed.join(units.select("release", F.col("id").alias("measure_unit_id"), F.col("name").alias("unit")),
-                         ["release", "measure_unit_id"], "left")
-    label = portion_label(F.col("amount"), F.coalesce("unit", F.lit("")), F.col("modifier"), F.col("portion_description"))
-    label = F.when((F.col("dataType") == SURVEY) & (F.trim("portion_description") != ""),
-                   F.trim("portion_description")).otherwise(label)
-    listed = named.groupBy("release", "fdc_id").agg(F.array_sort(F.collect_list(F.struct(
-        "ord", label.alias("label"), round_even(F.col("gram_weight").cast("double"), 1).alias("grams")))).alias("p"))
+    listed = food_portions(foods, portions, units).groupBy("release", "fdc_id").agg(
+        F.array_sort(F.collect_list(F.struct("ord", "label", "grams"))).alias("p"))
     return (
         foods.join(listed, ["release", "fdc_id"], "left")
         .join(categories.select("release", F.col("id").alias("food_category_id"), F.col("description").alias("category")),

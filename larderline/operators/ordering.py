@@ -25,41 +25,53 @@ def ordered_position(df: DataFrame, group: Sequence[str], order: Sequence[str],
     """
     group = list(group)
     key = F.struct(*[F.col(c) for c in order])
+    tie = F.xxhash64(*order)
     if not group:
-        return ordered_position(df.withColumn("_all", F.lit(1)), ["_all"], order, out,
-                                rows_per_task).drop("_all")
-
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_task)
-    pieces = F.least(F.ceil(F.col("_n") / rows_per_task), F.lit(MAX_SPLITS))
-    big = sizes.select(*[F.col(c).alias(f"_b_{c}") for c in group],
-                       F.ceil(F.col("_n") / pieces).alias("_every"))
-    same = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in group]
-    sampled = (df.select(*group, *[c for c in order if c not in group]).join(big, same)
-               .filter(F.pmod(F.xxhash64(*order), F.col("_every")) == 0))
-    cuts = (sampled.groupBy(*[F.col(f"_b_{c}") for c in group])
-            .agg(F.array_sort(F.collect_list(key)).alias("_cuts")))
-
-    # two steps of the search: every 64th cut, then the 64 cuts that follow
-    coarse = F.transform(F.sequence(F.lit(_STEP), F.greatest(F.size("_cuts"), F.lit(_STEP)), F.lit(_STEP)),
-                         lambda i: F.get(F.col("_cuts"), i - 1))
-    skip = F.size(F.filter(coarse, lambda c: c <= key)) * _STEP
-    near = F.size(F.filter(F.slice(F.col("_cuts"), skip + 1, F.lit(_STEP)), lambda c: c <= key))
-    piece = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(skip + near)
-    cut_up = (df.join(cuts, same, "left").withColumn("_piece", piece)
-              .withColumn("_big", F.col("_cuts").isNotNull())
-              .drop("_cuts", *[f"_b_{c}" for c in group]))
-
-    before = (cut_up.filter("_big").groupBy(*group, "_piece").agg(F.count(F.lit(1)).alias("_n"))
-              .withColumn("_before", F.coalesce(F.sum("_n").over(
-                  Window.partitionBy(*group).orderBy("_piece")
-                  .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-              .select(*[F.col(c).alias(f"_b_{c}") for c in group],
-                      F.col("_piece").alias("_b_piece"), "_before"))
+        # one group: its size and its cuts are single values, so nothing is joined to every row
+        n = df.agg(F.count(F.lit(1))).scalar()
+        sampled = df.select(*order).filter(F.pmod(tie, _sample_step(n, rows_per_task)) == 0)
+        cuts = sampled.agg(F.array_sort(F.collect_list(key))).scalar()
+        cut_up = df.withColumn("_cuts", cuts).withColumn("_piece", _piece(key)).drop("_cuts")
+        same = []
+    else:
+        sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_task)
+        big = sizes.select(*[F.col(c).alias(f"_b_{c}") for c in group],
+                           _sample_step(F.col("_n"), rows_per_task).alias("_every"))
+        same = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in group]
+        sampled = (df.select(*group, *[c for c in order if c not in group]).join(big, same)
+                   .filter(F.pmod(tie, F.col("_every")) == 0))
+        cuts = (sampled.groupBy(*[F.col(f"_b_{c}") for c in group])
+                .agg(F.array_sort(F.collect_list(key)).alias("_cuts")))
+        cut_up = (df.join(cuts, same, "left").withColumn("_piece", _piece(key))
+                  .drop("_cuts", *[f"_b_{c}" for c in group]))
+
+    # groups that were not cut are left out of the counts: all their rows are in piece 0
+    counted = cut_up.join(cuts.select(*[f"_b_{c}" for c in group]), same, "left_semi") if group else cut_up
+    pieces = counted.groupBy(*group, "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = F.sum("_n").over(Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1))
+    # a first piece is shifted by nothing, so only groups that were cut appear here
+    before = pieces.withColumn("_before", earlier).filter(F.col("_before") > 0).select(
+        *[F.col(c).alias(f"_b_{c}") for c in group], F.col("_piece").alias("_b_piece"), "_before")
     local = F.row_number().over(Window.partitionBy(*group, "_piece").orderBy(*order))
     return (cut_up.withColumn(out, local)
             .join(before, [*same, F.col("_piece") == F.col("_b_piece")], "left")
             .withColumn(out, (F.col(out) + F.coalesce(F.col("_before"), F.lit(0))).cast("bigint"))
-            .drop("_before", "_big", "_piece", "_b_piece", *[f"_b_{c}" for c in group]))
+            .drop("_before", "_piece", "_b_piece", *[f"_b_{c}" for c in group]))
+
+
+def _sample_step(n: Column, rows_per_task: int) -> Column:
+    """One row in how many is sampled as a cut; null when the group is not cut."""
+    pieces = F.least(F.ceil(n / rows_per_task), F.lit(MAX_SPLITS))
+    return F.when(n > rows_per_task, F.ceil(n / pieces))
+
+
+def _piece(key: Column) -> Column:
+    """Number of cuts at or below the key, in two steps: every 64th cut, then the 64 that follow."""
+    coarse = F.transform(F.sequence(F.lit(_STEP), F.greatest(F.size("_cuts"), F.lit(_STEP)), F.lit(_STEP)),
+                         lambda i: F.get(F.col("_cuts"), i - 1))
+    skip = F.size(F.filter(coarse, lambda c: c <= key)) * _STEP
+    near = F.size(F.filter(F.slice(F.col("_cuts"), skip + 1, F.lit(_STEP)), lambda c: c <= key))
+    return F.when(F.coalesce(F.size("_cuts"), F.lit(0)) <= 0, F.lit(0)).otherwise(skip + near)
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
