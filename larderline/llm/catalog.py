@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from larderline.catalog.base import Registry, table
-from larderline.llm import language, line_dedup
+from larderline.llm import language, line_dedup, simhash
 
 REGISTRY = Registry()
 
@@ -15,6 +15,11 @@ def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.remove_spread_lines(table(spark, sf, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+@REGISTRY.add("op6_simhash")
+def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.query(table(spark, sf, "documents"))
+
+
 @REGISTRY.add("op10_language")
 def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.predict(table(spark, sf, "documents"))

@@ -65,7 +65,8 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Connected components of undirected ``edges`` (a, b: longs): rows (node, root), root the smallest node reachable.
+    """Connected components of undirected ``edges`` (a, b: longs): rows (node, root) of
+    all nodes but the roots, root the smallest node reachable.
 
     Star contraction: each round hangs every larger neighbour of a node on the smallest one, then every node on its
     smallest neighbour; the number of rounds grows with the logarithm of the longest chain. A round is two
