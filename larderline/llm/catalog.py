@@ -5,11 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from larderline.catalog.base import Registry, table
-from larderline.llm import language, line_dedup, simhash
+from larderline.llm import decontaminate, language, line_dedup, packing, simhash
 
 REGISTRY = Registry()
 
 
+def tokenizer_file() -> str:
+    """The word-wise public vocabulary of the packing query."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@REGISTRY.add("op1_packing")
+def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.digest(table(spark, sf, "documents"), tokenizer_file())
+
+
+@REGISTRY.add("op3_decontaminate")
+def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.query(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @REGISTRY.add("op4_line_dedup", line_dedup.sql())
 def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.remove_spread_lines(table(spark, sf, "documents")).select("doc_id", "text", "n_lines", "n_removed")
