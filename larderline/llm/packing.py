@@ -10,7 +10,7 @@ is shuffled, and a lost task repeats with the same rows.
 from __future__ import annotations
 
 import itertools
-import re
+from array import array
 from bisect import bisect_left, insort
 from dataclasses import dataclass
 from typing import Callable, Iterator
@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larderline.llm.common import slices
+from larderline.llm.common import raw, slices
 
 
 @dataclass(frozen=True)
@@ -29,37 +29,48 @@ class PackRules:
     length: int = 4096           # tokens of a sequence
     windows: int = 64            # open windows of a partition
     end_id: int = 2              # closes each document
-    known_words: int = 1 << 17   # words whose ids a task remembers, before it starts anew
+    known_words: int = 1 << 19   # words whose ids a task remembers, twice over, before it starts anew
     rows_bits: int = 40          # sequences of a partition are numbered below 2**bits
 
 
-CONTROL = frozenset("\x1c\x1d\x1e\x1f")
-BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-
-
 class WordTokenizer:
     """Ids of a text by a word-wise tokenizer file of the ``tokenizers`` library.
 
-    Such a tokenizer drops white space and never joins over it, so that the ids of a text are those of its words; each
-    different word is tokenized once.
+    Such a tokenizer drops white space, never joins over it and takes no heed of A-Z being capitals, so that the ids of
+    a text are those of its words; each different word is tokenized once. A worker keeps what it knows for later tasks.
     """
+    kept: dict[str, "WordTokenizer"] = {}
 
     def __init__(self, path: str, known_words: int):
         from tokenizers import Tokenizer
-        self.model, self.known, self.limit = Tokenizer.from_file(path), {}, known_words
-
-    def __call__(self, text: str) -> np.ndarray:
-        # str.split also splits at four control characters that are signs to the tokenizer
-        words = text.split() if CONTROL.isdisjoint(text) else BLANKS.split(text)
+        self.model, self.known, self.before, self.limit = Tokenizer.from_file(path), {}, {}, known_words
+
+    @classmethod
+    def of(cls, path: str, known_words: int) -> "WordTokenizer":
+        if path not in cls.kept or cls.kept[path].limit != known_words:
+            cls.kept[path] = cls(path, known_words)
+        return cls.kept[path]
+
+    def ids(self, word: bytes) -> bytes:
+        """Ids of a word, as 32-bit numbers one after the other."""
+        found = self.known.get(word) or self.before.get(word)
+        if found is None:
+            if len(word) > 1 and word[-1:] in (b".", b",") and word[-2:-1].isalnum():  # a sign of its own after a letter or digit
+                found = self.ids(word[:-1]) + self.ids(word[-1:])
+            else:
+                found = array("I", self.model.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
+        self.known[word] = found
+        return found
+
+    def __call__(self, text: bytes) -> np.ndarray:
+        words = (text if b"<|" in text else text.lower()).split()  # in capitals, a special token is plain text
+        if len(self.known) > self.limit:  # the words known so far are asked once more before they go
+            self.known, self.before = {}, self.known
         known = self.known
-        new = list(set(words) - known.keys())
-        if new:
-            if len(known) > self.limit:
-                known.clear()
-                new = list(set(words))
-            for w, e in zip(new, self.model.encode_batch(new, add_special_tokens=False)):
-                known[w] = e.ids
-        return np.fromiter(itertools.chain.from_iterable(map(known.__getitem__, words)), np.uint32)
+        for w in set(words):
+            if w not in known:
+                self.ids(w)
+        return np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint32)
 
 
 class Windows:
@@ -137,7 +148,7 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
     partition decides the places; the result differs with the dealing of rows, its properties don't.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordTokenizer(tokenizer, rules.known_words)
+        encode = WordTokenizer.of(tokenizer, rules.known_words)
         context = TaskContext.get()
         first = (context.partitionId() if context else 0) << rules.rows_bits
         numbers = itertools.count(first)
@@ -162,8 +173,8 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
         cut = lambda p, a, b: (p[0], p[1] + a, p[2][a:b], p[3])
         windows = Windows(rules, emit)
         for batch in slices(batches):
-            for doc, t in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist()):
-                ids = np.append(encode(t or ""), np.uint32(rules.end_id)).astype(np.uint32)
+            for doc, t in zip(batch.column("doc").to_pylist(), raw(batch, "text")):
+                ids = np.append(encode(t or b""), np.uint32(rules.end_id)).astype(np.uint32)
                 windows.put((doc, 0, ids, len(ids)), len(ids), cut)
                 if held > 1 << 20:
                     yield batch_of()
