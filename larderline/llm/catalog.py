@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from larderline.catalog.base import Registry, table
-from larderline.llm import decontaminate, language, line_dedup, packing, simhash
+from larderline.llm import decontaminate, language, line_dedup, packing, simhash, url_filter
 
 REGISTRY = Registry()
 
@@ -31,6 +31,11 @@ def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.remove_spread_lines(table(spark, sf, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+@REGISTRY.add("op5_url_filter", url_filter.sql())
+def op5_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return url_filter.query(table(spark, sf, "pages"))
+
+
 @REGISTRY.add("op6_simhash")
 def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.query(table(spark, sf, "documents"))
