@@ -26,7 +26,7 @@ class LanguageRules:
     random_bits: int = 10                 # bits per doubling of the number of languages beyond that
     prior: float = 0.5                    # added to each count of an n-gram
     damping: float = 0.2                  # n-grams of a text overlap, so their evidence counts less than independent one
-    unsure: float = 0.7                   # below this score a text is ambiguous
+    unsure: float = 0.5                   # below this score a text is ambiguous: no language has half of the weight
     piece: int = 1 << 20                  # code points worked on at once
 
 
@@ -126,6 +126,9 @@ def sample_of(docs: DataFrame, doc_id: str, text: str, lang: str, train: Column,
     """At most ``rules.sample_rows`` labelled rows (text, lang), dealt evenly over the languages, chosen by hash of the id."""
     ids = docs.where(train & F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("lang"), F.col(doc_id).alias("id"))
     order = [F.xxhash64("id"), F.col("id")]
+    # of a frequent language only ids with a low hash go on, about twice as many as can be chosen, so that no window grows with the corpus
+    low = F.pmod(F.xxhash64("id", F.lit("deal")), F.lit(1 << 30)) * F.col("count") < (2 * rules.sample_rows + 100) * (1 << 30)
+    ids = ids.join(ids.groupBy("lang").count(), "lang").where(low)
     ranked = ids.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("n") <= rules.sample_rows)
     chosen = ranked.orderBy("n", "lang", *order).limit(rules.sample_rows).select("id", F.col("lang").alias("of"))
     # bounded by sample_rows, whatever the size of the corpus
@@ -166,14 +169,14 @@ def train_model(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lan
     return LanguageModel(languages, code, weights, trust / max(trust.mean(), 1e-9), rules)
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred, score and ambiguous.
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text", names: tuple[str, str, str] = ("lang_pred", "score", "ambiguous")) -> DataFrame:
+    """``docs`` with lang_pred, score and ambiguous, under these or other ``names``.
 
     lang_pred: the language of the nearest codeword; ``und`` (score 0) if the text is null or has no letter, or if no
     language was learned. ambiguous: the score is below ``rules.unsure``. Equal losses: the first language by name. Whole texts are read, long ones piece by piece.
     Repeated rows get equal answers; an empty table gives an empty result. Columns of these names are replaced.
     """
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "ambiguous")]
+    kept = [c for c in docs.columns if c not in names]
     share = docs.sparkSession.sparkContext.broadcast(model)  # slots x bits, of fixed size
     key = fresh(docs, "text_in")
 
@@ -189,12 +192,13 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
                 best, score = m.decode(m.margins(t))
                 said.append(m.languages[best])
                 scores.append(score)
-            out = {c: batch.column(c) for c in kept} | {"lang_pred": pa.array(said, pa.string()), "score": pa.array(scores, pa.float64()),
-                                                        "ambiguous": pa.array([s < m.rules.unsure for s in scores], pa.bool_())}
+            out = {c: batch.column(c) for c in kept} | dict(zip(names, (
+                pa.array(said, pa.string()), pa.array(scores, pa.float64()), pa.array([s < m.rules.unsure for s in scores], pa.bool_()))))
             yield pa.RecordBatch.from_pydict(out)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema.fields)
-    return docs.select(*kept, F.col(text).alias(key)).mapInArrow(run, f"{fields}, lang_pred string, score double, ambiguous boolean")
+    made = ", ".join(f"`{n}` {kind}" for n, kind in zip(names, ("string", "double", "boolean")))
+    return docs.select(*kept, F.col(text).alias(key)).mapInArrow(run, ", ".join(filter(None, (fields, made))))
 
 
 def predict(docs: DataFrame) -> DataFrame:

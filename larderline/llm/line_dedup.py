@@ -50,13 +50,15 @@ def spread_lines(lines: DataFrame, rules: LineRules) -> DataFrame:
     band = max(1, round(rules.sigmas * 1.04 / 2 ** (rules.sketch_bits / 2) * rules.min_sites + 0.5))
     seen = seen.where(F.col("sites") >= rules.min_sites - band)
     near = F.col("sites") <= rules.min_sites + band
-    counted = (lines.join(seen.where(near).select("h1", "h2"), ["h1", "h2"], "left_semi")
-               .groupBy("h1", "h2").agg(F.count_distinct("site").alias("exact")).where(F.col("exact") >= rules.min_sites))
+    # a line in many documents of a site comes once from each task
+    counted = (lines.select("h1", "h2", "site").distinct().join(seen.where(near).select("h1", "h2"), ["h1", "h2"], "left_semi")
+               .groupBy("h1", "h2").agg(F.count("*").alias("exact")).where(F.col("exact") >= rules.min_sites))
     return seen.where(~near).select("h1", "h2", "first").union(seen.where(near).join(counted, ["h1", "h2"]).select("h1", "h2", "first"))
 
 
-def remove_spread_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", site: str = "source", rules: LineRules = LineRules()) -> DataFrame:
-    """``docs`` without boilerplate lines, and n_lines, n_removed.
+def remove_spread_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", site: str = "source", rules: LineRules = LineRules(),
+                        names: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+    """``docs`` without boilerplate lines, and n_lines, n_removed under these or other ``names``.
 
     A line is what stands between line ends, compared without blanks at its ends. If it stands on ``min_sites``
     distinct sites or more, it goes everywhere but (``keep_first``) where it stands first: lowest id, then lowest hash
@@ -65,24 +67,24 @@ def remove_spread_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     Blank lines never go. A null text stays null with 0 lines; an empty text has one (blank) line. A null site counts
     as one site without a name; a null id comes before all others. Rows that repeat (id and text) are one document:
     each copy keeps and loses the same lines. All other columns pass, whatever their names; an empty table gives
-    an empty result. Columns n_lines and n_removed are replaced.
+    an empty result. Columns of the two names are replaced.
     """
-    docs = docs.drop("n_lines", "n_removed")
+    docs = docs.drop(*names)
     lines = lines_of(docs, doc_id, text, site)
     spread = spread_lines(lines, rules)
     gone = lines.join(spread, ["h1", "h2"])
     if rules.keep_first:
         gone = gone.where(~F.col("at").eqNullSafe(F.col("first")))
     gone = gone.groupBy(F.col("at.d").alias("_d"), F.col("at.t").alias("_t")).agg(F.collect_set("at.pos").alias("_gone"))
-    names = {n: fresh(docs, n) for n in ("_d", "_t", "_gone", "_lines", "_kept")}
-    gone = gone.select(*(F.col(n).alias(names[n]) for n in ("_d", "_t", "_gone")))
-    both = docs.join(gone, F.col(doc_id).eqNullSafe(F.col(names["_d"])) & (F.xxhash64(F.col(text)) == F.col(names["_t"])), "left")
-    taken, split = F.col(names["_gone"]), F.split(F.col(text), "\n", -1)
+    own = {n: fresh(docs, n) for n in ("_d", "_t", "_gone")}
+    gone = gone.select(*(F.col(n).alias(own[n]) for n in own))
+    both = docs.join(gone, F.col(doc_id).eqNullSafe(F.col(own["_d"])) & (F.xxhash64(F.col(text)) == F.col(own["_t"])), "left")
+    taken, split = F.col(own["_gone"]), F.split(F.col(text), "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), taken)
     rest = F.array_join(F.transform(kept, lambda i: split[i]), "\n")
     return both.select(*(F.when(taken.isNull(), F.col(text)).otherwise(rest).alias(c) if c == text else F.col(c) for c in docs.columns),
-                       F.when(F.col(text).isNull(), 0).otherwise(F.size(split)).cast("long").alias("n_lines"),
-                       F.when(taken.isNull(), 0).otherwise(F.size(taken)).cast("long").alias("n_removed"))
+                       F.when(F.col(text).isNull(), 0).otherwise(F.size(split)).cast("long").alias(names[0]),
+                       F.when(taken.isNull(), 0).otherwise(F.size(taken)).cast("long").alias(names[1]))
 
 
 def sql(docs: str = "documents", columns: str = "doc_id, text, n_lines, n_removed", rules: LineRules = LineRules()) -> str:

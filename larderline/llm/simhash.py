@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larderline.llm.common import components, lower, raw, slices, words
+from larderline.llm.common import components, fresh, lower, raw, slices, words
 from larderline.session import cut
 
 BITS = 3      # links differ in so many bits or fewer; halves and visits of the grid follow from it
@@ -48,14 +48,14 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
     return int(np.packbits(set_bits, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, fp) of every row; a null or empty text has fingerprint 0."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", more: tuple[str, ...] = ()) -> DataFrame:
+    """(doc, fp) and the long columns ``more`` of every row; a null or empty text has fingerprint 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            yield pa.RecordBatch.from_pydict({"doc": batch.column("doc"), "fp": pa.array([fingerprint(t) for t in raw(batch, "text")], pa.int64())})
+            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in ("doc", *more)} | {"fp": pa.array([fingerprint(t) for t in raw(batch, "text")], pa.int64())})
 
-    slim = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc long, fp long")
+    slim = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"), *more)
+    return slim.mapInArrow(run, "".join(f"{c} long, " for c in ("doc", *more)) + "fp long")
 
 
 def unary(fp: Column) -> Column:
@@ -175,31 +175,37 @@ def links(unique: DataFrame) -> DataFrame:
             yield flush(*(np.concatenate(x) for x in zip(*held)))
 
     n = int(unique.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cells(unique).repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long")
+    return cells(unique.repartition(n, "fp")).repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long")
 
 
-def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, fp, component) of every row: component is the smallest id that can be reached over links.
+def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", more: tuple[str, ...] = ()) -> DataFrame:
+    """(doc, fp, component) and the long columns ``more`` of every row: component is the smallest id that can be reached over links.
 
     Rows with equal fingerprints (exact copies, repeated rows, all texts without a word) are one class and always
     linked. A null id stays in the result and is never the name of a component unless the whole class has null ids.
     Equal ids with different texts are separate rows. Other columns aren't read. An empty table gives an empty result.
     """
-    prints = cut(fingerprints(docs, doc_id, text))
+    prints = cut(fingerprints(docs, doc_id, text, more))
     unique = prints.groupBy("fp").agg(F.min("doc").alias("first"))
     root = components(links(unique.select("fp")))
     labelled = unique.join(root, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = labelled.groupBy("root").agg(F.min("first").alias("component"))
     classes = cut(labelled.join(named, "root").select(F.col("fp").alias("of"), "component"))
-    return prints.join(classes, F.col("fp") == F.col("of")).select("doc", "fp", "component")
+    return prints.join(classes, F.col("fp") == F.col("of")).select("doc", *more, "fp", "component")
 
 
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one with its smallest id. Of rows that repeat an id, each whose
-    fingerprint is in the component of that id stays once: the ones with the smallest text."""
-    found = near_copies(docs, doc_id, text).where(F.col("doc").eqNullSafe(F.col("component"))).select("doc").distinct()
-    kept = docs.join(found.withColumnRenamed("doc", "_kept_doc"), F.col(doc_id).cast("long").eqNullSafe(F.col("_kept_doc")), "left_semi")
-    return kept
+    """``docs`` with one row of each component: the one with its smallest id, then the smallest hash of the text.
+
+    A row is told by two hashes of its id and text; of rows that repeat both, one stays. A null id comes after all others.
+    """
+    k1, k2 = fresh(docs, "_k1"), fresh(docs, "_k2")
+    keys = [F.xxhash64(F.col(doc_id), F.col(text)).alias(k1), F.xxhash64(F.col(text), F.lit("second"), F.col(doc_id)).alias(k2)]
+    slim = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"), *keys)
+    rank = F.struct(F.col("doc").isNull().alias("last"), "doc", k1, k2)
+    kept = (near_copies(slim, "doc", "text", (k1, k2)).groupBy("component", F.when(F.col("component").isNull(), F.col("fp")).alias("nameless"))
+            .agg(F.min(rank).alias("best")).select(f"best.{k1}", f"best.{k2}"))
+    return docs.select("*", *keys).join(kept, [k1, k2], "left_semi").dropDuplicates([k1, k2]).drop(k1, k2)
 
 
 def query(docs: DataFrame) -> DataFrame:
