@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from larderline.catalog.base import Registry, table
-from larderline.llm import decontaminate, language, line_dedup, packing, simhash, url_filter
+from larderline.llm import decontaminate, language, line_dedup, packing, repetition, simhash, url_filter
 
 REGISTRY = Registry()
 
@@ -41,6 +41,11 @@ def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.query(table(spark, sf, "documents"))
 
 
+@REGISTRY.add("op7_repetition")
+def op7_repetition(spark: SparkSession, sf: str) -> DataFrame:
+    return repetition.query(table(spark, sf, "documents"))
+
+
 @REGISTRY.add("op10_language")
 def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.predict(table(spark, sf, "documents"))
