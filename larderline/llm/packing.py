@@ -29,7 +29,7 @@ class PackRules:
     length: int = 4096           # tokens of a sequence
     windows: int = 64            # open windows of a partition
     end_id: int = 2              # closes each document
-    known_words: int = 1 << 19   # words whose ids a task remembers, twice over, before it starts anew
+    known_words: int = 1 << 18   # words whose ids a task remembers, twice over, before it starts anew
     rows_bits: int = 40          # sequences of a partition are numbered below 2**bits
 
 
@@ -44,6 +44,8 @@ class WordTokenizer:
     def __init__(self, path: str, known_words: int):
         from tokenizers import Tokenizer
         self.model, self.known, self.before, self.limit = Tokenizer.from_file(path), {}, {}, known_words
+        self.merge, alphabet = self.model.model.tokenize, "abcdefghijklmnopqrstuvwxyz"
+        self.plain = [p for p, _ in self.model.pre_tokenizer.pre_tokenize_str(alphabet)] == [alphabet]  # runs of a-z reach the merges as they are
 
     @classmethod
     def of(cls, path: str, known_words: int) -> "WordTokenizer":
@@ -57,6 +59,8 @@ class WordTokenizer:
         if found is None:
             if len(word) > 1 and word[-1:] in (b".", b",") and word[-2:-1].isalnum():  # a sign of its own after a letter or digit
                 found = self.ids(word[:-1]) + self.ids(word[-1:])
+            elif self.plain and word.isalpha() and word.islower():  # letters of ASCII only, in lower case
+                found = array("I", [t.id for t in self.merge(word.decode("ascii"))]).tobytes()
             else:
                 found = array("I", self.model.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
         self.known[word] = found
