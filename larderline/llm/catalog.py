@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from larderline.catalog.base import Registry, table
-from larderline.llm import decontaminate, language, line_dedup, packing, repetition, simhash, toxicity, url_filter
+from larderline.llm import decontaminate, language, line_dedup, lm_score, packing, repetition, simhash, toxicity, url_filter
 
 REGISTRY = Registry()
 
@@ -46,6 +46,11 @@ def op7_repetition(spark: SparkSession, sf: str) -> DataFrame:
     return repetition.query(table(spark, sf, "documents"))
 
 
+@REGISTRY.add("op8_lm_score")
+def op8_lm_score(spark: SparkSession, sf: str) -> DataFrame:
+    return lm_score.query(table(spark, sf, "documents"))
+
+
 @REGISTRY.add("op9_toxicity")
 def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.query(table(spark, sf, "documents"), table(spark, sf, "labels"))
