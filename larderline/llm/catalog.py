@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from larderline.catalog.base import Registry, table
-from larderline.llm import decontaminate, language, line_dedup, lm_score, packing, repetition, simhash, toxicity, url_filter
+from larderline.llm import decontaminate, language, line_dedup, lm_score, packing, pii, repetition, simhash, toxicity, url_filter
 
 REGISTRY = Registry()
 
@@ -21,6 +21,11 @@ def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.digest(table(spark, sf, "documents"), tokenizer_file())
 
 
+@REGISTRY.add("op2_pii")
+def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.query(table(spark, sf, "documents"))
+
+
 @REGISTRY.add("op3_decontaminate")
 def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.query(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
