@@ -24,6 +24,7 @@ ROUNDS = 8
 FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HEX = "0123456789abcdef"
+NOBODY = ("127.0.0.1", "255.255.255.255")
 
 
 def permuted(value: int, size: int, key: bytes, tweak: str, back: bool = False) -> int:
@@ -123,14 +124,15 @@ def national_id(text: str, key: bytes, back: bool) -> str | None:
 
 
 def ipv4(text: str, key: bytes, back: bool) -> str | None:
-    """Four numbers up to 255 without leading zeros, the first neither 0 nor 127."""
+    """Four numbers up to 255 without leading zeros, the first not 0; this machine and broadcast are nobody's."""
     parts = [int(x) for x in text.split(".")]
-    if any(p > 255 for p in parts) or parts[0] in (0, 127) or any(len(x) > 1 and x[0] == "0" for x in text.split(".")):
+    if any(p > 255 for p in parts) or not parts[0] or text in NOBODY or any(len(x) > 1 and x[0] == "0" for x in text.split(".")):
         return None
-    first = parts[0] - 1 - (parts[0] > 127)
-    value = permuted(int.from_bytes(bytes([first, *parts[1:]]), "big"), 254 << 24, key, "ipv4", back)
-    first, *rest = value.to_bytes(4, "big")
-    return ".".join(map(str, (first + 1 + (first >= 126), *rest)))
+    while True:
+        first, *rest = permuted(int.from_bytes(bytes([parts[0] - 1, *parts[1:]]), "big"), 255 << 24, key, "ipv4", back).to_bytes(4, "big")
+        parts = [first + 1, *rest]
+        if (new := ".".join(map(str, parts))) not in NOBODY:
+            return new
 
 
 def remainder(text: str) -> int:
