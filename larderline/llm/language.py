@@ -26,7 +26,7 @@ class LanguageRules:
     random_bits: int = 10                 # bits per doubling of the number of languages beyond that
     prior: float = 0.5                    # added to each count of an n-gram
     damping: float = 0.2                  # n-grams of a text overlap, so their evidence counts less than independent one
-    unsure: float = 0.5                   # below this score a text is ambiguous: no language has half of the weight
+    clear: float = 1.5                    # a text is ambiguous if the best share isn't so many times the next one
     piece: int = 1 << 20                  # code points worked on at once
 
 
@@ -47,9 +47,10 @@ class Letters:
         return cls.table
 
 
-def pieces(text: str, rules: LanguageRules) -> Iterator[np.ndarray]:
-    """Letters of the whole text, runs of other characters as one blank, in pieces that overlap by the longest n-gram."""
-    keep = max(rules.orders) - 1
+def pieces(text: str, rules: LanguageRules) -> Iterator[tuple[int, np.ndarray]]:
+    """Letters of the whole text, runs of other characters as one blank, in pieces that overlap by the longest n-gram;
+    with each piece, how many of its code points were in the one before."""
+    keep, used = max(rules.orders) - 1, 0
     tail = np.array([32], np.uint32)
     for at in range(0, len(text), rules.piece):
         cp = Letters.get()[np.frombuffer(text[at:at + rules.piece].encode("utf-32-le", "replace"), np.uint32)]
@@ -57,8 +58,9 @@ def pieces(text: str, rules: LanguageRules) -> Iterator[np.ndarray]:
         cp = np.concatenate((tail, cp, np.array([32] * last, np.uint32)))
         blank = cp == 32
         cp = cp[~(blank & np.concatenate(([False], blank[:-1])))]
-        yield cp
+        yield used, cp
         tail = cp[-keep:] if keep else cp[:0]
+        used = len(tail)
 
 
 def slots(cp: np.ndarray, order: int, bits: int, skip: int) -> np.ndarray:
@@ -76,10 +78,8 @@ def slots(cp: np.ndarray, order: int, bits: int, skip: int) -> np.ndarray:
 
 def features(text: str, rules: LanguageRules) -> Iterator[np.ndarray]:
     """Slots of all n-grams of a text, piece by piece."""
-    skip = 0
-    for cp in pieces(text, rules):
-        yield np.concatenate([slots(cp, n, rules.hash_bits, skip) for n in rules.orders])
-        skip = max(rules.orders) - 1
+    for used, cp in pieces(text, rules):
+        yield np.concatenate([slots(cp, n, rules.hash_bits, used) for n in rules.orders])
 
 
 def codewords(n: int, rules: LanguageRules) -> np.ndarray:
@@ -115,11 +115,12 @@ class LanguageModel:
             total += self.weights[at].sum(0, dtype=np.float64)
         return total * self.rules.damping
 
-    def decode(self, margins: np.ndarray) -> tuple[int, float]:
-        """Nearest codeword by trust-weighted logistic loss, and its share against all codewords."""
+    def decode(self, margins: np.ndarray) -> tuple[int, float, bool]:
+        """Nearest codeword by trust-weighted logistic loss, its share against all codewords, and whether it is ambiguous."""
         loss = (np.logaddexp(0, -self.code * margins[None, :]) * self.trust[None, :]).sum(1)
         best = int(np.argmin(loss))
-        return best, float(1 / np.exp(np.clip(loss[best] - loss, -700, 0)).sum())
+        share = np.exp(np.clip(loss[best] - loss, -700, 0))
+        return best, float(1 / share.sum()), len(share) > 1 and bool(np.partition(share, -2)[-2] * self.rules.clear > 1)
 
 
 def sample_of(docs: DataFrame, doc_id: str, text: str, lang: str, train: Column, rules: LanguageRules) -> DataFrame:
@@ -173,7 +174,8 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", names: t
     """``docs`` with lang_pred, score and ambiguous, under these or other ``names``.
 
     lang_pred: the language of the nearest codeword; ``und`` (score 0) if the text is null or has no letter, or if no
-    language was learned. ambiguous: the score is below ``rules.unsure``. Equal losses: the first language by name. Whole texts are read, long ones piece by piece.
+    language was learned. ambiguous: the best share isn't
+    ``rules.clear`` times the next one. Equal losses: the first language by name. Whole texts are read, long ones piece by piece.
     Repeated rows get equal answers; an empty table gives an empty result. Columns of these names are replaced.
     """
     kept = [c for c in docs.columns if c not in names]
@@ -183,17 +185,19 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", names: t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = share.value
         for batch in slices(batches):
-            said, scores = [], []
+            said, scores, unsure = [], [], []
             for t in batch.column(key).to_pylist():
-                if not t or not m.languages or not any(len(cp) > 2 or (cp != 32).any() for cp in pieces(t, m.rules)):
+                if not t or not m.languages or not any((cp != 32).any() for _, cp in pieces(t, m.rules)):
                     said.append(NONE)
                     scores.append(0.0)
+                    unsure.append(False)
                     continue
-                best, score = m.decode(m.margins(t))
+                best, score, open_ = m.decode(m.margins(t))
+                unsure.append(open_)
                 said.append(m.languages[best])
                 scores.append(score)
             out = {c: batch.column(c) for c in kept} | dict(zip(names, (
-                pa.array(said, pa.string()), pa.array(scores, pa.float64()), pa.array([s < m.rules.unsure for s in scores], pa.bool_()))))
+                pa.array(said, pa.string()), pa.array(scores, pa.float64()), pa.array(unsure, pa.bool_()))))
             yield pa.RecordBatch.from_pydict(out)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema.fields)
