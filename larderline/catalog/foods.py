@@ -92,7 +92,7 @@ def _map_inputs(spark, sf):
     return table(spark, sf, "part").select(
         k.alias("id"), F.when(k % 2 == 0, "menu").otherwise("product").alias("kind"),
         F.when(k % 3 == 0, F.concat(F.col("p_size").cast("string"), F.lit(" Oz"))).otherwise("1 Each").alias("size"),
-        F.concat(F.lit("k"), (k % 300).cast("string")).alias("key"),
+        F.concat(F.lit("k"), k.cast("string")).alias("key"),
         F.when(n > 0, F.transform(F.sequence(F.lit(1), n.cast("int")), candidate)).alias("candidates"))
 
 
@@ -103,7 +103,7 @@ def _map_readings(spark, sf):
     portion = lambda n: F.when((k + n) % 4 == 0, "none").otherwise(F.concat(F.lit("p"), (k % 2 + 1).cast("string")))
     sample = lambda n: F.struct(F.when((k + n) % 17 != 0, choice(n)).alias("c"), portion(n).alias("p"),
                                 ((k + n) % 17 == 0).alias("refusal"))
-    return table(spark, sf, "customer").filter((k < 300) & (k % 11 != 0)).select(
+    return table(spark, sf, "customer").filter(k % 11 != 0).select(
         F.concat(F.lit("k"), k.cast("string")).alias("key"), F.lit("b").alias("basis"), F.array(*[sample(n) for n in range(3)]).alias("samples"),
         k.alias("ord"))
 
@@ -114,7 +114,7 @@ def _sample_sql(n: int) -> str:
 
 
 _MAP_SQL = f"""
-it AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN 'menu' ELSE 'product' END AS ikind, p_partkey % 3 = 0 AS sized, p_size, p_partkey % 300 AS q, (p_partkey % 5)::INT AS n FROM part),
+it AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN 'menu' ELSE 'product' END AS ikind, p_partkey % 3 = 0 AS sized, p_size, p_partkey AS q, (p_partkey % 5)::INT AS n FROM part),
 rd AS (SELECT *, [{', '.join(_sample_sql(n) for n in range(3))}] AS ss, q < (SELECT count(*) FROM customer) AND q % 11 <> 0 AS is_read FROM it),
 vt AS (SELECT *, list_filter(list_transform(list_filter(ss, lambda s: s.c LIKE 'c_'), lambda s: substring(s.c, 2)::INT), lambda k: k <= n) AS ks,
   len(list_filter(ss, lambda s: s.c = 'none')) AS nn FROM rd),

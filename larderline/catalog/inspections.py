@@ -1,4 +1,4 @@
-"""Inspections from orders and their returned lines, in three eras, and the entity match on parts."""
+"""Inspections from orders and their lines, in three eras, and the entity match on parts."""
 
 from __future__ import annotations
 
@@ -21,7 +21,7 @@ def eras(spark, sf):
     o = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"), F.col("o_orderstatus").alias("s"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.col("o_totalprice").alias("p"))
-    lines = table(spark, sf, "lineitem").filter("l_returnflag = 'R'").select(
+    lines = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("k"), "l_partkey", "l_linenumber", "l_linestatus", "l_shipdate")
     c = F.col("c").cast("string")
     lat, lon = point("c")
@@ -66,7 +66,7 @@ def eras(spark, sf):
 
 ERA_SQL = f"""
 o AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus AS s, strftime(o_orderdate, '%Y-%m-%d') AS day, o_totalprice AS p FROM orders),
-v AS (SELECT l_orderkey AS k, l_partkey, l_linenumber, l_linestatus FROM lineitem WHERE l_returnflag = 'R'),
+v AS (SELECT l_orderkey AS k, l_partkey, l_linenumber, l_linestatus FROM lineitem),
 vc AS (SELECT k, count(*) AS n, count(*) FILTER (l_linenumber = 1) AS high, count(*) FILTER (l_linestatus = 'O') AS major FROM v GROUP BY k),
 first_era AS (SELECT '{ERA_SCORED}' AS dataset, c::VARCHAR AS business_id, k::VARCHAR AS inspection_key, day AS date, 'Routine' AS type,
   CASE WHEN k % 5 <> 0 THEN floor(p % 100)::INT END AS score, NULL AS status, coalesce(n, 0) AS violation_count, coalesce(high, 0) AS high_risk,

@@ -404,7 +404,7 @@ def extra_points(spark, sf):
 
 
 @REGISTRY.add("text_scalars", f"""
-SELECT doc_id, {norm_sql("substring(text, 1, 400)")} AS norm,
+SELECT doc_id, {norm_sql("text")} AS norm,
   coalesce(nullif(trim(regexp_replace(lower({r"regexp_replace(strip_accents(text), '[^\x00-\x7F]', '', 'g')"}), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'x') AS slug,
   substring(sha256(text), 1, 20) AS text_hash,
   substring(sha256('{{"battery":"b","model":"' || lang || '","sampling":"s"}}'), 1, 12) AS basis
@@ -413,5 +413,5 @@ def text_scalars(spark, sf):
     from larderline.plans.readings import basis_hash
     t = F.col("text")
     return table(spark, sf, "documents").select(
-        "doc_id", X.normal_name(F.substring(t, 1, 400)).alias("norm"), X.slug(t).alias("slug"), X.text_hash(t).alias("text_hash"),
+        "doc_id", X.normal_name(t).alias("norm"), X.slug(t).alias("slug"), X.text_hash(t).alias("text_hash"),
         basis_hash(F.col("lang"), F.lit("b"), F.lit("s")).alias("basis"))

@@ -203,7 +203,7 @@ def derived_equals(spark, sf):
 
 @REGISTRY.add("document_shape", """
 WITH o AS (SELECT o_orderkey AS k, o_orderstatus AS s, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders)
-SELECT 'unknown-place' AS rule, 'fail' AS severity, 'o' || k || '.json' AS key, 'Place ' || (k % 97) AS detail FROM o WHERE k % 97 >= 90
+SELECT 'unknown-place' AS rule, 'fail' AS severity, 'o' || k || '.json' AS key, 'Place ' || (k % 97) AS detail FROM o WHERE k % 97 NOT IN (SELECT c_custkey % 90 FROM customer)
 UNION ALL SELECT 'status', 'fail', 'o' || k || '.json', CASE s WHEN 'P' THEN 'pending' END FROM o WHERE s = 'P'
 UNION ALL SELECT 'malformed-row', 'fail', 'o' || k || '.json', CASE k % 10 WHEN 1 THEN 'price as text' WHEN 2 THEN 'field missing' WHEN 3 THEN 'blank name' ELSE 'extra field' END FROM o WHERE k % 10 IN (1, 2, 3, 4)
 UNION ALL SELECT 'no-extraction-basis', 'fail', 'o' || k || '.json', day FROM o WHERE day >= '1998-01-01' AND k % 5 = 0
@@ -222,7 +222,7 @@ def document_shape(spark, sf):
     doc = F.concat(F.lit('{"name": "Place '), (k % 97).cast("string"), F.lit('", "status": "'), status, F.lit('", "as_of": "'), day, F.lit('", "extraction": '), basis,
                    F.lit(', "items": ['), row, F.lit("]}"))
     docs = table(spark, sf, "orders").select(F.concat(F.lit("o"), k.cast("string"), F.lit(".json")).alias("file"), doc.alias("doc"))
-    keys = table(spark, sf, "customer").filter("c_custkey < 90").select(F.concat(F.lit("Place "), F.col("c_custkey").cast("string")).alias("key"))
+    keys = table(spark, sf, "customer").select(F.concat(F.lit("Place "), (F.col("c_custkey") % 90).cast("string")).alias("key")).distinct()
     found = Q.document_shape(docs, keys, replace(DocumentRules(), basis_required_from="1998-01-01"))
     what = (F.when(F.contains("detail", F.lit('"2.5"')), "price as text").when(~F.contains("detail", F.lit("description")), "field missing")
             .when(F.contains("detail", F.lit('"  "')), "blank name").otherwise("extra field"))

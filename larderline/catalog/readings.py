@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from larderline.catalog.base import Registry, table
@@ -12,7 +11,7 @@ from larderline.config import VoteRules
 from larderline.functions.text import text_hash
 from larderline.operators import reports as R
 from larderline.operators import votes as V
-from larderline.operators.ordering import first_rows, latest_rows
+from larderline.operators.ordering import latest_rows
 from larderline.plans import readings as plan
 from larderline.sources.writers import upsert_readings
 
@@ -20,25 +19,19 @@ REGISTRY = Registry()
 CODES = {"click": "y", "view": "y", "purchase": "n", "error": "u", "signup": "n"}
 
 
-def _first_three(spark, sf):
-    """The first three events of every user, as numbered samples."""
-    events = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k"))
-    three = first_rows(events, ["user_id"], [F.asc("ts"), F.asc("event_id")], 3)
-    return three.withColumn("n", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
-
-
 def vote_samples(spark, sf):
+    """Every event of a user as a vote; the item's text has the words of its first and last event."""
+    events = table(spark, sf, "events").select("user_id", F.struct("ts", "event_id").alias("ord"), "event_type", F.get_json_object("props", "$.k").alias("k"))
+    text = F.concat(F.lit("Item: word"), F.min_by("k", "ord"), F.lit(" word"), F.max_by("k", "ord"))
     code = F.create_map(*[F.lit(x) for kv in CODES.items() for x in kv])[F.col("event_type")]
     word = F.concat(F.lit(" Word"), F.col("k"))
-    sample = F.struct("n", code.alias("code"), F.array(word, F.upper(F.trim(word)), F.lit("w")).alias("words"))
-    text = F.concat(F.lit("Item: word"), F.min_by("k", "n"), F.lit(" word"), F.max_by("k", "n"))
-    return _first_three(spark, sf).groupBy("user_id").agg(F.array_sort(F.collect_list(sample)).alias("s"), text.alias("text")).select(
-        "user_id", "text", F.transform("s", lambda x: F.struct(x["code"].alias("code"), x["words"].alias("words"))).alias("samples"))
+    votes = events.select("user_id", "ord", code.alias("code"), F.array(word, F.upper(F.trim(word)), F.lit("w")).alias("words"))
+    return votes.join(events.groupBy("user_id").agg(text.alias("text")), "user_id")
 
 
 VOTE_SQL = """
 e AS (SELECT user_id, event_type, event_id, value, json_extract_string(props, '$.k') AS k, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n
-  FROM events QUALIFY n <= 3),
+  FROM events),
 t AS (SELECT user_id, 'item: word' || arg_min(k, n) || ' word' || arg_max(k, n) AS low FROM e GROUP BY user_id),
 q AS (SELECT e.*, CASE event_type WHEN 'click' THEN 'y' WHEN 'view' THEN 'y' WHEN 'error' THEN 'u' ELSE 'n' END AS code, contains(low, 'word' || k) AS quoted FROM e JOIN t USING (user_id)),
 c AS (SELECT user_id, count(*) FILTER (code = 'y') AS yes, count(*) FILTER (code = 'n') AS no, count(*) AS n,
@@ -50,13 +43,11 @@ v AS (SELECT user_id, CASE WHEN yes >= 2 THEN 'yes' WHEN no >= 2 THEN 'no' ELSE
 
 @REGISTRY.add("vote_route", f"WITH {VOTE_SQL} SELECT * FROM v")
 def vote_route(spark, sf):
-    routed = V.route_answer(F.col("samples"), F.col("text"), 2, 2)
-    return vote_samples(spark, sf).select("user_id", routed.alias("r")).select(
-        "user_id", "r.answer", "r.agree", F.lower(F.array_join("r.words", ",")).alias("words"))
+    return V.route_votes(vote_samples(spark, sf), "user_id", 2, 2).select("user_id", "answer", "agree", F.lower(F.array_join("words", ",")).alias("words"))
 
 
 @REGISTRY.add("vote_candidate", """
-WITH e AS (SELECT user_id, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events QUALIFY n <= 3),
+WITH e AS (SELECT user_id, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
 s AS (SELECT user_id, n, CASE WHEN event_type = 'error' THEN 'none' ELSE 'c' || (floor(value / 40)::INT % 4 + 1) END AS c, CASE WHEN event_type = 'view' THEN 'none' ELSE 'p' || (floor(value)::INT % 2 + 1) END AS p FROM e),
 k AS (SELECT user_id, c, count(*) AS m, min(n) AS f FROM s WHERE c IN ('c1', 'c2', 'c3') GROUP BY user_id, c),
 t AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY m DESC, f) = 1),
@@ -70,9 +61,8 @@ FROM z LEFT JOIN t USING (user_id) LEFT JOIN pt USING (user_id)""")
 def vote_candidate(spark, sf):
     c = F.when(F.col("event_type") == "error", "none").otherwise(F.concat(F.lit("c"), (F.floor(F.col("value") / 40) % 4 + 1).cast("string")))
     p = F.when(F.col("event_type") == "view", "none").otherwise(F.concat(F.lit("p"), (F.floor("value") % 2 + 1).cast("string")))
-    listed = _first_three(spark, sf).groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("n", c.alias("c"), p.alias("p")))).alias("s"))
-    samples = F.transform("s", lambda x: F.struct(x["c"].alias("c"), x["p"].alias("p")))
-    return listed.select("user_id", V.route_choice(samples, F.lit(3), 2, 2).alias("r")).select("user_id", "r.*")
+    votes = table(spark, sf, "events").select("user_id", F.struct("ts", "event_id").alias("ord"), c.alias("c"), p.alias("p"))
+    return V.route_choices(votes, "user_id", F.lit(3), 2, 2)
 
 
 TWO = replace(VoteRules(), attributes=("fried", "spicy"), agree_yes=2, agree_no=3)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from larderline.catalog.base import Registry, metres_sql, point, point_sql, table
@@ -30,7 +32,8 @@ def incident_rows(spark, sf):
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("incident_datetime"))
 
 
-BASE_SQL = f"""
+def base_sql(radius: float = 150, box: tuple[float, float] = (0.006, 0.0075)) -> str:
+    return f"""
 place AS (SELECT s_suppkey AS key, {point_sql('s_suppkey')},
           CASE WHEN s_nationkey % 2 = 0 THEN 'restaurant' ELSE 'cafe' END AS category, s_nationkey AS area FROM supplier),
 inc AS (SELECT event_id // 3 AS iid, event_type FROM events),
@@ -39,13 +42,13 @@ incident AS (SELECT iid, 37.70::DOUBLE + ((iid * 6151) % 997) / 10000.0::DOUBLE
              max((event_type = 'error')::INT) AS v, max((event_type IN ('click', 'view'))::INT) AS p,
              max((event_type = 'purchase')::INT) AS dr FROM inc GROUP BY iid),
 near AS (SELECT key, iid, v, p, dr, {metres_sql('lat', 'lon', 'ilat', 'ilon')} AS d FROM place, incident
-         WHERE abs(ilat - lat) <= 0.006::DOUBLE AND abs(ilon - lon) <= 0.0075::DOUBLE),
+         WHERE abs(ilat - lat) <= {box[0]}::DOUBLE AND abs(ilon - lon) <= {box[1]}::DOUBLE),
 counted AS (SELECT place.key, any_value(category) AS category, any_value(area) AS area,
-            coalesce(sum(v) FILTER (d <= 150), 0)::BIGINT AS violent,
-            coalesce(sum(p) FILTER (d <= 150), 0)::BIGINT AS property,
-            coalesce(sum(dr) FILTER (d <= 150), 0)::BIGINT AS drug,
-            coalesce(sum(greatest(v, p, dr)) FILTER (d <= 150), 0)::BIGINT AS total_distinct,
-            count(*) FILTER (d <= 150) AS all_incidents, round_even(min(d), 0)::INT AS nearest_incident_m
+            coalesce(sum(v) FILTER (d <= {radius}), 0)::BIGINT AS violent,
+            coalesce(sum(p) FILTER (d <= {radius}), 0)::BIGINT AS property,
+            coalesce(sum(dr) FILTER (d <= {radius}), 0)::BIGINT AS drug,
+            coalesce(sum(greatest(v, p, dr)) FILTER (d <= {radius}), 0)::BIGINT AS total_distinct,
+            count(*) FILTER (d <= {radius}) AS all_incidents, round_even(min(d), 0)::INT AS nearest_incident_m
             FROM place LEFT JOIN near USING (key) GROUP BY place.key),
 totals AS (SELECT *, violent + property + drug AS total FROM counted),
 ranked AS (SELECT *, round_even(total / (365 / 30.4375::DOUBLE), 2)::DOUBLE AS per_month,
@@ -53,6 +56,9 @@ ranked AS (SELECT *, round_even(total / (365 / 30.4375::DOUBLE), 2)::DOUBLE AS p
            round_even(100.0::DOUBLE * (rank() OVER (ORDER BY total) - 1) / (count(*) OVER () - 1), 1)::DOUBLE AS percentile
            FROM totals)
 """
+
+
+BASE_SQL = base_sql()
 _COLUMNS = "key, violent, property, drug, total, total_distinct, all_incidents, per_month, nearest_incident_m, percentile, rank"
 
 
@@ -70,6 +76,23 @@ def risk_top_categories(spark, sf):
     return plan.top_categories(places(spark, sf), incident_rows(spark, sf), RULES)
 
 
+WIDE = replace(RULES, radius_m=2000, box=(0.03, 0.04))
+
+
+@REGISTRY.add("street_risk_wide", f"WITH {base_sql(WIDE.radius_m, WIDE.box)} SELECT {_COLUMNS} FROM ranked")
+def street_risk_wide(spark, sf):
+    """A radius and a box of several times the default."""
+    return plan.street_risk(places(spark, sf), incident_rows(spark, sf), WIDE).select(*_COLUMNS.split(", "))
+
+
+@REGISTRY.add("risk_top_categories_wide", f"""
+WITH {base_sql(WIDE.radius_m, WIDE.box)}, per AS (SELECT key, event_type AS category, count(DISTINCT iid) AS n
+  FROM near JOIN inc USING (iid) WHERE d <= {WIDE.radius_m} GROUP BY key, event_type)
+SELECT key, category, n FROM per QUALIFY row_number() OVER (PARTITION BY key ORDER BY n DESC, category) <= 5""")
+def risk_top_categories_wide(spark, sf):
+    return plan.top_categories(places(spark, sf), incident_rows(spark, sf), WIDE)
+
+
 @REGISTRY.add("geocoding_gaps", f"""
 WITH {BASE_SQL} SELECT area, count(*) AS gaps FROM ranked
 WHERE total = 0 AND coalesce(nearest_incident_m, 0) > 150 GROUP BY area""")

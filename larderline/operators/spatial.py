@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from larderline.functions import geo
 
-# fixed values: one coarse cell is just larger than the half box of the nearest-point search
-CELL = (0.0061, 0.0076)
-FINE = 16  # fine tiles per cell side, about 42 m
+FINE = 16  # fine tiles per cell side, about 42 m for the default box
 SLACK_M = 1e-6
 
 
+def cell_of(box: tuple[float, float]) -> tuple[float, float]:
+    """Sides of a coarse cell just larger than the half box, so that the neighbours of a cell hold all of a site's box."""
+    return tuple(side * 61 / 60 for side in box)
+
+
 def _tile(col: str, size: float):
     return F.floor(F.col(col) / (size / FINE))
 
@@ -65,7 +68,7 @@ def _site_tiles(sites: DataFrame, points: DataFrame, radius_m: float, box: tuple
                         *[f"tile_{m}" for m in measures])
 
 
-def with_tiles(points: DataFrame, cell: tuple[float, float] = CELL) -> DataFrame:
+def with_tiles(points: DataFrame, cell: tuple[float, float]) -> DataFrame:
     return points.withColumn("ty", _tile("lat", cell[0])).withColumn("tx", _tile("lon", cell[1]))
 
 
@@ -75,13 +78,14 @@ def _in_box(box):
 
 
 def radius_summary(sites: DataFrame, points: DataFrame, measures: Sequence[str], radius_m: float,
-                   box: tuple[float, float], cell: tuple[float, float] = CELL) -> DataFrame:
+                   box: tuple[float, float]) -> DataFrame:
     """Per distinct site: sums of the measures within the radius and the nearest distance.
 
     ``points`` has one row per distinct (lat, lon) with additive measures; the
     nearest point is looked for inside the half box only, null outside it.
     """
     sites = sites.select("lat", "lon").distinct()
+    cell = cell_of(box)
     points = with_tiles(points, cell)
     pairs = _site_tiles(sites, points, radius_m, box, cell, measures)
     # the window holds at most 9 x 256 tiles of one site
@@ -104,12 +108,13 @@ def radius_summary(sites: DataFrame, points: DataFrame, measures: Sequence[str],
 
 
 def radius_by_category(sites: DataFrame, points: DataFrame, category: str, measure: str, radius_m: float,
-                       box: tuple[float, float], cell: tuple[float, float] = CELL) -> DataFrame:
+                       box: tuple[float, float]) -> DataFrame:
     """Per distinct site and category: the measure summed within the radius.
 
     ``points`` has one row per distinct (lat, lon, category).
     """
     sites = sites.select("lat", "lon").distinct()
+    cell = cell_of(box)
     points = with_tiles(points, cell)
     pairs = _site_tiles(sites, points, radius_m, box, cell, [])
     by_tile = points.groupBy("ty", "tx", category).agg(F.sum(measure).alias(measure))

@@ -1,4 +1,4 @@
-"""Repeated readings of an item to one answer; expressions over the samples of one row."""
+"""Repeated readings of an item to one answer: expressions over the samples of one row, and sums over long tables of votes."""
 
 from __future__ import annotations
 
@@ -81,6 +81,47 @@ def route_choice(samples: Column, candidates: Column, agree_map: int, agree_port
         .otherwise("readings do not agree on one record").alias("reason"))
 
 
+def route_votes(votes: DataFrame, key: str, agree_yes: int, agree_no: int) -> DataFrame:
+    """(key, answer, agree, words) from a long table of votes: key, ord, code, words, text (the same for all of a key).
+
+    The rule of ``route_answer`` by sums, for keys with any number of votes: no list of them is built, and the words of
+    an answer are no more than the different ones of its text.
+    """
+    read = votes.select(key, "ord", "code", quotes(F.col("words"), F.col("text")).alias("q"))
+    yes, no = (F.col("code") == "y") & (F.size("q") > 0), F.col("code") == "n"
+    counted = read.groupBy(key).agg(F.count_if(yes).alias("yes"), F.count_if(no).alias("no"), F.count("*").alias("n"))
+    said = read.where(yes | no).select(key, "code", "ord", F.posexplode("q").alias("at", "word"))
+    said = said.groupBy(key, "code", F.lower("word").alias("low")).agg(F.min_by("word", F.struct("ord", "at")).alias("word"))
+    pair = F.struct("low", "word")
+    sides = said.groupBy(key).agg(*(F.array_sort(F.collect_list(F.when(F.col("code") == c, pair))).alias(f"{c}_words") for c in ("y", "n")))
+    words = lambda c: F.coalesce(F.transform(f"{c}_words", lambda w: w["word"]), F.array().cast("array<string>"))
+    is_yes, is_no = F.col("yes") >= agree_yes, F.col("no") >= agree_no
+    return counted.join(sides, key, "left").select(
+        key, F.when(is_yes, "yes").when(is_no, "no").otherwise("unknown").alias("answer"),
+        F.when(is_yes, F.col("yes")).when(is_no, F.col("no")).otherwise(F.col("n") - F.col("yes") - F.col("no")).cast("int").alias("agree"),
+        F.when(is_yes, words("y")).when(is_no, words("n")).otherwise(F.array().cast("array<string>")).alias("words"))
+
+
+def route_choices(votes: DataFrame, key: str, candidates: Column, agree_map: int, agree_portion: int) -> DataFrame:
+    """(key, candidate, portion, agree, reason) from a long table of votes: key, ord, c, p; the rule of ``route_choice`` by sums."""
+    def most(df: DataFrame, value: str, out: str) -> DataFrame:
+        """The most frequent value of a key, the one seen first on a tie, as ``out`` (less: minus its count, value)."""
+        per = df.groupBy(key, value).agg(F.count("*").alias("n"), F.min("ord").alias("first"))
+        return per.groupBy(key).agg(F.min(F.struct((-F.col("n")).alias("less"), "first", F.col(value).alias("value"))).alias(out))
+
+    pick = _numbered(F.col("c"), "c")
+    counted = votes.groupBy(key).agg(F.count_if(F.col("c") == "none").alias("none"), F.count("*").alias("n"))
+    top = most(votes.withColumn("k", pick).where(F.col("k").between(F.lit(1), candidates)), "k", "t")
+    chosen = votes.join(top, key).where(pick == F.col("t.value")).withColumn("k", _numbered(F.col("p"), "p")).where(F.col("k").isNotNull())
+    both = counted.join(top, key, "left").join(most(chosen, "k", "p"), key, "left")
+    n, none = -F.col("t.less"), F.col("none")
+    taken, all_none = F.coalesce(n >= agree_map, F.lit(False)), F.col("none") == F.col("n")
+    return both.select(
+        key, F.when(taken, F.col("t.value")).alias("candidate"), F.when(taken & (-F.col("p.less") >= agree_portion), F.col("p.value")).alias("portion"),
+        F.when(taken, n).when(all_none, none).otherwise(F.greatest(F.coalesce(n, F.lit(0)), none)).cast("int").alias("agree"),
+        F.when(taken, "").when(all_none, "no candidate is the same food").otherwise("readings do not agree on one record").alias("reason"))
+
+
 def choice_samples(samples: Column) -> Column:
     """Stored map samples as votes: a missing part is none, a refusal is neither."""
     return F.transform(samples, lambda s: F.struct(

@@ -220,3 +220,47 @@ def test_match_keeps_nearest_address_and_siblings(spark):
     assert {(r.business_id, r.kind) for r in out.matches.collect()} == {("1", "exact"), ("3", "sibling")}
     assert [r.other_address for r in out.other_addresses.collect()] == ["9 OAK ST"]
     assert out.places.first().methods == ["exact", "sibling"]
+
+
+def test_radius_reaches_a_wide_box(spark):
+    """Counts and nearest distances for three boxes and radii against all pairs."""
+    import math
+    import random
+    rng = random.Random(4)
+    sites = [(37.7 + rng.random() / 10, -122.5 + rng.random() / 10) for _ in range(25)] + [(37.7, -122.5)]
+    points = [(37.7 + rng.random() / 10, -122.5 + rng.random() / 10) for _ in range(1500)]
+
+    def metres(a, b, c, d):
+        h = math.sin(math.radians(c - a) / 2) ** 2 + math.cos(math.radians(a)) * math.cos(math.radians(c)) * math.sin(math.radians(d - b) / 2) ** 2
+        return 2 * 6371000 * math.asin(math.sqrt(h))
+
+    from larderline.operators.spatial import radius_by_category, radius_summary
+    s = spark.createDataFrame(sites, "lat double, lon double")
+    p = spark.createDataFrame([(*x, 1, "abc"[k % 3]) for k, x in enumerate(points)], "lat double, lon double, n long, kind string")
+    for radius, box in ((150, (0.006, 0.0075)), (2000, (0.03, 0.03)), (9000, (0.2, 0.2))):
+        near = {x: [(metres(*x, *y), k) for k, y in enumerate(points) if abs(y[0] - x[0]) <= box[0] and abs(y[1] - x[1]) <= box[1]] for x in sites}
+        got = {(r["lat"], r["lon"]): r for r in radius_summary(s, p, ["n"], radius, box).collect()}
+        for x in sites:
+            want = [d for d, _ in near[x] if d <= radius]
+            assert (got[x]["n"] if x in got else 0) == len(want)
+            if near[x]:
+                assert abs(got[x]["nearest_m"] - min(near[x])[0]) < 1e-6
+        kinds = {(r["lat"], r["lon"], r["kind"]): r["n"] for r in radius_by_category(s, p, "kind", "n", radius, box).collect()}
+        assert kinds == {(*x, "abc"[j]): n for x in sites for j in range(3) if (n := sum(d <= radius and k % 3 == j for d, k in near[x]))}
+
+
+def test_long_votes_follow_the_rule_of_samples(spark):
+    """The sums over a long table answer as the expression over samples does."""
+    import random
+    from larderline.operators import votes as V
+    rng = random.Random(6)
+    rows = [(k, n, rng.choice("ynux"), [rng.choice(["hot", "Hot", "cold ", "", "far"]) for _ in range(rng.randint(0, 2))], "Hot and cold") for k in range(60) for n in range(rng.randint(1, 7))]
+    long = spark.createDataFrame(rows, "key long, ord int, code string, words array<string>, text string")
+    listed = long.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("ord", "code", "words"))).alias("s"), F.first("text").alias("text"))
+    one = listed.select("key", V.route_answer(F.col("s"), F.col("text"), 2, 2).alias("r")).select("key", "r.*")
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, V.route_votes(long, "key", 2, 2).collect()))
+    rows = [(k, n, rng.choice(["c1", "c2", "c9", "none", "refused", None]), rng.choice(["p1", "p2", "none", None])) for k in range(80) for n in range(rng.randint(1, 6))]
+    long = spark.createDataFrame(rows, "key long, ord int, c string, p string")
+    listed = long.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("ord", "c", "p"))).alias("s"))
+    one = listed.select("key", V.route_choice(F.col("s"), F.lit(3), 2, 2).alias("r")).select("key", "r.*")
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, V.route_choices(long, "key", F.lit(3), 2, 2).select(*one.columns).collect()))
