@@ -44,7 +44,7 @@ class ScoreRules:
 def packed(values: np.ndarray) -> bytes:
     """Whole numbers as compressed planes of bytes."""
     v = np.ascontiguousarray(values, np.uint64)
-    return zstandard.ZstdCompressor(level=1).compress(np.uint64(len(v)).tobytes() + v.view(np.uint8).reshape(-1, 8).T.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(np.uint64(len(v)).tobytes() + v.view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
 def unpacked(data: bytes) -> np.ndarray:
@@ -114,8 +114,14 @@ class Block:
                 a, b = edge[k], edge[k + 1]
                 if a < b:
                     yield {"bucket": k, "kind": kind, "block": number, "deleted": deleted, "a": packed_sorted(values[a:b]), "b": packed(count[a:b])}
-        yield {"bucket": number % buckets, "kind": DOCS, "block": number, "deleted": deleted, "a": packed_sorted(vocabulary), "b": packed(tokens),
-               "c": packed(length), "docs": self.docs, "held": self.held}
+        seen = np.bincount(tokens, minlength=len(vocabulary))
+        yield {"bucket": number % buckets, "kind": DOCS, "block": number, "deleted": deleted, "a": packed_sorted(vocabulary), "b": packed(np.argsort(by_frequency(seen))[tokens]),
+               "c": packed(length), "d": packed(seen), "docs": self.docs, "held": self.held}
+
+
+def by_frequency(seen: np.ndarray) -> np.ndarray:
+    """Words in falling order of their count, so that the frequent ones get small numbers, which pack well."""
+    return np.argsort(-seen.astype(np.int64), kind="stable")
 
 
 def before(tokens: np.ndarray, length: np.ndarray, start: int) -> np.ndarray:
@@ -126,8 +132,8 @@ def before(tokens: np.ndarray, length: np.ndarray, start: int) -> np.ndarray:
     return out
 
 
-SCHEMA = "bucket int, kind int, block long, deleted boolean, a binary, b binary, c binary, docs array<bigint>, held array<boolean>"
-ARROW = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("block", pa.int64()), ("deleted", pa.bool_()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()),
+SCHEMA = "bucket int, kind int, block long, deleted boolean, a binary, b binary, c binary, d binary, docs array<bigint>, held array<boolean>"
+ARROW = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("block", pa.int64()), ("deleted", pa.bool_()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()), ("d", pa.binary()),
                    ("docs", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_()))])
 
 
@@ -182,7 +188,7 @@ def corpus_counts(sent: DataFrame) -> DataFrame:
             if kind == WORD:
                 word = found != start
                 sums = [int(x) for x in (total[word].sum(), (total[word] > 0).sum(), rest[word].sum(), (rest[word] > 0).sum())]
-                out.append(pd.DataFrame({"bucket": [bucket], "kind": [TOTAL], "block": [-1], "deleted": [False], "a": [None], "b": [None], "c": [None], "docs": [sums], "held": [None]}))
+                out.append(pd.DataFrame({"bucket": [bucket], "kind": [TOTAL], "block": [-1], "deleted": [False], "a": [None], "b": [None], "c": [None], "d": [None], "docs": [sums], "held": [None]}))
         return pd.concat(out, ignore_index=True)[list(pdf.columns)]
 
     return sent.groupBy("bucket").applyInPandas(run, SCHEMA)
@@ -203,7 +209,8 @@ class Estimates:
         texts = pdf[pdf["kind"] == DOCS].iloc[0]
         rows = pdf.sort_values("bucket")
         count = [np.concatenate([unpacked(x) for x in rows.loc[rows["kind"] == k, column]]).astype(np.float64) for k in (WORD, PAIR)]
-        vocabulary, tokens, length = unpacked_sorted(texts["a"]), unpacked(texts["b"]).astype(np.int64), unpacked(texts["c"]).astype(np.int64)
+        vocabulary, length = unpacked_sorted(texts["a"]), unpacked(texts["c"]).astype(np.int64)
+        tokens = by_frequency(unpacked(texts["d"]))[unpacked(texts["b"]).astype(np.int64)]
         start = int(np.searchsorted(vocabulary, np.uint64(xxhash.xxh64_intdigest(START))))
         last = before(tokens, length, start)
         where = np.unique(pair_keys(vocabulary[last], vocabulary[tokens]), return_inverse=True)[1]
