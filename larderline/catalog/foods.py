@@ -12,7 +12,7 @@ from larderline.operators import reports as R
 from larderline.operators.dedup import numbered_chunks
 from larderline.operators.matching import token_frequency
 from larderline.operators.ordering import each
-from larderline.operators.retrieval import candidate_foods, retrieve, with_weights
+from larderline.operators.retrieval import candidate_foods, question_text as ask, retrieve, with_weights
 from larderline.plans import readings as plan
 from larderline.session import spread
 
@@ -124,6 +124,22 @@ pp AS (SELECT *, list_transform(list_filter(ss, lambda s: s.c = 'c' || cand AND
 fin AS (SELECT *, CASE WHEN len(list_filter(ps, lambda x: x = ps[1])) >= 2 THEN ps[1] END AS portion, id % 19 = 0 AS labelled FROM pp)"""
 
 
+@REGISTRY.add("question_text", """
+WITH p AS (SELECT p_partkey AS k, p_partkey % 5 AS n, p_name, p_type, p_size, CASE WHEN p_partkey % 4 = 0 THEN p_brand ELSE '' END AS brand FROM part),
+c AS (SELECT k, string_agg('c' || i || CASE WHEN (k + i) % 2 = 0 THEN ' [DISH] ' ELSE ' [FOOD] ' END || 'food ' || i || ' | portions: p1 1 cup (' || printf('%g', 100 + i + k / 7.0::DOUBLE) || ' g); p2 1 slice (' ||
+  printf('%g', (30 + i) * 100000.0::DOUBLE * (k % 3)) || ' g)', chr(10) ORDER BY i) AS rows FROM p, range(1, 5) r(i) WHERE i <= n GROUP BY k)
+SELECT p.k AS id, concat_ws(chr(10), 'Section: ' || p_type, 'Item: ' || p_name, CASE WHEN brand <> '' THEN 'Description: ' || brand END,
+  'Package: ' || CASE WHEN k % 3 = 0 THEN p_size || ' Oz' ELSE '1 Each' END, 'Kind: ' || CASE WHEN k % 2 = 0 THEN 'restaurant or cafe menu item' ELSE 'packaged store product' END,
+  '', 'Candidates:', coalesce(rows, '')) AS text FROM p LEFT JOIN c USING (k)""")
+def question_text(spark, sf):
+    k = F.col("p_partkey")
+    grams = lambda i: F.array(F.struct(F.lit("1 cup").alias("label"), (100 + i + k / 7).alias("grams")), F.struct(F.lit("1 slice").alias("label"), ((30 + i) * 100000.0 * (k % 3)).alias("grams")))
+    own = table(spark, sf, "part").select(k.alias("id"), F.col("p_type").alias("section"), F.col("p_name").alias("name"), F.when(k % 4 == 0, F.col("p_brand")).otherwise("").alias("description"))
+    listed = F.transform("candidates", lambda c: c.withField("portions", grams(c["fdcId"] - F.col("id") * 10)))
+    inputs = _map_inputs(spark, sf).join(own, "id").withColumn("p_partkey", F.col("id")).withColumn("candidates", listed)
+    return inputs.select("id", ask().alias("text"))
+
+
 @REGISTRY.add("food_map", f"""
 WITH {_MAP_SQL}, d AS (SELECT *, NOT labelled AND n > 0 AND is_read AND cand IS NOT NULL AS taken, (id + cand) % 2 = 0 AND (id + cand) % 3 = 0 AS dish FROM fin
   WHERE labelled OR n = 0 OR is_read)

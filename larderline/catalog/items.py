@@ -77,19 +77,19 @@ def _pull(spark, sf):
     path = (F.when(k % 6 == 0, "Flowers & Plants>Roses").when(k % 6 == 1, "Food>Bakery>Bread").when(k % 6 == 2, "Food>")
             .when(k % 6 == 3, "Beverages>Tea").otherwise(F.concat(F.lit("Food> "), F.col("p_type"), F.lit("  > x"))))
     return table(spark, sf, "part").select(
-        k.alias("ord"), (k % 700).cast("string").alias("sku"), F.concat(F.lit("  "), F.replace("p_name", F.lit(" "), F.lit("  "))).alias("title"),
-        F.when(k % 8 != 0, F.col("p_retailprice")).alias("price"), (F.col("p_size") / 2).alias("quantity"),
+        k.alias("ord"), (k % 700).cast("string").alias("sku"), F.concat(F.lit("\u00a0\t "), F.replace("p_name", F.lit(" "), F.lit(" \u00a0")), F.lit("\n")).alias("title"),
+        F.when(k % 8 != 0, F.col("p_retailprice")).alias("price"), (F.col("p_size") * F.when(k % 7 == 0, 98765.4321).when(k % 7 == 1, 0.0000123).otherwise(1 / 7)).alias("quantity"),
         F.when(k % 5 == 0, "Oz").when(k % 5 == 1, "Each").alias("unit"), path.alias("path"))
 
 
 @REGISTRY.add("product_normalize", """
-WITH r AS (SELECT p_partkey AS ord, p_partkey % 700 AS sku, trim(p_name) AS name, CASE WHEN p_partkey % 8 <> 0 THEN p_retailprice END AS price, p_size / 2.0::DOUBLE AS n,
+WITH r AS (SELECT p_partkey AS ord, p_partkey % 700 AS sku, trim(p_name) AS name, CASE WHEN p_partkey % 8 <> 0 THEN p_retailprice END AS price, p_size * CASE p_partkey % 7 WHEN 0 THEN 98765.4321::DOUBLE WHEN 1 THEN 0.0000123::DOUBLE ELSE 1 / 7.0::DOUBLE END AS n,
   CASE p_partkey % 5 WHEN 0 THEN 'Oz' WHEN 1 THEN 'Each' ELSE '' END AS unit,
   CASE p_partkey % 6 WHEN 1 THEN 'Bakery / Bread' WHEN 2 THEN 'Uncategorized' WHEN 3 THEN 'Beverages / Tea' ELSE ' ' || p_type || '  /  x' END AS section
   FROM part WHERE p_partkey % 6 <> 0),
-f AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY sku ORDER BY ord) = 1)
-SELECT section, name, '' AS description, trim(regexp_replace(n::VARCHAR, '\\.0$', '') || ' ' || unit) AS size, price,
-  CASE unit WHEN 'Oz' THEN 'weight' WHEN 'Each' THEN 'each' END AS sold_by, CASE unit WHEN 'Oz' THEN round_even(n * 28.349523125::DOUBLE, 1)::DOUBLE END AS package_g,
+s AS (SELECT *, printf('%g', n) AS shown FROM r), f AS (SELECT * REPLACE (CASE WHEN shown NOT LIKE '%e%' THEN shown::DOUBLE END AS n) FROM s QUALIFY row_number() OVER (PARTITION BY sku ORDER BY ord) = 1)
+SELECT section, name, '' AS description, trim(shown || ' ' || unit) AS size, price,
+  CASE WHEN n IS NOT NULL THEN CASE unit WHEN 'Oz' THEN 'weight' WHEN 'Each' THEN 'each' END END AS sold_by, CASE unit WHEN 'Oz' THEN round_even(n * 28.349523125::DOUBLE, 1)::DOUBLE END AS package_g,
   NULL::DOUBLE AS package_ml, CASE unit WHEN 'Each' THEN round_even(n, 0)::INT END AS units FROM f""")
 def product_normalize(spark, sf):
     return I.in_shelf_order(I.products_from_pull(_pull(spark, sf), PackageRules()))

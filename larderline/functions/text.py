@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Characters that count as white space.
+WHITE = "".join(chr(i) for i in range(0x10000) if chr(i).isspace())
+
+
 @lru_cache(maxsize=1)
 def _fold_tables() -> tuple[str, str, dict[str, str]]:
     """Characters whose compatibility decomposition holds ASCII: one-letter and longer ones."""
@@ -103,7 +107,7 @@ def title_case(c: Column) -> Column:
 
 def placard(c: Column) -> Column:
     """Inspection status with its misspellings resolved; blank is null."""
-    s = F.upper(F.trim(c))
+    s = F.upper(strip(c))
     return (F.when(s == "", None)
             .when(s.startswith("CONDIT"), "Conditional Pass")
             .when(s.startswith("PASS"), "Pass")
@@ -120,16 +124,30 @@ def zip5(c: Column) -> Column:
     return F.substring(F.coalesce(c, F.lit("")), 1, 5)
 
 
+def strip(c: Column) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.trim(c, F.lit(WHITE))
+
+
 def squeeze(c: Column) -> Column:
     """Runs of white space as one space, none at the ends; null is empty."""
-    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", " "))
+    return strip(F.regexp_replace(F.coalesce(c, F.lit("")), f"[{_ranges(WHITE)}]+", " "))
 
 
 def short_number(c: Column) -> Column:
-    """A number as printed without trailing zeros: 16, 5.3; text that is no number is kept."""
-    n = c.cast("double")
-    plain = F.regexp_replace(F.format_string("%.6f", n), r"\.?0+$", "")
-    return F.when(n.isNull(), c.cast("string")).otherwise(plain)
+    """A number in six significant digits without trailing zeros, with an exponent below 1e-4 and from 1e6 on:
+    16, 5.3, 12.3457, 1.23457e+06. Text that is no number is kept."""
+    n = c.try_cast("double")
+    shown = F.format_string("%.5e", n)
+    exponent = F.split(shown, "e")[1].cast("int")
+    sign, digits = F.when(shown.startswith("-"), "-").otherwise(""), F.regexp_replace(F.split(shown, "e")[0], "[-.]", "")
+    zeros = lambda s: F.regexp_replace(s, r"(?:(\.[0-9]*[1-9])|\.)0*$", "$1")
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    plain = F.concat(F.substring(digits, F.lit(1), exponent + 1), F.lit("."), F.substring(digits, exponent + 2, F.lit(6)))
+    power = F.concat(zeros(F.concat(F.substring(digits, 1, 1), F.lit("."), F.substring(digits, 2, 5))), F.lit("e"), F.split(shown, "e")[1])
+    written = F.when((exponent < -4) | (exponent >= 6), power).otherwise(zeros(F.when(exponent < 0, small).otherwise(plain)))
+    odd = F.when(F.isnan(n), "nan").when(n == float("inf"), "inf").when(n == float("-inf"), "-inf")
+    return F.when(n.isNull(), c.cast("string")).otherwise(F.coalesce(odd, F.concat(sign, written)))
 
 
 def search_tokens(c: Column, prefix_length: int) -> Column:
@@ -167,7 +185,7 @@ def item_text(section: Column, name: Column, description: Column) -> Column:
 def quotes(words: Column, text: Column) -> Column:
     """Words, trimmed, that occur in the text whatever their case."""
     low = F.lower(text)
-    trimmed = F.transform(F.coalesce(words, F.array().cast("array<string>")), lambda w: F.trim(w))
+    trimmed = F.transform(F.coalesce(words, F.array().cast("array<string>")), lambda w: strip(w))
     return F.filter(trimmed, lambda w: (w != "") & F.contains(low, F.lower(w)))
 
 
@@ -178,11 +196,6 @@ def distinct_words(words: Column) -> Column:
                        lambda w: F.element_at(words, F.array_position(lows, w).cast("int")))
 
 
-def json_hash(parts: Sequence[Column], n: int = 12) -> Column:
-    """Short hash of several settings, as the basis readings are kept under."""
-    return F.substring(F.sha2(F.to_json(F.struct(*parts)), 256), 1, n)
-
-
 def _similarity():
     # a nested function travels to the workers by value, so they need not have this package installed
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from larderline.config import FOOD_RELEASES, SURVEY, NutrientRules
 from larderline.functions.numbers import round_even
+from larderline.functions.text import squeeze, strip
 
 
 def _releases(which: int) -> Column:
@@ -15,9 +16,9 @@ def _releases(which: int) -> Column:
 
 def portion_label(amount: Column, unit: Column, modifier: Column, description: Column) -> Column:
     """``1 cup chopped``: blank parts and an undetermined unit are left out."""
-    part = lambda c: F.nullif(F.trim(c), F.lit(""))
+    part = lambda c: F.nullif(strip(c), F.lit(""))
     text = F.concat_ws(" ", part(amount), F.when(unit != "undetermined", part(unit)), part(modifier), part(description))
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    return squeeze(text)
 
 
 def own_foods(food: DataFrame) -> DataFrame:
@@ -33,8 +34,8 @@ def food_portions(foods: DataFrame, portions: DataFrame, units: DataFrame) -> Da
     named = weighed.join(units.select("release", F.col("id").alias("measure_unit_id"), F.col("name").alias("unit")),
                          ["release", "measure_unit_id"], "left")
     label = portion_label(F.col("amount"), F.coalesce("unit", F.lit("")), F.col("modifier"), F.col("portion_description"))
-    own = (F.col("dataType") == SURVEY) & (F.trim("portion_description") != "")
-    return named.select("release", "fdc_id", "ord", F.when(own, F.trim("portion_description")).otherwise(label).alias("label"),
+    own = (F.col("dataType") == SURVEY) & (strip(F.col("portion_description")) != "")
+    return named.select("release", "fdc_id", "ord", F.when(own, strip(F.col("portion_description"))).otherwise(label).alias("label"),
                         round_even(F.col("gram_weight").cast("double"), 1).alias("grams"))
 
 
@@ -70,7 +71,7 @@ def flatten_records(records: DataFrame, fetched_at: str) -> DataFrame:
                                     p["modifier"], p["portionDescription"])
     portions = F.transform(
         F.filter("foodPortions", lambda p: F.coalesce(p["gramWeight"] != 0, F.lit(False))),
-        lambda p: F.struct(F.when(F.col("dataType") == SURVEY, F.trim(F.coalesce(p["portionDescription"], F.lit(""))))
+        lambda p: F.struct(F.when(F.col("dataType") == SURVEY, strip(F.coalesce(p["portionDescription"], F.lit(""))))
                            .otherwise(label(p)).alias("description"), p["gramWeight"].alias("gram_weight")))
     none = lambda t: F.array().cast(t)
     return records.select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from larderline.config import (DocumentRules, FoodRules, FreshnessRules, NutrientRules, VerdictRules, VoteRules)
 from larderline.functions.numbers import printed_tolerance
-from larderline.functions.text import item_text, text_hash
+from larderline.functions.text import item_text, strip, text_hash
 from larderline.operators.dedup import duplicates
 from larderline.operators.ordering import each
 from larderline.operators.retrieval import record_kind
@@ -71,7 +71,7 @@ def document_shape(documents: DataFrame, keys: DataFrame, rules: DocumentRules =
            .withColumn("_name", F.when(F.col("_product"), F.get_json_object("row", "$.name"))
                        .otherwise(F.get_json_object("row", "$.item"))))
     malformed = ((F.array_sort(F.json_object_keys("row")) != F.col("_shape"))
-                 | (F.coalesce(F.trim("_name"), F.lit("-")) == "")
+                 | (F.coalesce(strip(F.col("_name")), F.lit("-")) == "")
                  | ~F.col("_price").rlike("^(VOID|BIGINT|DOUBLE|FLOAT|DECIMAL.*|BOOLEAN)$"))
     first = (row.filter(F.coalesce(malformed, F.lit(True))).groupBy("file")
              .agg(F.min(F.struct("pos", "row")).alias("m")))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larderline.config import SURVEY, FoodRules
-from larderline.functions.text import alias_words, search_tokens
+from larderline.functions.text import alias_words, search_tokens, short_number
 from larderline.operators.ordering import each, first_rows
 from larderline.session import cut, spread
 
@@ -105,9 +105,8 @@ def question_text(rules: FoodRules = FoodRules()) -> Column:
     """Text of an item with its numbered candidates and their portions, as a reader is asked."""
     line = lambda label, c: F.when(F.coalesce(F.col(c), F.lit("")) != "", F.concat(F.lit(label), F.col(c)))
     kind = F.when(F.col("kind") == "product", "packaged store product").otherwise("restaurant or cafe menu item")
-    grams = lambda g: F.regexp_replace(F.format_string("%.6f", g), r"\.?0+$", "")
     portions = lambda ps: F.array_join(F.transform(ps, lambda p, i: F.concat(
-        F.lit("p"), (i + 1).cast("string"), F.lit(" "), p["label"], F.lit(" ("), grams(p["grams"]), F.lit(" g)"))), "; ")
+        F.lit("p"), (i + 1).cast("string"), F.lit(" "), p["label"], F.lit(" ("), short_number(p["grams"]), F.lit(" g)"))), "; ")
     rows = F.transform("candidates", lambda c, i: F.concat(
         F.lit("c"), (i + 1).cast("string"), F.when(c["dataType"] == SURVEY, " [DISH] ").otherwise(" [FOOD] "),
         c["description"],

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larderline.config import VoteRules
-from larderline.functions.text import distinct_words, quotes
+from larderline.functions.text import distinct_words, quotes, strip
 
 SAMPLES = "array<struct<a:string,w:map<string,array<string>>,refusal:boolean>>"
 CHOICES = "array<struct<c:string,p:string,refusal:boolean>>"
@@ -139,7 +139,7 @@ def parse_tag_replies(replies: DataFrame, rules: VoteRules = VoteRules()) -> Dat
     words = F.array(*[F.struct(F.lit(a).alias("k"), F.when(
         F.col(f"_d.{a}.answer") != "unknown",
         F.filter(F.coalesce(F.col(f"_d.{a}.words"), F.array().cast("array<string>")),
-                 lambda w: F.trim(w) != "")).alias("v")) for a in rules.attributes])
+                 lambda w: strip(w) != "")).alias("v")) for a in rules.attributes])
     kept = F.map_from_entries(F.filter(words, lambda e: F.coalesce(F.size(e["v"]) > 0, F.lit(False))))
     refusal = F.col("stop_reason") == "refusal"
     ended = F.col("stop_reason") == "end_turn"
@@ -160,7 +160,7 @@ def parse_choice_replies(replies: DataFrame) -> DataFrame:
     whole = F.col("_d.choice").isNotNull() & F.col("_d.portion").isNotNull()
     ok = ended & whole
     return (replies.withColumn("_d", data).withColumn("refusal", refusal)
-            .withColumn("c", F.when(ok, F.trim("_d.choice"))).withColumn("p", F.when(ok, F.trim("_d.portion")))
+            .withColumn("c", F.when(ok, strip(F.col("_d.choice")))).withColumn("p", F.when(ok, strip(F.col("_d.portion"))))
             .withColumn("problem", F.when(refusal | F.coalesce(ok, F.lit(False)), None)
                         .when(~ended, F.concat(F.lit("stop_reason "), "stop_reason")).otherwise("unparseable reading"))
             .drop("_d"))
@@ -170,5 +170,5 @@ def only_item_words(words: Column, text: Column) -> Column:
     """Quoted words of a sample that occur in the item; an attribute left without words is dropped."""
     low = F.lower(text)
     kept = F.transform_values(words, lambda _, ws: F.filter(
-        ws, lambda w: (F.trim(w) != "") & F.contains(low, F.lower(F.trim(w)))))
+        ws, lambda w: (strip(w) != "") & F.contains(low, F.lower(strip(w)))))
     return F.map_filter(kept, lambda _, ws: F.size(ws) > 0)

@@ -149,3 +149,17 @@ def test_ring_and_line_against_direct_loops(spark):
                     geo.line_latitude(F.col("lon"), as_array(line)).alias("l")).collect()
     assert all(r.i == inside(r.lat, r.lon) for r in got)
     assert all(math.isclose(r.l, line_lat(r.lon)) for r in got)
+
+
+def test_general_numbers_and_white_space(spark):
+    """Six significant digits at all magnitudes, and white space of every kind."""
+    import random
+    from larderline.functions.text import WHITE, short_number, squeeze, strip
+    rng = random.Random(1)
+    numbers = [0.0, -0.0, 1.0, 16.0, 5.3, 12.3456789, 1234567.0, 999999.5, 0.0001, 0.00001, 123456.0, -2.5, 1e20, 1e-20, float("inf"), float("-inf"), float("nan"), 100000.0, 1e6, 999999.4]
+    numbers += [rng.uniform(-1, 1) * 10 ** rng.randint(-8, 12) for _ in range(300)]
+    got = spark.createDataFrame([(i, x) for i, x in enumerate(numbers)], "i int, x double").select("i", short_number(F.col("x")).alias("t")).collect()
+    assert {r["i"]: r["t"] for r in got} == {i: f"{x:g}" for i, x in enumerate(numbers)}
+    texts = ["", "a", *(f"{w}a{w}{w}b{w}" for w in WHITE)]
+    got = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string").select("i", strip(F.col("x")).alias("s"), squeeze(F.col("x")).alias("q"), short_number(F.col("x")).alias("n")).collect()
+    assert all(r["s"] == texts[r["i"]].strip() and r["q"] == " ".join(texts[r["i"]].split()) and r["n"] == texts[r["i"]] for r in got)
