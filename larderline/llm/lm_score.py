@@ -35,7 +35,7 @@ class ScoreRules:
     folds: int = 10
     held_fold: int = 0         # fold of the documents that are scored without being learned from
     deleted_fold: int = 9      # training fold that the mixture weights are learned from
-    block_tokens: int = 2_000_000
+    block_tokens: int = 3_000_000
     base_add: float = 0.1      # additive constant of the base score
     rounds: int = 200          # of expectation-maximisation
     floor: float = 1e-4        # least weight of the uniform part
@@ -115,7 +115,7 @@ class Block:
                 if a < b:
                     yield {"bucket": k, "kind": kind, "block": number, "deleted": deleted, "a": packed_sorted(values[a:b]), "b": packed(count[a:b])}
         seen = np.bincount(tokens, minlength=len(vocabulary))
-        yield {"bucket": number % buckets, "kind": DOCS, "block": number, "deleted": deleted, "a": packed_sorted(vocabulary), "b": packed(np.argsort(by_frequency(seen))[tokens]),
+        yield {"bucket": number % buckets, "kind": DOCS, "block": number, "deleted": deleted, "b": packed(np.argsort(by_frequency(seen))[tokens]),
                "c": packed(length), "d": packed(seen), "docs": self.docs, "held": self.held}
 
 
@@ -167,7 +167,7 @@ def blocks(docs: DataFrame, buckets: int, rules: ScoreRules) -> DataFrame:
 def corpus_counts(sent: DataFrame) -> DataFrame:
     """For each block, the corpus counts of its words and pairs; its texts as they came; and each bucket's totals.
 
-    A deleted block gets the counts without the deleted part in ``c`` besides.
+    Words come with their hashes, pairs just in order. A deleted block gets the counts without the deleted part in ``c`` besides.
     """
     start = np.uint64(xxhash.xxh64_intdigest(START))
 
@@ -184,7 +184,7 @@ def corpus_counts(sent: DataFrame) -> DataFrame:
             total = np.bincount(where, weights=counts, minlength=len(found)).astype(np.uint64)
             rest = total - np.bincount(where[off], weights=counts[off], minlength=len(found)).astype(np.uint64)
             parts = np.split(where, np.cumsum(size)[:-1])
-            out.append(rows.assign(a=None, b=[packed(total[p]) for p in parts], c=[packed(rest[p]) if d else None for p, d in zip(parts, rows["deleted"])]))
+            out.append(rows.assign(a=rows["a"] if kind == WORD else None, b=[packed(total[p]) for p in parts], c=[packed(rest[p]) if d else None for p, d in zip(parts, rows["deleted"])]))
             if kind == WORD:
                 word = found != start
                 sums = [int(x) for x in (total[word].sum(), (total[word] > 0).sum(), rest[word].sum(), (rest[word] > 0).sum())]
@@ -209,7 +209,8 @@ class Estimates:
         texts = pdf[pdf["kind"] == DOCS].iloc[0]
         rows = pdf.sort_values("bucket")
         count = [np.concatenate([unpacked(x) for x in rows.loc[rows["kind"] == k, column]]).astype(np.float64) for k in (WORD, PAIR)]
-        vocabulary, length = unpacked_sorted(texts["a"]), unpacked(texts["c"]).astype(np.int64)
+        vocabulary = np.concatenate([unpacked_sorted(x) for x in rows.loc[rows["kind"] == WORD, "a"]])  # the buckets' ranges follow each other
+        length = unpacked(texts["c"]).astype(np.int64)
         tokens = by_frequency(unpacked(texts["d"]))[unpacked(texts["b"]).astype(np.int64)]
         start = int(np.searchsorted(vocabulary, np.uint64(xxhash.xxh64_intdigest(START))))
         last = before(tokens, length, start)

@@ -34,7 +34,7 @@ def tokens(t):
     return [x.decode() for x in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in (t or "")).encode().split()] + ["\n"]
 
 
-@pytest.mark.parametrize("block", [300, 2_000_000])
+@pytest.mark.parametrize("block", [300, 3_000_000])
 def test_base_score_and_mixture_equal_plain_counts(spark, block):
     docs = corpus()
     rules = S.ScoreRules(block_tokens=block)
