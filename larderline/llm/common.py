@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-import re
 from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larderline.session import cut
 
-SPACE = rb"[\x20\x09-\x0D]+"
-SHINGLE_WORDS = 5
-SIMILARITY = 0.8
-
 
 def fold(doc_id: str, of: int) -> Column:
     """Fold of a document: crc32 of its id as text, modulo ``of``. A null id falls in fold 0."""
@@ -51,9 +47,10 @@ def starts(keys: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]))
 
 
-def unchanged(columns: list[str]) -> str:
-    """Comma-separated quoted names, for schema strings."""
-    return ", ".join(f"`{c}`" for c in columns)
+def with_fields(df: DataFrame, columns: list[str], made: str, text: str | None = None) -> T.StructType:
+    """Schema of ``columns`` of ``df`` (the one named ``text`` as a string) and of what is made besides, as DDL."""
+    kept = [T.StructField(f.name, T.StringType()) if f.name == text else f for f in df.select(*columns).schema.fields] if columns else []
+    return T.StructType(kept + T.StructType.fromDDL(made).fields)
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -89,7 +86,3 @@ def components(edges: DataFrame) -> DataFrame:
                  .select(F.inline(F.array(F.struct(F.greatest("b", "m").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b"))))))
         edges = cut(small.where("a <> b").distinct())
     return edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
-
-
-def clean_name(text: str) -> str:
-    return re.sub(r"\W+", "_", text)

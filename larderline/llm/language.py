@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larderline.llm.common import fold, fresh, slices
+from larderline.llm.common import fold, fresh, slices, with_fields
 
 NONE = "und"
 
@@ -200,9 +200,8 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", names: t
                 pa.array(said, pa.string()), pa.array(scores, pa.float64()), pa.array(unsure, pa.bool_()))))
             yield pa.RecordBatch.from_pydict(out)
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema.fields)
     made = ", ".join(f"`{n}` {kind}" for n, kind in zip(names, ("string", "double", "boolean")))
-    return docs.select(*kept, F.col(text).alias(key)).mapInArrow(run, ", ".join(filter(None, (fields, made))))
+    return docs.select(*kept, F.col(text).cast("string").alias(key)).mapInArrow(run, with_fields(docs, kept, made))
 
 
 def predict(docs: DataFrame) -> DataFrame:

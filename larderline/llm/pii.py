@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larderline.llm.common import fresh, slices
+from larderline.llm.common import fresh, slices, with_fields
 
 ROUNDS = 8
 FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
@@ -249,10 +249,9 @@ def pseudonymize(docs: DataFrame, key: bytes, text: str = "text", rules: PiiRule
             out = {c: pa.array([t for t, _ in new], pa.string()) if c == text else batch.column(c) for c in kept}
             yield pa.RecordBatch.from_pydict(out | {"n_pii": pa.array([len(f) for _, f in new], pa.int64()), "spans": pa.array([[dict(zip(("kind", "start", "end"), x)) for x in f] for _, f in new], struct)})
 
-    fields = [f"`{f.name}` {'string' if f.name == text else f.dataType.simpleString()}" for f in docs.select(*kept).schema.fields]
     # the text goes in once: under its own name there would be two copies
     slim = docs.select(*(F.lit(None).cast("string").alias(c) if c == text else F.col(c) for c in kept), F.col(text).cast("string").alias(name))
-    return slim.mapInArrow(run, ", ".join([*fields, "n_pii long, spans array<struct<kind: string, start: bigint, end: bigint>>"]))
+    return slim.mapInArrow(run, with_fields(docs, kept, "n_pii long, spans array<struct<kind: string, start: bigint, end: bigint>>", text))
 
 
 #: For the registered query only; a deployment passes its own secret.

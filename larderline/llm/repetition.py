@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larderline.llm.common import fresh, raw, slices, words
+from larderline.llm.common import fresh, raw, slices, with_fields, words
 
 SYMBOLS = b"#*$%&|<>"
 BASE = np.uint64(0x100000001B3)
@@ -153,8 +153,8 @@ def judge(docs: DataFrame, text: str = "text", rules: RepetitionRules = Repetiti
             out = {c: batch.column(c) for c in kept} | {c: pa.array([m[c] for m in found], pa.int64()) for c in MEASURES}
             yield pa.RecordBatch.from_pydict(out | {"base_failed": pa.array(failed, pa.bool_()), "kept": pa.array([not f and not b for f, b in zip(failed, broken)], pa.bool_()), "broken": pa.array(broken, pa.string())})
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema.fields] + [f"{c} long" for c in MEASURES]
-    return docs.select(*kept, F.col(text).cast("string").alias(key)).mapInArrow(run, ", ".join([*fields, "base_failed boolean, kept boolean, broken string"]))
+    fields = with_fields(docs, kept, ", ".join([*(f"{c} long" for c in MEASURES), "base_failed boolean, kept boolean, broken string"]))
+    return docs.select(*kept, F.col(text).cast("string").alias(key)).mapInArrow(run, fields)
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larderline.llm.common import fold, fresh, raw, slices
+from larderline.llm.common import fold, fresh, raw, slices, with_fields
 
 EULER = 0.5772156649015329
 KNOWN_WORDS = 1 << 18
@@ -247,9 +247,8 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFram
                 "score": pa.array(p, pa.float64()), "predicted": pa.array([int(x >= 0.5) for x in p], pa.int32()),
                 "passages": pa.array([[dict(zip(("start", "end", "score", "e_value"), x)) for x in passages] for passages, _ in found], struct)})
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema.fields]
     made = "score double, predicted int, passages array<struct<start: bigint, end: bigint, score: double, e_value: double>>"
-    return docs.select(*kept, F.col(text).cast("string").alias(key)).mapInArrow(run, ", ".join([*fields, made]))
+    return docs.select(*kept, F.col(text).cast("string").alias(key)).mapInArrow(run, with_fields(docs, kept, made))
 
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
