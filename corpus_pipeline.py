@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +9,7 @@ from larderline.catalog.base import table
 from larderline.llm import decontaminate, language, line_dedup, packing, simhash
 from larderline.llm.catalog import tokenizer_file
 from larderline.llm.common import fresh
-from larderline.session import shared_dir
+from larderline.session import fresh_path
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +60,7 @@ def remove(spark: SparkSession, path: str) -> None:
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents. Each stage's table is written to the shared folder and read by the next; earlier
     ones are removed as soon as they have been read, the input of the last one stays for the caller."""
-    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = fresh_path(spark, "pipeline")
     docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = stored(spark, stage(spark, docs, sf_dir), f"{folder}/{name}")
