@@ -14,7 +14,7 @@ from larderline.operators import reports as R
 from larderline.operators.dedup import keep_distinct_places, place_key
 from larderline.operators.spatial import label_points, merge_line, relabel_north_of
 from larderline.plans import place_index as plan
-from larderline.session import shared_dir
+from larderline.session import fresh_path
 from larderline.sources import readers
 
 REGISTRY = Registry()
@@ -105,7 +105,7 @@ def polygons_from_geojson(spark, sf):
     doc = feats.unionByName(line).agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("pos", "f"))), lambda x: x["f"]), ",").alias("fs")).select(
         F.concat(F.lit('{"type": "FeatureCollection", "features": ['), "fs", F.lit("]}")).alias("value"))
-    path = f"{shared_dir(spark)}/geojson-{sf.strip('/').replace('/', '_')}"
+    path = fresh_path(spark, "geojson")
     doc.write.mode("overwrite").text(path)
     feats = readers.features(spark, path)
     lat, lon = point("s_suppkey")

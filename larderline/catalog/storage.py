@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 
 from larderline.catalog.base import Registry, table
 from larderline.operators.ordering import latest_rows
-from larderline.session import shared_dir
+from larderline.session import fresh_path
 from larderline.sources import readers, writers
 
 REGISTRY = Registry()
 
 
 def _path(spark, sf: str, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{sf.strip('/').replace('/', '_')}"
+    return fresh_path(spark, f"{name}-{sf.strip('/').replace('/', '_')}")
 
 
 @REGISTRY.add("table_write", "SELECT o_orderkey, o_custkey, o_totalprice, '1' AS schema_version FROM orders")
@@ -28,9 +28,8 @@ def table_write(spark, sf):
 SELECT s_suppkey AS osm_id, day AS fetched_at, CASE WHEN s_suppkey % 2 = 0 OR day = '2026-01-02' THEN 'first' ELSE 'second' END AS source FROM supplier, (VALUES ('2026-01-01'), ('2026-01-02')) t(day)""")
 def snapshot_append(spark, sf):
     """Two snapshots; the first is sent in two parts, of which the second repeats the first."""
-    from datetime import datetime, timezone
     rows = table(spark, sf, "supplier").select(F.lit("node").alias("osm_type"), F.col("s_suppkey").alias("osm_id"), F.col("s_name").alias("name"))
-    path = f"{_path(spark, sf, 'snapshots')}-{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}"
+    path = _path(spark, sf, "snapshots")
     writers.append_snapshot(rows.filter("osm_id % 2 = 0"), path, "2026-01-01", "first")
     writers.append_snapshot(rows, path, "2026-01-01", "second")
     writers.append_snapshot(rows, path, "2026-01-02", "first")

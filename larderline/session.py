@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,7 @@ def local_session(cores: str = "8", app: str = "larderline", **conf: str) -> Spa
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")  # copies behind a cut go when nothing reads them
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -30,16 +32,23 @@ def local_session(cores: str = "8", app: str = "larderline", **conf: str) -> Spa
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as the session names it.
 
-    Only where the session names none (a local test) a fresh folder is made.
+    A local session that names none gets a fresh folder; a cluster has to name one, as its executors see no local folder of the driver.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
     fresh = tempfile.mkdtemp(prefix="larderline-")
     spark.conf.set("spark.checkpoint.dir", fresh)
     return fresh
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; every call has its own, so that no table that is still read gets replaced."""
+    return f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` once to reliable storage and go on from the written copy.
 
