@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("risk", "places", "inspections", "items", "foods", "readings", "quality", "storage")
+MODULES = ("risk", "places", "inspections", "items", "foods", "readings", "quality", "storage", "files")
 
 
 def load() -> tuple[dict, dict]:

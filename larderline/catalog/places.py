@@ -303,7 +303,7 @@ FROM placed LEFT JOIN o ON {norm_sql('placed.name')} = o.norm""")
 def place_index(spark, sf):
     built = plan.build(elements(spark, sf), _extras(spark, sf), _city(spark, sf), _overrides(spark, sf),
                        polygons(spark, sf), split_line(spark, sf), INDEX_RULES)
-    return built.select("seq.source", "seq.pos", "key", "category", "neighborhood", "walkMin", "lat", "price", "verdict")
+    return built.select("seq.source", F.col("seq.pos.row").alias("pos"), "key", "category", "neighborhood", "walkMin", "lat", "price", "verdict")
 
 
 def _layers(spark, sf):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larderline.config import PlaceRules
 from larderline.functions.numbers import round_even
@@ -28,12 +29,18 @@ def build(elements: DataFrame, extras: DataFrame, base: DataFrame, overrides: Da
     A row near an earlier namesake is dropped, except an extra: it stays and
     then carries the bare name, which the key check reports.
     """
-    ordered = lambda df, n: df.withColumn("seq", F.struct(F.lit(n).alias("source"), F.col("pos").cast("bigint").alias("pos")))
+    def ordered(df: DataFrame, n: int) -> DataFrame:
+        """Rows with their place: the source, then the row's place in its file."""
+        pos = F.col("pos")
+        if not isinstance(df.schema["pos"].dataType, T.StructType):  # a place in one list
+            pos = F.struct(F.lit("").alias("file"), F.lit(0).cast("bigint").alias("block"), pos.cast("bigint").alias("row"))
+        return df.withColumn("seq", F.struct(F.lit(n).alias("source"), pos.alias("pos"))).drop("pos")
+
     local = ordered(place_rows(elements, rules), 0)
     added = ordered(extras, 1)
     city = ordered(base_place_rows(base), 2)
     rows = local.unionByName(added, allowMissingColumns=True).unionByName(city, allowMissingColumns=True)
-    rows = labelled(rows.drop("pos"), polygons, line, rules)
+    rows = labelled(rows, polygons, line, rules)
     rows = cut(rows.filter((F.col("seq.source") != 2) | F.col("neighborhood").isin(*rules.expansion)))
 
     kept = keep_distinct_places(rows, normal_name(F.col("name")), "seq", rules.duplicate_m)

@@ -27,14 +27,20 @@ def _listed(spark: SparkSession, path: str, field: str, row: str) -> DataFrame:
     return doc.select(F.posexplode(field).alias("pos", "r")).select("pos", "r.*")
 
 
+def _placed(rows: DataFrame, name: str = "ord", *columns: Column | str) -> DataFrame:
+    """Rows of a scan with their place: file, block and the number of the row, which grows within a block."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("row"))
+    return rows.select(*(columns or ["*"]), place.alias(name))
+
+
 def poi_elements(spark: SparkSession, path: str) -> DataFrame:
     return _listed(spark, path, "elements", S.ELEMENT)
 
 
 def poi_base(spark: SparkSession, path: str) -> DataFrame:
-    """Citywide rows, a JSON array; an array is read as one row per element, in order."""
-    return (spark.read.schema(S.POI_ROW).option("multiLine", True).json(path)
-            .withColumn("pos", F.monotonically_increasing_id()))
+    """Citywide rows, JSON arrays; an array is read as one row per element, in order. ``pos`` is (file, block, row)."""
+    return _placed(spark.read.schema(S.POI_ROW).option("multiLine", True).json(path), "pos")
 
 
 def features(spark: SparkSession, path: str) -> DataFrame:
@@ -99,9 +105,7 @@ def csv_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV with a header, all text; ``ord`` is the order of the rows in their file."""
     rows = (spark.read.schema(schema).option("header", True).option("multiLine", True)
             .option("escape", '"').option("enforceSchema", False).csv(path))
-    return rows.select("*", F.struct(F.col("_metadata.file_path").alias("file"),
-                                     F.col("_metadata.file_block_start").alias("block"),
-                                     F.monotonically_increasing_id().alias("row")).alias("ord"))
+    return _placed(rows)
 
 
 def scored_inspections(spark: SparkSession, path: str) -> DataFrame:
@@ -120,13 +124,13 @@ def dataset_profiles(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.PROFILE).option("multiLine", True).json(path)
 
 
-def menus(spark: SparkSession, path: str) -> DataFrame:
+def menus(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
     """Menu documents of a folder, the index file left out."""
-    return _documents(spark, path, S.MENU).filter(F.col("slug") != "index")
+    return _documents(spark, path, S.MENU, pattern).filter(F.col("slug") != "index")
 
 
-def product_lists(spark: SparkSession, path: str) -> DataFrame:
-    return _documents(spark, path, S.PRODUCTS)
+def product_lists(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+    return _documents(spark, path, S.PRODUCTS, pattern)
 
 
 def document_texts(spark: SparkSession, path: str) -> DataFrame:
@@ -180,17 +184,16 @@ def map_readings(spark: SparkSession, path: str) -> DataFrame:
 def _readings(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines; blank lines are dropped, ``ord`` is the line order for last-line-wins."""
     rows = spark.read.schema(schema).json(path).filter(F.col("key").isNotNull())
-    return rows.select("*", F.struct(F.col("_metadata.file_path").alias("file"),
-                                     F.col("_metadata.file_block_start").alias("block"),
-                                     F.monotonically_increasing_id().alias("row")).alias("ord"))
+    return _placed(rows)
 
 
-def food_records(spark: SparkSession, path: str) -> DataFrame:
-    return _documents(spark, path, S.RECORD)
+def food_records(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+    """Records, one a file; a file may also hold an array of them."""
+    return _documents(spark, path, S.RECORD, pattern)
 
 
-def labels(spark: SparkSession, path: str) -> DataFrame:
-    return _documents(spark, path, S.LABEL).drop("slug")
+def labels(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+    return _documents(spark, path, S.LABEL, pattern).drop("slug")
 
 
 def grocery_foods(spark: SparkSession, path: str) -> DataFrame:
