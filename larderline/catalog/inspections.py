@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -213,6 +212,12 @@ _STREET = r"""CASE WHEN regexp_matches(lower({0}), '^\s*[0-9]+\s+[a-z0-9]+') THE
   ELSE regexp_extract(lower({0}), '^\s*[0-9]+\s+([a-z0-9]+)', 1) END END"""
 _PLACE = f"[{_words(_M.place_words)}]"
 
+def _longest(x: str, y: str) -> str:
+    """(k, -i) of the longest common block of two texts that starts first."""
+    return (f"list_max(list_filter(flatten(list_transform(range(1, len({x}) + 1), lambda i: list_transform(range(1, len({x}) - i + 2), lambda k: "
+            f"CASE WHEN contains({y}, substring({x}, i, k)) THEN {{'k': k, 'i': -i}} END))), lambda z: z IS NOT NULL))")
+
+
 MATCH_SQL = f"""
 pt AS (SELECT p_partkey AS k, p_name, string_split(p_name, ' ')[1] AS f, string_split(p_name, ' ')[2] AS s2, {point_sql('p_partkey', 100)},
   ['Main St', 'North Oak Ave', 'The Bay', 'Elm'][(p_partkey % 4)::INT + 1] AS street FROM part),
@@ -239,13 +244,19 @@ cand AS (SELECT *, CASE WHEN plat IS NOT NULL AND blat IS NOT NULL THEN {metres_
   FROM p3, b3 WHERE list_has_any(list_append(pset, pj), list_append(bset, bj)) OR coalesce(pstreet = bstreet, false)),
 geo AS (SELECT *, CASE WHEN d IS NOT NULL THEN CASE WHEN d <= 120 THEN 'same' WHEN d <= 400 THEN 'near' WHEN d > 1000 THEN 'conflict' ELSE 'far' END
   WHEN postal = '' THEN NULL WHEN postal IN ({_words(_M.area_zips)}) THEN 'zip' ELSE 'conflict' END AS geo FROM cand),
+opn AS (SELECT DISTINCT pj AS a, bj AS b FROM geo WHERE kind IS NULL AND (addr_rel = 'match' OR geo = 'same') AND 2.0::DOUBLE * least(len(pj), len(bj)) / greatest(len(pj) + len(bj), 1) >= {_M.fuzzy_ratio}),
+blk(a, b, x, y, m) AS (SELECT a, b, a, b, {_longest('a', 'b')} FROM opn
+  UNION ALL SELECT a, b, nx, ny, {_longest('nx', 'ny')} FROM (SELECT a, b, unnest([substring(x, 1, i - 1), substring(x, i + k, 10000)]) AS nx, unnest([substring(y, 1, j - 1), substring(y, j + k, 10000)]) AS ny
+    FROM (SELECT *, m.k AS k, -m.i AS i, instr(y, substring(x, -m.i, m.k)) AS j FROM blk WHERE m IS NOT NULL)) WHERE nx <> '' AND ny <> ''),
+rat AS (SELECT a, b, 2.0::DOUBLE * coalesce(sum(m.k), 0) / (len(a) + len(b)) AS ratio FROM blk GROUP BY a, b),
+kin AS (SELECT geo.* REPLACE (CASE WHEN kind IS NULL AND (addr_rel = 'match' OR geo = 'same') AND ratio >= {_M.fuzzy_ratio} THEN 'fuzzy' ELSE kind END AS kind), ratio FROM geo LEFT JOIN rat ON a = pj AND b = bj),
 dec AS (SELECT *, CASE WHEN addr_rel = 'match' AND kind IS NOT NULL THEN 'name+address'
-  WHEN addr_rel = 'conflict' THEN CASE WHEN kind IN ('exact', 'compact') AND geo = 'same' THEN 'name-only' END
+  WHEN addr_rel = 'conflict' THEN CASE WHEN (kind IN ('exact', 'compact') OR kind = 'fuzzy' AND ratio >= {_M.fuzzy_strong}) AND geo = 'same' THEN 'name-only' END
   WHEN coalesce(geo IN ('conflict', 'far'), false) THEN NULL
-  WHEN kind IN ('exact', 'compact') THEN 'name-only'
+  WHEN kind IN ('exact', 'compact') OR kind = 'fuzzy' AND ratio >= {_M.fuzzy_strong} AND geo = 'same' THEN 'name-only'
   WHEN kind = 'subset' AND ((geo = 'same' AND (CASE WHEN list_has_all(bset, pset) THEN pbest ELSE bbest END <= 20
       OR len(list_filter(CASE WHEN list_has_all(bset, pset) THEN pset ELSE bset END, lambda w: NOT list_contains({_PLACE}, w))) >= 2))
-    OR (geo = 'zip' AND CASE WHEN list_has_all(bset, pset) THEN pbest ELSE bbest END <= 3)) THEN 'name-only' END AS conf FROM geo),
+    OR (geo = 'zip' AND CASE WHEN list_has_all(bset, pset) THEN pbest ELSE bbest END <= 3)) THEN 'name-only' END AS conf FROM kin),
 acc AS (SELECT * FROM dec WHERE conf IS NOT NULL),
 pool1 AS (SELECT *, max(conf = 'name+address') OVER (PARTITION BY key) AS has_a, max(kind IN ('exact', 'compact')) OVER (PARTITION BY key) AS has_e FROM acc),
 by_addr AS (SELECT key, dataset, business_id, kind, conf FROM pool1 WHERE has_a AND conf = 'name+address'),
@@ -260,22 +271,26 @@ best AS (SELECT key, count(*) AS ng, arg_min(g, struct_pack(a := gd, b := fst))
 chosen AS (SELECT grp.* FROM grp JOIN best USING (key) WHERE ng = 1 OR bd = 'inf'::DOUBLE OR g = bg),
 matched AS (SELECT * FROM by_addr UNION ALL SELECT key, dataset, business_id, kind, conf FROM chosen)
 """
-NO_FUZZY = replace(MatchRules(), fuzzy_ratio=2.0)
-
 
-@REGISTRY.add("entity_match_names", f"WITH {MATCH_SQL} SELECT key, dataset, business_id, kind, conf AS confidence FROM matched")
+@REGISTRY.add("entity_match_names", f"WITH RECURSIVE {MATCH_SQL} SELECT key, dataset, business_id, kind, conf AS confidence FROM matched")
 def entity_match_names(spark, sf):
-    """Every rule of the match but spelling similarity, which SQL cannot state."""
-    return match(*match_sides(spark, sf), NO_FUZZY).matches.drop("addr_note")
+    """The accepted registrations of every place; the SQL finds matching blocks of names by recursion."""
+    return match(*match_sides(spark, sf)).matches.drop("addr_note")
 
 
 @REGISTRY.add("entity_match_other_addresses", f"""
-WITH {MATCH_SQL} SELECT DISTINCT key, upper(trim(address)) AS other_address FROM grp JOIN best USING (key) WHERE NOT (ng = 1 OR bd = 'inf'::DOUBLE OR g = bg)""")
+WITH RECURSIVE {MATCH_SQL} SELECT DISTINCT key, upper(trim(address)) AS other_address FROM grp JOIN best USING (key) WHERE NOT (ng = 1 OR bd = 'inf'::DOUBLE OR g = bg)""")
 def entity_match_other_addresses(spark, sf):
-    return match(*match_sides(spark, sf), NO_FUZZY).other_addresses
+    return match(*match_sides(spark, sf)).other_addresses
 
 
-@REGISTRY.add("entity_match")
+@REGISTRY.add("entity_match", f"""
+WITH RECURSIVE {MATCH_SQL},
+noted AS (SELECT key, kind, conf, addr_rel = 'conflict' AS differs FROM matched JOIN (SELECT key, dataset, business_id, addr_rel FROM acc) USING (key, dataset, business_id) WHERE kind <> 'sibling'
+  UNION ALL SELECT key, kind, conf, false FROM matched WHERE kind = 'sibling'),
+s AS (SELECT key, max(conf) AS conf, array_to_string(list_sort(list_distinct(list(kind))), ',') AS methods, count(*) AS n, bool_or(coalesce(differs, false)) AS differs FROM noted GROUP BY key)
+SELECT pt.k AS key, coalesce(conf, 'none') AS confidence, methods, coalesce(n, 0) AS registrations, coalesce(differs, false) AS number_differs, coalesce(ng > 1 AND bd = 'inf'::DOUBLE, false) AS multiple_addresses
+FROM pt LEFT JOIN s ON pt.k = s.key LEFT JOIN best ON pt.k = best.key""")
 def entity_match(spark, sf):
     """The whole match, spelling similarity included: confidence and methods per place."""
     return match(*match_sides(spark, sf)).places.withColumn("methods", F.array_join("methods", ","))
