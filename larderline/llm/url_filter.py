@@ -37,12 +37,11 @@ def expressions(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """
     host_lengths = F.collect_set(F.length("rule_host")).alias("host_lengths")
     path_lengths = F.collect_set(F.length("rule_path")).alias("path_lengths")
-    lengths = rules.agg(host_lengths, path_lengths)
+    urls = urls.withColumns({"host_lengths": rules.agg(host_lengths).scalar(), "path_lengths": rules.agg(path_lengths).scalar()})
     n, p = F.length("host"), F.length("path")
     suffix = F.transform(F.filter("host_lengths", lambda k: (k == n) | ((k < n) & (F.col("host").substr(n - k, F.lit(1)) == "."))), lambda k: F.col("host").substr(n - k + 1, k))
     prefix = F.transform(F.filter("path_lengths", lambda k: k <= p), lambda k: F.col("path").substr(F.lit(1), k))
-    return (urls.join(lengths, how="cross")  # one row
-            .select("url", F.explode(suffix).alias("h"), prefix.alias("ps")).select("url", "h", F.explode("ps").alias("p"))
+    return (urls.select("url", F.explode(suffix).alias("h"), prefix.alias("ps")).select("url", "h", F.explode("ps").alias("p"))
             .select("url", F.concat("h", F.lit("\n"), "p").alias("expression")))
 
 
