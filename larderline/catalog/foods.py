@@ -306,12 +306,12 @@ def item_nutrients(spark, sf):
 
 
 @REGISTRY.add("missing_records", """
-WITH m AS (SELECT DISTINCT l_partkey AS fdcId FROM lineitem WHERE l_returnflag = 'R' UNION SELECT c_custkey FROM customer WHERE c_nationkey < 5),
+WITH m AS (SELECT DISTINCT l_partkey AS fdcId FROM lineitem UNION SELECT c_custkey FROM customer),
 u AS (SELECT fdcId FROM m WHERE fdcId NOT IN (SELECT s_suppkey FROM supplier))
 SELECT fdcId, (row_number() OVER (ORDER BY fdcId) - 1) // 20 AS request FROM u""")
 def missing_records(spark, sf):
-    lines = table(spark, sf, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_partkey").alias("fdcId"))
-    grocery = table(spark, sf, "customer").filter("c_nationkey < 5").select(F.col("c_custkey").alias("fdcId"))
+    lines = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("fdcId"))
+    grocery = table(spark, sf, "customer").select(F.col("c_custkey").alias("fdcId"))
     cached = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("fdcId"))
     return numbered_chunks(N.missing_records(N.mapped_records(lines, grocery), cached), "fdcId", NutrientRules().ids_per_request)
 

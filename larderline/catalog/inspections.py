@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from pyspark.sql import functions as F
 
 from larderline.catalog.base import Registry, metres_sql, point, point_sql, table

@@ -151,20 +151,21 @@ def bulk_gaps(spark, sf):
 
 
 @REGISTRY.add("record_set", """
-WITH m AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_returnflag = 'R'), r AS (SELECT DISTINCT p_partkey AS k FROM part WHERE p_size > 20)
+WITH m AS (SELECT DISTINCT l_partkey AS k FROM lineitem), r AS (SELECT s_suppkey * 30 AS k FROM supplier)
 SELECT 'nutrient-missing' AS rule, 'fail' AS severity, k::VARCHAR AS key, 'mapped, no row' AS detail FROM m WHERE k NOT IN (SELECT k FROM r)
 UNION ALL SELECT 'nutrient-extra', 'fail', k::VARCHAR, 'row, not mapped' FROM r WHERE k NOT IN (SELECT k FROM m)""")
 def record_set(spark, sf):
-    wanted = table(spark, sf, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_partkey").alias("fdcId"))
-    return Q.record_set(table(spark, sf, "part").filter("p_size > 20").select(F.col("p_partkey").alias("fdcId")), wanted)
+    """Records under every thirtieth number against the parts of all lines."""
+    wanted = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("fdcId"))
+    return Q.record_set(table(spark, sf, "supplier").select((F.col("s_suppkey") * 30).alias("fdcId")), wanted)
 
 
 @REGISTRY.add("uncached_mappings", """
 SELECT 'mapping-without-record' AS rule, 'fail' AS severity, l_orderkey::VARCHAR AS key, l_partkey::VARCHAR AS detail FROM lineitem
-WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 25)""")
+WHERE l_partkey NOT IN (SELECT c_custkey FROM customer)""")
 def uncached_mappings(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_partkey").alias("fdcId"))
-    return Q.uncached_mappings(lines, table(spark, sf, "part").filter("p_size > 25").select(F.col("p_partkey").alias("fdcId")), "l_orderkey")
+    return Q.uncached_mappings(lines, table(spark, sf, "customer").select(F.col("c_custkey").alias("fdcId")), "l_orderkey")
 
 
 EMAIL = r"[a-z0-9._-]+@[a-z0-9.-]+\.[a-z]+"
