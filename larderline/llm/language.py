@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from larderline.llm.common import fold, fresh, slices, with_fields
 
 NONE = "und"
+FREQUENT = 1000  # languages whose rows are thinned before the sample is chosen
 
 
 @dataclass(frozen=True)
@@ -127,9 +128,11 @@ def sample_of(docs: DataFrame, doc_id: str, text: str, lang: str, train: Column,
     """At most ``rules.sample_rows`` labelled rows (text, lang), dealt evenly over the languages, chosen by hash of the id."""
     ids = docs.where(train & F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("lang"), F.col(doc_id).alias("id"))
     order = [F.xxhash64("id"), F.col("id")]
-    # of a frequent language only ids with a low hash go on, about twice as many as can be chosen, so that no window grows with the corpus
+    # of a frequent language only ids with a low hash go on, about twice as many as can be chosen, so that no window
+    # grows with the corpus; the counts of the most frequent languages are few rows, whatever the corpus
+    frequent = ids.groupBy("lang").count().where(F.col("count") > 2 * rules.sample_rows).orderBy(F.desc("count"), "lang").limit(FREQUENT)
     low = F.pmod(F.xxhash64("id", F.lit("deal")), F.lit(1 << 30)) * F.col("count") < (2 * rules.sample_rows + 100) * (1 << 30)
-    ids = ids.join(ids.groupBy("lang").count(), "lang").where(low)
+    ids = ids.join(F.broadcast(frequent), "lang", "left").where(F.col("count").isNull() | low)
     ranked = ids.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("n") <= rules.sample_rows)
     chosen = ranked.orderBy("n", "lang", *order).limit(rules.sample_rows).select("id", F.col("lang").alias("of"))
     # bounded by sample_rows, whatever the size of the corpus
