@@ -10,6 +10,7 @@ is shuffled, and a lost task repeats with the same rows.
 from __future__ import annotations
 
 import itertools
+import unicodedata
 from array import array
 from bisect import bisect_left, insort
 from dataclasses import dataclass
@@ -29,10 +30,26 @@ class PackRules:
     length: int = 4096           # tokens of a sequence
     windows: int = 64            # open windows of a partition
     end_id: int = 2              # closes each document
-    known_words: int = 1 << 18   # words whose ids a task remembers, twice over, before it starts anew
+    known_words: int = 1 << 17   # words whose ids a task remembers, twice over, before it starts anew
     rows_bits: int = 40          # sequences of a partition are numbered below 2**bits
 
 
+#: Signs of ASCII but the apostrophe, which starts endings of its own.
+SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+#: Fixed rule of byte-level vocabularies: visible bytes stand for themselves, the others follow from 256 on.
+VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_SIGNS = {b: b for b in VISIBLE} | {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in set(VISIBLE))}
+
+
+def plain_letters(word: bytes) -> bool:
+    """Only letters, none that is a capital or can be composed."""
+    try:
+        text = word.decode()
+    except UnicodeDecodeError:
+        return False
+    return text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text)
+
+
 class WordTokenizer:
     """Ids of a text by a word-wise tokenizer file of the ``tokenizers`` library.
 
@@ -44,8 +61,12 @@ class WordTokenizer:
     def __init__(self, path: str, known_words: int):
         from tokenizers import Tokenizer
         self.model, self.known, self.before, self.limit = Tokenizer.from_file(path), {}, {}, known_words
-        self.merge, alphabet = self.model.model.tokenize, "abcdefghijklmnopqrstuvwxyz"
-        self.plain = [p for p, _ in self.model.pre_tokenizer.pre_tokenize_str(alphabet)] == [alphabet]  # runs of a-z reach the merges as they are
+        self.merge = self.model.model.tokenize
+        # whether runs of letters and of signs go to the merges as they are, byte for byte
+        self.plain = all(self.short(w) == array("I", self.model.encode(w.decode(), add_special_tokens=False).ids).tobytes() for w in (b"abcxyz", "äßéñç".encode(), b"zz", b"###!!"))
+
+    def short(self, word: bytes) -> bytes:
+        return array("I", [t.id for t in self.merge(word.decode("latin-1").translate(BYTE_SIGNS))]).tobytes()
 
     @classmethod
     def of(cls, path: str, known_words: int) -> "WordTokenizer":
@@ -57,10 +78,11 @@ class WordTokenizer:
         """Ids of a word, as 32-bit numbers one after the other."""
         found = self.known.get(word) or self.before.get(word)
         if found is None:
-            if len(word) > 1 and word[-1:] in (b".", b",") and word[-2:-1].isalnum():  # a sign of its own after a letter or digit
-                found = self.ids(word[:-1]) + self.ids(word[-1:])
-            elif self.plain and word.isalpha() and word.islower():  # letters of ASCII only, in lower case
-                found = array("I", [t.id for t in self.merge(word.decode("ascii"))]).tobytes()
+            head = word.rstrip(SIGNS)
+            if len(head) < len(word) and head[-1:].isalnum() and b"<|" not in word:  # signs after a letter or digit are on their own
+                found = self.ids(head) + self.ids(word[len(head):])
+            elif self.plain and (word.isalpha() and word.islower() or not head and b"<|" not in word or plain_letters(word)):
+                found = self.short(word)
             else:
                 found = array("I", self.model.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
         self.known[word] = found
@@ -70,10 +92,10 @@ class WordTokenizer:
         words = (text if b"<|" in text else text.lower()).split()  # in capitals, a special token is plain text
         if len(self.known) > self.limit:  # the words known so far are asked once more before they go
             self.known, self.before = {}, self.known
-        known = self.known
+        known, before = self.known, self.before.get
         for w in set(words):
             if w not in known:
-                self.ids(w)
+                known[w] = before(w) or self.ids(w)
         return np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint32)
 
 
