@@ -295,6 +295,32 @@ def entity_match(spark, sf):
     return match(*match_sides(spark, sf)).places.withColumn("methods", F.array_join("methods", ","))
 
 
+def _match_layer(spark, sf):
+    """The match as a layer, with three categories of places."""
+    return match(*match_sides(spark, sf)).places.withColumnRenamed("confidence", "match_confidence").withColumn("category", F.concat(F.lit("c"), (F.col("key") % 3).cast("string")))
+
+
+_LAYER_SQL = f"""{MATCH_SQL}, kinds AS (SELECT key, max(conf) AS conf, list_distinct(list(kind)) AS kinds FROM matched GROUP BY key),
+lay AS (SELECT pt.k AS key, 'c' || pt.k % 3 AS category, coalesce(conf, 'none') AS match_confidence, kinds FROM pt LEFT JOIN kinds ON pt.k = kinds.key)"""
+
+
+@REGISTRY.add("entity_match_report", f"""
+WITH RECURSIVE {_LAYER_SQL} SELECT category, match_confidence, count(*) AS places, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM lay)) AS percent FROM lay GROUP BY ALL""")
+def entity_match_report(spark, sf):
+    """Places by confidence and category, of the match itself."""
+    return plan.confidence_report(_match_layer(spark, sf), "category")
+
+
+@REGISTRY.add("entity_match_methods", f"WITH RECURSIVE {_LAYER_SQL} SELECT match_confidence, method, count(*) AS places FROM (SELECT match_confidence, unnest(kinds) AS method FROM lay) GROUP BY ALL")
+def entity_match_methods(spark, sf):
+    return plan.method_report(_match_layer(spark, sf))
+
+
+@REGISTRY.add("inspection_range", f"WITH {ERA_SQL} SELECT min(date) || '..' || max(date) AS span FROM insp WHERE date <= '{AS_OF}'")
+def inspection_range(spark, sf):
+    return I.date_span(I.inspections(*eras(spark, sf)), AS_OF)
+
+
 @REGISTRY.add("entity_match_rejected")
 def entity_match_rejected(spark, sf):
     return match(*match_sides(spark, sf)).rejected

@@ -59,7 +59,7 @@ RISK_FIELDS = ("violent", "property", "drug", "total", "per_month", "percentile"
 INSPECTION_FIELDS = ("last_score", "last_score_date", "last_inspection_date", "last_inspection_type",
                      "violation_count_last", "last_status", "last_status_date", "closures_all_time",
                      "conditional_pass_all_time", "high_risk_count_all_time", "worst_score_all_time",
-                     "inspections_total", "match_confidence")
+                     "inspections_total", "match_confidence", "dataset_range")
 
 
 def _layer(places: DataFrame, layer: DataFrame, fields, name: str) -> DataFrame:

@@ -108,6 +108,7 @@ def test_inspection_job_from_csv(spark, tmp_path):
     assert (k.match_confidence, k.registrations, k.inspections_total, k.last_status, k.conditional_pass_all_time, k.closures_all_time) == ("name+address", 3, 3, "Pass", 1, 0)
     assert (k.last_score, str(k.worst_score_date), k.high_risk_count_all_time, k.violation_count_last, k.last_violation_codes) == (88, "2018-01-02", 2, 2, ["114119.1"])
     assert {r.match_confidence: r.places for r in insp_plan.confidence_report(layer).collect()} == {"name+address": 1, "none": 1}
+    assert {r.dataset_range for r in rows.values()} == {"2018-01-02..2025-02-02"}
     assert found.rejected.count() == 0
 
 
