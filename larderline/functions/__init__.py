@@ -1 +1 @@
-"""Column functions; all are built-in expressions but for one Arrow UDF (``text.similarity``)."""
+"""Column functions; all are built-in expressions."""

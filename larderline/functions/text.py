@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import difflib
 import unicodedata
 from functools import lru_cache
 from typing import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 #: Characters that count as white space.
@@ -196,27 +193,47 @@ def distinct_words(words: Column) -> Column:
                        lambda w: F.element_at(words, F.array_position(lows, w).cast("int")))
 
 
-def _similarity():
-    # a nested function travels to the workers by value, so they need not have this package installed
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        known = {}
-        out = []
-        for pair in zip(a, b):
-            if pair[0] is None or pair[1] is None:
-                out.append(None)
-                continue
-            if pair not in known:
-                known[pair] = difflib.SequenceMatcher(None, *pair).ratio()
-            out.append(known[pair])
-        return pd.Series(out, dtype="float64")
+def _longest_block(x: Column, y: Column) -> Column:
+    """(k, -i) of the longest block of ``x`` that ``y`` holds, the first in ``x`` on a tie; null for none. Both have a character."""
+    n = F.length(x)
+    blocks = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.when(
+        F.contains(y, F.substring(x, i, k)), F.struct(k.alias("k"), (-i).alias("i"))))))
+    return F.array_max(blocks)
 
-    return F.pandas_udf(ratio, T.DoubleType())
 
+def similarity(a: Column, b: Column, least: float = 0.0) -> Column:
+    """Share of two texts' characters in matching blocks: the longest common block, then the longest on either side of it, and so on.
 
-# matching-block ratio of two strings, equal pairs of a batch read once; null in, null out
-similarity = _similarity()
+    Null in, null out; two empty texts are equal. For short texts such as names: each step looks at all blocks of a part.
+    The search ends where what is left can't reach ``least`` any more; the share is then below it, and no more than that is known.
+    """
+    part = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    open_ = lambda parts: F.filter(parts, lambda p: (p["x"] != "") & (p["y"] != ""))
+    state = lambda work, matched: F.struct(work.alias("work"), matched.cast("int").alias("matched"))
+
+    def step(acc: Column, _: Column) -> Column:
+        head, rest = acc["work"][0], F.slice(acc["work"], F.lit(2), F.greatest(F.size(acc["work"]) - 1, F.lit(0)))
+
+        def after(m: Column) -> Column:
+            x, y, k, i = head["x"], head["y"], m["k"], -m["i"]
+            j = F.instr(y, F.substring(x, i, k))
+            sides = F.array(part(F.substring(x, F.lit(1), i - 1), F.substring(y, F.lit(1), j - 1)), part(F.substring(x, i + k, F.length(x)), F.substring(y, j + k, F.length(y))))
+            return F.when(m.isNull(), hopeful(rest, acc["matched"])).otherwise(hopeful(F.concat(rest, open_(sides)), acc["matched"] + k))
+
+        def hopeful(work: Column, matched: Column) -> Column:
+            """The state, its work taken away if it can't lead to ``least``."""
+            reach = lambda w: F.aggregate(w, matched.cast("int"), lambda n, p: n + F.least(F.length(p["x"]), F.length(p["y"])))
+            return F.transform(F.array(work), lambda w: state(F.when(2.0 * reach(w) >= least * both, w).otherwise(F.slice(w, 1, 0)), matched))[0]
+
+        # a list of one names the block, which is looked for once
+        return F.when(F.size(acc["work"]) == 0, acc).otherwise(F.transform(F.array(_longest_block(head["x"], head["y"])), after)[0])
+
+    both = F.length(a) + F.length(b)
+    found = F.aggregate(F.sequence(F.lit(0), 2 * F.length(a)), state(open_(F.array(part(a, b))), F.lit(0)), step)["matched"]
+    return F.when(a.isNull() | b.isNull(), None).when(both == 0, 1.0).otherwise(2.0 * found / both)
 
 
 def similarity_ceiling(a: Column, b: Column) -> Column:
-    """Upper bound of ``similarity`` from the lengths, to spare the UDF hopeless pairs."""
-    return 2.0 * F.least(F.length(a), F.length(b)) / F.greatest(F.length(a) + F.length(b), F.lit(1))
+    """Upper bound of ``similarity`` from the lengths and the letters that only one text has, to spare hopeless pairs the search."""
+    shared = lambda x, y: F.length(x) - F.length(F.call_function("translate", x, y, F.lit("")))
+    return 2.0 * F.least(shared(a, b), shared(b, a)) / F.greatest(F.length(a) + F.length(b), F.lit(1))

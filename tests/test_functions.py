@@ -163,3 +163,19 @@ def test_general_numbers_and_white_space(spark):
     texts = ["", "a", *(f"{w}a{w}{w}b{w}" for w in WHITE)]
     got = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string").select("i", strip(F.col("x")).alias("s"), squeeze(F.col("x")).alias("q"), short_number(F.col("x")).alias("n")).collect()
     assert all(r["s"] == texts[r["i"]].strip() and r["q"] == " ".join(texts[r["i"]].split()) and r["n"] == texts[r["i"]] for r in got)
+
+
+def test_similarity_is_that_of_matching_blocks(spark):
+    import difflib
+    import random
+    from larderline.functions.text import similarity
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcé") for _ in range(rng.randint(0, 14)))
+    pairs = [("", ""), ("a", ""), ("", "a"), ("goldenlantern", "goldenlanten"), ("abcd", "bcda"), (None, "a"), ("a", None)]
+    pairs += [(word(), word()) for _ in range(250)]
+    got = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string").select("i", similarity(F.col("a"), F.col("b")).alias("r"), similarity(F.col("a"), F.col("b"), 0.6).alias("s")).collect()
+    for r in got:
+        a, b = pairs[r["i"]]
+        want = None if a is None or b is None else difflib.SequenceMatcher(None, a, b).ratio()
+        assert r["r"] == want or abs(r["r"] - want) < 1e-12, (a, b)
+        assert want is None or ((r["s"] >= 0.6) == (want >= 0.6) and (want < 0.6 or abs(r["s"] - want) < 1e-12))
