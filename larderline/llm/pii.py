@@ -25,6 +25,8 @@ FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HEX = "0123456789abcdef"
 NOBODY = ("127.0.0.1", "255.255.255.255")
+BLOCK = 256                # characters of a secret that are permuted as one number
+ENDS = ".,;:!?)]}>'\"\\"    # signs behind a value, which don't tell whether it is hexadecimal
 
 
 def permuted(value: int, size: int, key: bytes, tweak: str, back: bool = False) -> int:
@@ -182,12 +184,20 @@ def access_key(text: str, key: bytes, back: bool) -> str | None:
 
 
 def secret(text: str, key: bytes, back: bool) -> str | None:
-    """A value behind ``password=`` or ``token =``: hex digits stay hex digits, others keep their class."""
-    head, quote, value = re.fullmatch(r'((?:password|token|secret)\s*=\s*)("?)(.*)', text, re.I | re.S).groups()
-    if len(value) < 6:
+    """A value behind ``password=`` or ``TOKEN =``: hex digits stay hex digits, others keep their class, signs and letters
+    beyond A-Z stand for themselves. A long value goes block by block, each under the hash of the plain ones before."""
+    head, quote, value = re.fullmatch(r"""((?:password|token|secret)\s*=\s*)(["']?)(.*)""", text, re.I | re.S).groups()
+    core = value.rstrip(ENDS)
+    alphabets = [HEX] * len(core) if all(c in HEX for c in core) else kinds_of(core)
+    if all(len(a) == 1 for a in alphabets):
         return None
-    alphabets = [HEX] * len(value) if all(c in HEX for c in value) else kinds_of(value)
-    return head + quote + recoded(value, alphabets, key, "secret", back)
+    out, tweak, before = [], "secret", hashlib.sha256()
+    for at in range(0, len(core), BLOCK):
+        old = core[at:at + BLOCK]
+        out.append(new := recoded(old, alphabets[at:at + BLOCK], key, tweak, back))
+        before.update((new if back else old).encode("utf-8", "surrogatepass"))
+        tweak = "secret" + before.hexdigest()
+    return head + quote + "".join(out) + value[len(core):]
 
 
 @dataclass(frozen=True)
@@ -195,7 +205,9 @@ class PiiRules:
     """Kinds in order of precedence: name, pattern, pseudonym (None: not valid). Patterns are fixed formats."""
     kinds: tuple[tuple[str, str, Callable], ...] = field(default=(
         ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])", email),
-        ("secret", r"(?<![A-Za-z])(?:[Pp]assword|[Tt]oken|[Ss]ecret)\s{0,3}=\s{0,3}\"?[A-Za-z0-9_+/-]{6,256}", secret),
+        ("secret", r"(?<![A-Za-z])(?i:password|token|secret)\s{0,3}=\s{0,3}"
+         r"""(?:"(?:[^"\\\r\n]|\\.){6,}(?="(?![A-Za-z0-9]))|'(?:[^'\\\r\n]|\\.){6,}(?='(?![A-Za-z0-9]))"""
+         r"""|["']?(?=(?:[^\s"]|"(?=[A-Za-z0-9])){6})(?:[^\s"]|"(?=[A-Za-z0-9]))*[^\s.,;:!?)\]}>'"\\])""", secret),
         ("access_key", r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])", access_key),
         ("account", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", account),
         ("card", r"(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|[.-][0-9])", card),
@@ -236,6 +248,9 @@ def pseudonymize(docs: DataFrame, key: bytes, text: str = "text", rules: PiiRule
     Values that fail their kind's check stay as they are; of overlapping values, the first in the text, then the first
     kind, counts. A value may be its own pseudonym, as for any permutation, about once in the number of its kind's values.
 
+    A secret goes up to its closing quote on the line, else to the next blank or closing quote, from six characters on and
+    of any length, without the stops and brackets at its end; what else stands there without a blank is taken for part of it.
+
     A null text stays null, with 0 and no span. Whole texts are read, one at a time; repeated rows get equal answers.
     Other columns pass, n_pii and spans are replaced; an empty table gives an empty result.
     """

@@ -87,3 +87,26 @@ def test_rows_of_all_sorts(spark):
     back = P.pseudonymize(P.pseudonymize(df, KEY).select("doc_id", "text"), KEY, back=True)
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in back.collect()) == sorted((a or 0, b or "") for a, b, _ in rows)
     assert P.query(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("head", ["password=", "TOKEN = ", "SECRET=", "DB_PASSWORD =", "Token= "])
+@pytest.mark.parametrize("value", ["eyJhbGci.eyJzdWIi.SflKxwRJ", "p!s$wd,9", "ab1#cd\"Ef", "a-b_c/d+e" + "xY7." * 250, "0123456789abcdef" * 70, "deadbeef"])
+def test_secrets_in_any_case_whole_and_back(head, value):
+    for shape in ("{}", '"{}"', "'{}'") if '"' not in value else ("{}", "'{}'"):
+        text = f"set {head}{shape.format(value)} then stop"
+        new, found = P.pseudonymized(text, KEY, RULES, PATTERN)
+        assert [k for k, *_ in found] == ["secret"] and new.startswith(f"set {head}") and new.endswith(" then stop") and len(new) == len(text)
+        inner = new[len(f"set {head}"):-len(" then stop")].strip("\"'")
+        same = [a == b for a, b in zip(inner, value) if b.isalnum()]
+        assert sum(same[:256]) < 0.5 * len(same[:256]) and sum(same) < 0.3 * len(same) + 3
+        assert all((a == b) if not b.isalnum() else a.isalnum() for a, b in zip(inner, value))
+        assert P.pseudonymized(new, KEY, RULES, PATTERN, back=True)[0] == text
+
+
+def test_secrets_end_at_their_quote_or_blank():
+    text = 'TOKEN = "two words, one value" and {"password=abcdefgh","user":"bob"} token == other'
+    new, found = P.pseudonymized(text, KEY, RULES, PATTERN)
+    assert [(a, b) for _, a, b in found] == [(0, text.index('" and')), (text.index("password"), text.index('","'))]
+    assert new[text.index('","'):] == text[text.index('","'):] and P.pseudonymized(new, KEY, RULES, PATTERN, back=True)[0] == text
+    one = [P.pseudonymized(f"token={v}", KEY, RULES, PATTERN)[0] for v in ("deadbeef", "deadbeef,", '"deadbeef"')]
+    assert {x.strip('",').replace('"', "") for x in one} == {one[0]}
