@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 from typing import Iterator
 
 import numpy as np
@@ -58,7 +59,7 @@ def tiles(doc: np.ndarray, item: np.ndarray, rules: TilingRules) -> list[tuple[i
     """Greedy string tiling: (start in doc, start in item, length) of the tiles.
 
     Searches with falling length: windows of the item that no tile covers are looked up among those of the document by
-    their rolling hash, matches are extended, and the longest are marked first. A find beyond twice the search length
+    their rolling hash, matches are extended, and the longest are marked first; of a match that a tile cuts, the free head is a match again. A find beyond twice the search length
     restarts the search at its length. Ties go to the first in the item, then the first in the document.
     """
     low = min(rules.min_match, len(item))
@@ -104,12 +105,16 @@ def tiles(doc: np.ndarray, item: np.ndarray, rules: TilingRules) -> list[tuple[i
         if longest > 2 * length:
             length = longest
             continue
-        matches.sort()
-        for size, j, i in matches:
-            if all(free_d[i:i - size]) and all(free_t[j:j - size]):
-                found.append((int(at[i]), j, -size))
-                free_d[i:i - size] = [False] * -size
-                free_t[j:j - size] = [False] * -size
+        heapify(matches)
+        while matches:
+            size, j, i = heappop(matches)
+            left = next((k for k in range(-size) if not (free_d[i + k] and free_t[j + k])), -size)
+            if left == -size:
+                found.append((int(at[i]), j, left))
+                free_d[i:i + left] = [False] * left
+                free_t[j:j + left] = [False] * left
+            elif left >= length:      # the head before a longer tile waits for its turn; what is behind has its own start
+                heappush(matches, (-left, j, i))
         if length == low:
             return found
         length = max(low, length // 2) if length > 2 * low else low

@@ -99,3 +99,23 @@ def test_many_items_of_one_document_and_one_item_in_many(spark):
     docs = [(1, "\n".join(t for _, t in items))] + [(10 + k, f"x{k} " + items[0][1] + f" y{k}") for k in range(200)]
     got = D.query(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} == {(1, i) for i, _ in items} | {(10 + k, 0) for k in range(200)}
+
+
+def test_head_of_a_match_that_a_tile_cuts_is_searched_again():
+    t = list(range(24))
+    d = t[7:16] + [90, 91] + t[:7] + [7] + [92]
+    got = D.tiles(np.array(d, np.uint64), np.array(t, np.uint64), RULES)
+    assert sorted(got) == [(0, 7, 9), (11, 0, 7)]
+
+
+def test_tiles_are_those_of_the_plain_greedy_search():
+    rng = random.Random(7)
+    for _ in range(200):
+        t = [rng.randint(0, rng.choice([3, 30, 1000])) for _ in range(rng.randint(5, 60))]
+        d = [rng.randint(0, 30) for _ in range(rng.randint(0, 30))]
+        for _ in range(rng.randint(0, 6)):
+            a = rng.randint(0, len(t) - 1)
+            at = rng.randint(0, len(d))
+            d[at:at] = t[a:a + rng.randint(3, 40)]
+        got = D.tiles(np.array(d, np.uint64), np.array(t, np.uint64), RULES)
+        assert sorted(got) == sorted(plain_tiles(d, t, 5))
