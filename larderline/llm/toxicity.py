@@ -123,18 +123,25 @@ class ToxicityModel:
         return float(1 / (1 + np.exp(-np.clip(self.offset + self.slope * squeezed(seldom), -500, 500))))
 
 
-def sample_of(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, train: Column, rules: ToxicityRules) -> DataFrame:
-    """(text, toxic) of at most ``sample_rows`` labelled rows of each class, chosen by hash of the id."""
+def sample_of(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, train: Column, rules: ToxicityRules) -> tuple[DataFrame, np.ndarray]:
+    """(text, toxic) of at most ``sample_rows`` labelled rows of each class, chosen by hash of the id; and for how many
+    labelled rows of the whole table one of the sample stands, clean and toxic."""
     known = labels.where(train & F.col("toxic").isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id")).agg((F.max("toxic") == 1).cast("int").alias("toxic"))
     order = [F.xxhash64("id"), F.col("id")]
     chosen = known.where("toxic = 1").orderBy(*order).limit(rules.sample_rows).union(known.where("toxic = 0").orderBy(*order).limit(rules.sample_rows))
+    count = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    stands_for = np.array([max(count.get(k, 0) / max(rules.sample_rows, 1), 1.0) for k in (0, 1)])
     # bounded by twice sample_rows, whatever the size of the tables
-    return docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).join(F.broadcast(chosen), "id").select("text", "toxic")
+    sample = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).join(F.broadcast(chosen), "id").select("text", "toxic")
+    return sample, stands_for
 
 
-def slot_scores(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, rules: ToxicityRules) -> np.ndarray:
-    """Log-odds of texts with a slot, toxic against clean, with an informative Dirichlet prior, as far as they are beyond doubt."""
-    prior = rules.prior_rows * (toxic + clean) / max(n_toxic + n_clean, 1) + rules.flat
+def slot_scores(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, rules: ToxicityRules, stands_for: np.ndarray = np.ones(2)) -> np.ndarray:
+    """Log-odds of texts with a slot, toxic against clean, with an informative Dirichlet prior, as far as they are beyond doubt.
+
+    The prior's background has the classes in their shares of the whole table."""
+    of_clean, of_toxic = stands_for
+    prior = rules.prior_rows * (of_toxic * toxic + of_clean * clean) / max(of_toxic * n_toxic + of_clean * n_clean, 1) + rules.flat
     total = rules.prior_rows + 2 * rules.flat
     odds = np.log((toxic + prior) / (n_toxic + total - toxic - prior)) - np.log((clean + prior) / (n_clean + total - clean - prior))
     return np.maximum(0, odds - rules.doubt * np.sqrt(1 / (toxic + prior) + 1 / (clean + prior)))
@@ -154,16 +161,18 @@ def scale_of(scores: np.ndarray, share: np.ndarray) -> float:
     return high
 
 
-def link(normal: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a ridge logistic fit."""
+def link(normal: np.ndarray, toxic: np.ndarray, stands_for: np.ndarray = np.ones(2)) -> tuple[float, float]:
+    """Slope and offset of a ridge logistic fit, in which each class weighs as in the whole table."""
     if not len(normal) or toxic.min() == toxic.max():
         return 0.0, (50.0 if len(normal) and toxic.min() == 1 else -50.0)
     mid, spread = normal.mean(), max(normal.std(), 1e-9)
     x = np.stack([(normal - mid) / spread, np.ones(len(normal))], 1)
+    weight = stands_for[toxic]
+    weight = weight * len(weight) / weight.sum()
     beta = np.zeros(2)
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -500, 500)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + np.diag([1.0, 1e-6]), x.T @ (p - toxic) + np.array([1.0, 1e-6]) * beta)
+        step = np.linalg.solve(x.T @ (x * (weight * p * (1 - p))[:, None]) + np.diag([1.0, 1e-6]), x.T @ (weight * (p - toxic)) + np.array([1.0, 1e-6]) * beta)
         beta -= step
         if np.abs(step).max() < 1e-9:
             break
@@ -174,10 +183,12 @@ def train_model(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text
     """Learn from a bounded sample of labelled rows, in two passes over it: word counts, then the best segments.
 
     The law of best segments in clean text has its scale from the scores of words in the sample's clean texts, and its
-    location from their best segments. Equal texts count once. Rows with a null label, id or text teach nothing; a label other than 1 is clean; of labels that
+    location from their best segments. Where the bound cuts a class, its rows weigh in the prior and the link as many as
+    they stand for, so that the threshold doesn't move with the size of the table. Equal texts count once. Rows with a null label, id or text teach nothing; a label other than 1 is clean; of labels that
     disagree, the highest counts.
     """
-    sample = sample_of(docs, labels, doc_id, text, F.lit(True) if train is None else train, rules).dropDuplicates(["text", "toxic"])
+    sample, stands_for = sample_of(docs, labels, doc_id, text, F.lit(True) if train is None else train, rules)
+    sample = sample.dropDuplicates(["text", "toxic"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 200):
@@ -197,7 +208,7 @@ def train_model(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text
     texts, rows = rows[rows["slot"] < 0], rows[rows["slot"] >= 0]
     scores = np.zeros(1 << rules.slot_bits, np.float32)
     if len(texts):
-        scores[rows["slot"].to_numpy(np.int64)] = slot_scores(rows["toxic"].to_numpy(float), rows["clean"].to_numpy(float), int(texts["toxic"].iloc[0]), int(texts["clean"].iloc[0]), rules)
+        scores[rows["slot"].to_numpy(np.int64)] = slot_scores(rows["toxic"].to_numpy(float), rows["clean"].to_numpy(float), int(texts["toxic"].iloc[0]), int(texts["clean"].iloc[0]), rules, stands_for)
     first = ToxicityModel(scores, 1.0, 0.0, 1.0, 0.0, rules)
     sent = docs.sparkSession.sparkContext.broadcast(first)
 
@@ -222,7 +233,7 @@ def train_model(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text
     best_of = np.array([x.max() for x, c in zip(normal, is_clean) if c and len(x)])
     log_k = float(best_of.mean() - EULER) if len(best_of) else 0.0
     together = np.array([rarity(x - log_k) for x in normal])
-    slope, offset = link(squeezed(together), found["toxic"].to_numpy())
+    slope, offset = link(squeezed(together), found["toxic"].to_numpy(), stands_for)
     return ToxicityModel(scores, lam, log_k, slope, offset, rules)
 
 

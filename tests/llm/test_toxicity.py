@@ -73,3 +73,28 @@ def test_no_labels_and_no_documents(spark):
     assert [r["predicted"] for r in X.query(df, none).collect()] == [0]
     assert [r["predicted"] for r in X.query(df, spark.createDataFrame([(1, 0)], "doc_id long, toxic int")).collect()] == [0]
     assert X.query(df.limit(0), none).count() == 0
+
+
+def test_bound_of_the_sample_leaves_the_threshold(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(4400):
+        toxic = i % 11 == 0
+        words = [f"w{rng.randint(0, 400)}" for _ in range(rng.randint(15, 40))]
+        for _ in range(rng.choice([0, 1, 2, 3, 4]) if toxic else rng.choice([0] * 12 + [1, 2])):
+            words.insert(rng.randint(0, len(words)), f"foul{rng.randint(0, 3)}")
+        rows.append((i, " ".join(words), int(toxic)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    docs, labels = table.select("doc_id", "text"), table.select("doc_id", "toxic")
+    whole = X.train_model(docs, labels)
+    small = X.train_model(docs, labels, rules=X.ToxicityRules(sample_rows=300))
+    assert abs(small.offset - whole.offset) < 0.7, (small.offset, whole.offset)
+
+
+def test_link_weighs_classes_as_in_the_whole_table():
+    rng = np.random.default_rng(3)
+    toxic = (np.arange(40_000) % 20 == 0).astype(int)
+    normal = rng.normal(0, 1, len(toxic)) + 1.5 * toxic
+    chosen = np.concatenate([np.flatnonzero(toxic == k)[:1500] for k in (0, 1)])
+    whole, part = X.link(normal, toxic), X.link(normal[chosen], toxic[chosen], np.array([38_000 / 1500, 2000 / 1500]))
+    assert np.abs(np.subtract(whole, part)).max() < 0.3 and X.link(normal[chosen], toxic[chosen])[1] > whole[1] + 2
