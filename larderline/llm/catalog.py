@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from larderline.catalog.base import Registry, table
-from larderline.llm import decontaminate, language, line_dedup, lm_score, packing, pii, repetition, simhash, toxicity, url_filter
+from larderline.llm import byte_bpe, decontaminate, language, line_dedup, lm_score, packing, pii, repetition, simhash, toxicity, url_filter, whitening
 
 REGISTRY = Registry()
 
@@ -64,3 +64,19 @@ def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 @REGISTRY.add("op10_language")
 def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.predict(table(spark, sf, "documents"))
+
+
+def byte_rules() -> byte_bpe.BpeRules:
+    """The ranks and the pattern of the byte-level public vocabulary."""
+    import public_tokenizers
+    return byte_bpe.BpeRules(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@REGISTRY.add("op11_byte_bpe")
+def op11_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return byte_bpe.query(table(spark, sf, "documents"), byte_rules())
+
+
+@REGISTRY.add("op13_whitening")
+def op13_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.query(table(spark, sf, "embeddings"))
