@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from larderline.catalog.base import Registry, table
-from larderline.llm import byte_bpe, decontaminate, language, line_dedup, lm_score, packing, pii, repetition, simhash, toxicity, url_filter, whitening
+from larderline.llm import alignment, byte_bpe, decontaminate, language, line_dedup, lm_score, packing, pii, repetition, simhash, toxicity, url_filter, whitening
 
 REGISTRY = Registry()
 
@@ -80,3 +80,14 @@ def op11_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 @REGISTRY.add("op13_whitening")
 def op13_whitening(spark: SparkSession, sf: str) -> DataFrame:
     return whitening.query(table(spark, sf, "embeddings"))
+
+
+def align_rules() -> alignment.AlignRules:
+    """The public byte-level and piece vocabularies."""
+    import public_tokenizers
+    return alignment.AlignRules(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@REGISTRY.add("op12_alignment")
+def op12_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.query(table(spark, sf, "documents"), align_rules())

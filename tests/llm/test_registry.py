@@ -14,7 +14,7 @@ def test_every_operator_has_its_query():
     import __spark_entry__ as contract
     names = contract.queries()
     numbers = sorted(int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n)))
-    assert numbers == list(range(1, 11)) and "pipeline" in names and set(contract.oracle_sql()) <= set(names)
+    assert numbers == list(range(1, 14)) and "pipeline" in names and set(contract.oracle_sql()) <= set(names)
 
 
 @pytest.mark.skipif(not Path(FOLDER).exists(), reason="driver tables absent")
