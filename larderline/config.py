@@ -128,7 +128,8 @@ class FoodRules:
     section_weight: float = 0.25
     prefix_length: int = 5
     prefix_weight: float = 0.5
-    common_df: int = 100_000  # tokens on more foods than this are scored, not used to pair rows
+    first_block: int = 256  # foods of a pool that each lookup may meet before scores bound the search
+    block_growth: int = 8   # times as many in each next block
     # fixed values: categories, words and food groups as the food data prints them
     single_exclude: tuple[str, ...] = (
         "Fast Foods", "Restaurant Foods", "Meals, Entrees, and Side Dishes", "Baby Foods",

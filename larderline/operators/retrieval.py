@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from larderline.config import SURVEY, FoodRules
 from larderline.functions.text import alias_words, search_tokens, short_number
-from larderline.operators.ordering import each, first_rows
+from larderline.operators.ordering import each, first_rows, ordered_position
 from larderline.session import cut, spread
 
 
@@ -35,54 +35,82 @@ def with_weights(items: DataFrame, out: str, rules: FoodRules = FoodRules()) ->
     return every.withColumn(out, weighed).drop("_every", *[f"_{k}_{f}" for f in fields for k in "ow"])
 
 
+def posting_blocks(foods: DataFrame, rules: FoodRules = FoodRules()) -> DataFrame:
+    """A row for each token of each food: token, pool, fdcId, tokens (all of the food's) and block.
+
+    The foods of a pool are dealt to blocks in order of their ids, ``first_block`` to the first, ``block_growth`` times
+    as many to each next one.
+    """
+    texts = spread(foods.select("fdcId", "pool", "description"))
+    tokens = F.array_sort(F.array_distinct(search_tokens(F.col("description"), rules.prefix_length)))
+    told = cut(texts.select("fdcId", "pool", tokens.alias("tokens")))
+    placed = ordered_position(told.select("fdcId", "pool"), ["pool"], ["fdcId"], "_at")
+    block = F.floor(F.log(float(rules.block_growth), (F.col("_at") - 1) * (rules.block_growth - 1) / rules.first_block + 1)).cast("int")
+    return cut(each(told.join(placed.select("fdcId", "pool", block.alias("block")), ["fdcId", "pool"]), "tokens", "token"))
+
+
+def score_of(weighed: Column) -> Column:
+    """Sum of the weights of tokens, in token order, so that no set of tokens sums to more than one that holds it."""
+    return F.round(F.aggregate(weighed, F.lit(0.0), lambda acc, t: acc + t["c"]), 9)
+
+
+def open_lookups(asked: DataFrame, top: DataFrame | None, block: int, rules: FoodRules) -> DataFrame:
+    """The lookups that a food of ``block`` or a later one can still change, with ``low``, the score to beat, and
+    ``need``: the tokens of which such a food has at least one.
+
+    Later ids lose ties, so a food has to beat the last of the full list. The tokens still to come, from the lightest
+    on, whose sum doesn't do that are no reason to look at a food.
+    """
+    coming = F.filter("tw", lambda t: t["last"] >= block)
+    if top is None:
+        return asked.withColumn("low", F.lit(None).cast("double")).withColumn("need", coming)
+    low = F.when(F.count(F.lit(1)) == rules.per_pool, F.min("score"))
+    j = asked.join(top.groupBy("q", "pool").agg(low.alias("low")), ["q", "pool"], "left").withColumn("coming", coming)
+    beats = lambda t: F.col("low").isNull() | (score_of(F.filter("coming", lambda u: u["c"] <= t["c"])) > F.col("low"))
+    return j.withColumn("need", F.filter("coming", beats)).drop("coming").filter(F.size("need") > 0)
+
+
+def met_pairs(lookups: DataFrame, postings: DataFrame) -> DataFrame:
+    """Lookups and foods that share a needed token, each pair once: by the first such token."""
+    p = postings.select(F.col("token").alias("p_token"), F.col("pool").alias("p_pool"), "fdcId", "tokens")
+    return (each(lookups, F.transform("need", lambda t: t["token"]), "token")
+            .join(p, (F.col("token") == F.col("p_token")) & (F.col("pool") == F.col("p_pool")))
+            .filter(F.col("token") == F.filter("need", lambda t: F.array_contains("tokens", t["token"]))[0]["token"]))
+
+
 def retrieve(items: DataFrame, foods: DataFrame, rules: FoodRules = FoodRules()) -> DataFrame:
     """Top foods per item and pool: (id, pool, rank, fdcId, score).
 
-    items: id, section, name, description; foods: fdcId, pool, description
+    items: id, section, name, description; foods: fdcId (unique), pool, description
     (see ``candidate_foods``). Score = sum over shared tokens of weight times
     ln(foods / foods with the token), taken in token order and rounded to nine
     decimals; ties go to the lower id.
 
-    Equal items are looked up once. A token on more than ``common_df`` foods
-    never pairs rows by itself: pairs come from the rarer tokens, and common
-    tokens are then added to the score of each pair. What only common tokens
-    would find is found exactly by other means: such foods score by the set of
-    their common tokens alone, so the lowest ids of each such set are enough.
+    Equal items are looked up once. Foods come in blocks of rising ids and
+    growing size. After each block, a lookup goes on only where the tokens that
+    later blocks have can beat the last of its list, and only with the foods
+    that have one of the tokens needed for that. So a frequent token brings the
+    first block and, where it can't win any more, nothing else. The number of
+    blocks grows with the logarithm of the foods.
     """
     q = F.sha2(F.concat_ws("\x1f", *[F.coalesce(c, F.lit("")) for c in ("section", "name", "description")]), 256)
     keyed = items.withColumn("q", q)
     texts = with_weights(keyed.select("q", "section", "name", "description").dropDuplicates(["q"]), "tw", rules)
-    # the inverted index is read three times below, so the texts are split once
-    tokens = F.array_distinct(search_tokens(F.col("description"), rules.prefix_length))
-    words = cut(each(spread(foods.select("fdcId", "pool", "description")), tokens, "token").drop("description"))
+    posted = posting_blocks(foods, rules)
     total = foods.agg(F.count(F.lit(1))).scalar()
-    df = words.groupBy("token").agg(F.count(F.lit(1)).alias("df")).select(
-        "token", F.log(total / F.col("df")).alias("idf"), (F.col("df") > rules.common_df).alias("common"))
-    asked = cut(each(texts, "tw", "x").select("q", "x.token", "x.w")).join(df, "token")
-    posted = words.join(df.filter("common").select("token"), "token", "left_semi")
-
-    pair = asked.select("q", "token", (F.col("w") * F.col("idf")).alias("s"), "common")
-    part = F.struct("token", "s")
-    q_common = pair.filter("common").groupBy("q").agg(F.collect_list(part).alias("q_common"))
-    f_common = posted.groupBy("fdcId", "pool").agg(F.array_sort(F.collect_list("token")).alias("f_common"))
-
-    met = (pair.filter(~F.col("common")).select("q", "token", "s")
-           .join(words.withColumnRenamed("token", "f_token"), F.col("token") == F.col("f_token"))
-           .groupBy("q", "fdcId", "pool").agg(F.collect_list(part).alias("parts")))
-    met = met.join(q_common, "q", "left").join(f_common, ["fdcId", "pool"], "left")
-    both = F.filter("q_common", lambda c: F.array_contains("f_common", c["token"]))
-    empty = F.slice("parts", 1, 0)
-    met = met.select("q", "fdcId", "pool", F.concat("parts", F.coalesce(both, empty)).alias("parts"))
-
-    kinds = first_rows(f_common, ["pool", "f_common"], [F.asc("fdcId")], rules.per_pool)
-    by_common = (
-        kinds.withColumn("token", F.explode("f_common"))
-        .join(pair.filter("common").select("q", "token"), "token").select("q", "fdcId", "pool", "f_common").distinct()
-        .join(q_common, "q").select("q", "fdcId", "pool", both.alias("parts")))
-    score = F.round(F.aggregate(F.array_sort("parts"), F.lit(0.0), lambda acc, p: acc + p["s"]), 9)
-    scored = (met.unionByName(by_common).select("q", "fdcId", "pool", score.alias("score"))
-              .groupBy("q", "fdcId", "pool").agg(F.max("score").alias("score")))
-    top = first_rows(scored, ["q", "pool"], [F.desc("score"), F.asc("fdcId")], rules.per_pool)
+    seen = cut(posted.groupBy("token", "pool").agg(F.count(F.lit(1)).alias("n"), F.max("block").alias("last")))
+    idf = seen.groupBy("token").agg(F.log(total / F.sum("n")).alias("idf"))
+    weighed = each(texts, "tw", "x").select("q", "x.token", "x.w").join(idf, "token").join(seen.select("token", "pool", "last"), "token")
+    asked = cut(weighed.groupBy("q", "pool").agg(F.array_sort(F.collect_list(F.struct("token", (F.col("w") * F.col("idf")).alias("c"), "last"))).alias("tw")))
+    blocks = 1 + (seen.agg(F.max("last")).first()[0] or 0)
+    score = score_of(F.filter("tw", lambda t: F.array_contains("tokens", t["token"])))
+    top = None
+    for block in range(blocks):
+        lookups = open_lookups(asked, top, block, rules)
+        found = met_pairs(lookups, posted.filter(F.col("block") == block)).withColumn("score", score)
+        found = found.filter(F.col("low").isNull() | (F.col("score") > F.col("low"))).select("q", "pool", "fdcId", "score")
+        every = found if top is None else top.unionByName(found)
+        top = cut(first_rows(every, ["q", "pool"], [F.desc("score"), F.asc("fdcId")], rules.per_pool))
     # at most per_pool rows per group: the rank is a window over those few
     ranked = (top.groupBy("q", "pool").agg(F.array_sort(F.collect_list(
         F.struct((-F.col("score")).alias("o"), "fdcId", "score"))).alias("t"))

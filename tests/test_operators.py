@@ -133,8 +133,8 @@ def test_request_chunks(spark):
     assert rows[0] == 0 and rows[19] == 0 and rows[20] == 1 and rows[44] == 2 and len(rows) == 45
 
 
-@pytest.mark.parametrize("common_df", [10**6, 12, 0])
-def test_retrieval_is_the_same_whatever_counts_as_common(spark, common_df):
+@pytest.mark.parametrize("blocks", [(256, 8), (1, 2), (7, 3)])
+def test_retrieval_is_the_same_whatever_the_blocks(spark, blocks):
     rng = random.Random(9)
     vocab = [f"{a}{b}" for a in ("chick", "tomat", "rice", "bread", "salm") for b in ("en", "o", "ly", "ing", "ads")] + ["raw", "oil", "pie"]
     foods = [(i, "Survey (FNDDS)" if i % 3 == 0 else "SR Legacy", "Fast Foods" if i % 10 == 1 else "c",
@@ -143,7 +143,7 @@ def test_retrieval_is_the_same_whatever_counts_as_common(spark, common_df):
     items += [("only-common", "", "raw", ""), ("none", "", "zz 12", "")] + [(f"same{i}", "", "raw pie", "") for i in range(40)]
     f = candidate_foods(spark.createDataFrame(foods, "fdcId int, dataType string, category string, description string"))
     q = spark.createDataFrame(items, "id string, section string, name string, description string")
-    rules = replace(FoodRules(), common_df=common_df)
+    rules = replace(FoodRules(), first_block=blocks[0], block_growth=blocks[1])
     got = {}
     for r in retrieve(q, f, rules).collect():
         got.setdefault((r.id, r.pool), []).append((r.rank, r.fdcId, r.score))
