@@ -29,7 +29,8 @@ from larderline.llm.common import raw, slices, with_fields
 class BpeRules:
     ranks: str                   # a file of ranks: a line a token, base64 of its bytes and its id
     pattern: str                 # what a text is split by; each match is encoded by itself
-    known_pieces: int = 1 << 18  # pieces whose ids a worker remembers, twice over, before it starts anew
+    known_pieces: int = 1 << 17  # pieces whose ids a worker remembers, twice over, before it starts anew
+    known_pairs: int = 1 << 18   # pairs of tokens that it remembers before it starts anew
     block: int = 1 << 15         # pieces of a text that are held at a time
     ahead: int = 2               # characters after its end that a match may depend on, besides blanks that follow each other
 
@@ -57,14 +58,15 @@ class Vocabulary:
         for token, rank in self.ranks.items():
             self.bytes_of[rank] = token
         self.split, self.rules = regex.compile(rules.pattern), rules
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.ends: dict = {}     # tokens by their bytes from the last to the first: byte -> (id or None, deeper)
+        self.pairs: dict[int, bool] = {}
+        self.ends: dict = {}     # tokens by their bytes from the last to the first: byte -> (id or None, deeper or None)
         for token, rank in self.ranks.items():
             if self.merged(token) == [rank]:  # others stand only where a whole piece equals them
                 node = self.ends
                 for b in token[:0:-1]:
-                    node = node.setdefault(b, [None, {}])[1]
-                node.setdefault(token[0], [None, {}])[0] = rank
+                    found = node.setdefault(b, [None, None])
+                    node = found[1] = found[1] or {}
+                node.setdefault(token[0], [None, None])[0] = rank
         self.known = Known(self)
 
     @classmethod
@@ -84,9 +86,9 @@ class Vocabulary:
 
     def stays(self, left: int, right: int) -> bool:
         """Whether two tokens beside each other stay as they are."""
-        key = left, right
+        key = left << 32 | right
         if key not in self.pairs:
-            if len(self.pairs) > 1 << 20:
+            if len(self.pairs) > self.rules.known_pairs:
                 self.pairs.clear()
             self.pairs[key] = self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
         return self.pairs[key]
@@ -98,11 +100,11 @@ class Vocabulary:
             found, at = ends.get(data[end - 1]), end - 1
             while found:
                 token, node = found
-                if token is not None and (not at or pairs.get((last[at - 1], token)) or self.stays(last[at - 1], token)):
+                if token is not None and (not at or pairs.get(last[at - 1] << 32 | token) or self.stays(last[at - 1], token)):
                     last.append(token)
                     break
                 at -= 1
-                found = node.get(data[at]) if at >= 0 else None
+                found = node.get(data[at]) if node and at >= 0 else None
             else:
                 raise ValueError(f"byte {data[end - 1]} isn't in the vocabulary")
         return last
@@ -205,9 +207,11 @@ def renamed(df: DataFrame, names: list[str], columns: tuple[str, ...]) -> DataFr
     return df.select(*(F.col(n).alias(c) for n, c in zip(names, columns)), *df.columns[len(names):])
 
 
-def encode(docs: DataFrame, rules: BpeRules, ids: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, rules: BpeRules, ids: tuple[str, ...] = ("doc_id",), text: str = "text", decoded: bool = False) -> DataFrame:
     """``ids`` of each row with n_tokens and token_ids (binary: little-endian unsigned 32-bit numbers).
 
+    With ``decoded``, the bytes that the ids decode to besides, so that a table can be checked in one pass.
+
     Each match of ``rules.pattern`` in the text is encoded by itself; no string is a special token. A null or empty text
     has no token. Rows that repeat are rows of their own; null ids stay. Whole texts are read, a very long one in parts.
     Other columns aren't read, whatever their names. An empty table gives an empty result. Nothing is shuffled.
@@ -219,10 +223,12 @@ def encode(docs: DataFrame, rules: BpeRules, ids: tuple[str, ...] = ("doc_id",),
         vocabulary = Vocabulary.of(rules)
         for batch in slices(batches):
             out = [np.frombuffer(b"".join(vocabulary.encode((t or b"").decode("utf-8", "replace"))), np.uint32).astype("<u4").tobytes() for t in raw(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [pa.array([len(x) // 4 for x in out], pa.int64()), pa.array(out, pa.binary())],
-                                             [*names, "n_tokens", "token_ids"])
+            made = {"n_tokens": pa.array([len(x) // 4 for x in out], pa.int64()), "token_ids": pa.array(out, pa.binary())}
+            if decoded:
+                made["decoded"] = pa.array([vocabulary.decode(np.frombuffer(x, "<u4").tolist()) for x in out], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + list(made.values()), [*names, *made])
 
-    return renamed(slim.mapInArrow(run, with_fields(slim, names, "n_tokens long, token_ids binary")), names, ids)
+    return renamed(slim.mapInArrow(run, with_fields(slim, names, "n_tokens long, token_ids binary" + ", decoded binary" * decoded)), names, ids)
 
 
 def decode(encoded: DataFrame, rules: BpeRules, columns: tuple[str, ...] = ("doc_id",), token_ids: str = "token_ids") -> DataFrame:
@@ -268,6 +274,4 @@ def edit(docs: DataFrame, rules: BpeRules, ids: tuple[str, ...] = ("doc_id",), t
 
 def query(docs: DataFrame, rules: BpeRules) -> DataFrame:
     """Ids and the bytes that they decode to, as checksums."""
-    encoded = encode(docs, rules)
-    return (decode(encoded, rules, ("doc_id", "n_tokens", "token_ids"))
-            .select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")))
+    return encode(docs, rules, decoded=True).select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
