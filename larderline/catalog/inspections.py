@@ -321,8 +321,12 @@ def inspection_range(spark, sf):
     return I.date_span(I.inspections(*eras(spark, sf)), AS_OF)
 
 
-@REGISTRY.add("entity_match_rejected")
+@REGISTRY.add("entity_match_rejected", f"""
+WITH RECURSIVE {MATCH_SQL.replace(" AND (addr_rel = 'match' OR geo = 'same')", "")},
+rej AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY dataset, business_id) AS place_no FROM dec WHERE conf IS NULL AND kind IS NOT NULL)
+SELECT key, dataset, business_id, kind, CASE WHEN addr_rel = 'conflict' THEN 'addr-conflict' ELSE geo END AS reason FROM rej WHERE place_no <= {_M.rejected_kept}""")
 def entity_match_rejected(spark, sf):
+    """The first rejected registrations of every place; the SQL rates the spelling of all pairs that share a word or the address."""
     return match(*match_sides(spark, sf)).rejected
 
 

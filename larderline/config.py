@@ -79,6 +79,8 @@ class MatchRules:
     min_shared: int = 2
     min_identity: int = 2
     rejected_kept: int = 6
+    first_block: int = 256   # registrations, in order of their ids, that each place may meet for its rejected list,
+    block_growth: int = 8    # times as many in each next block, for the places whose list isn't full
     # fixed values: words without identity, and words that only name an area
     stop_words: tuple[str, ...] = (
         "the", "restaurant", "cafe", "caffe", "and", "inc", "llc", "co", "corp", "company", "ltd",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from larderline.config import FoodRules, MatchRules, RiskRules
 from larderline.operators.dedup import keep_distinct_places, numbered_chunks, place_key
 from larderline.operators.items import median_price, with_ids
-from larderline.operators.matching import match
+from larderline.operators.matching import _side, match, near_spellings
 from larderline.operators.ordering import ordered_position
 from larderline.operators.retrieval import candidate_foods, retrieve
 from larderline.plans import street_risk as risk
@@ -35,8 +35,8 @@ def test_ordered_position_with_a_hot_group(spark, per_task):
 
 
 @pytest.mark.parametrize("base", [(37.7, -122.4), (64.0, 179.9995), (-0.0003, 10.0)])
-@pytest.mark.parametrize("fold_rows", [10**6, 20])
-def test_greedy_duplicates_by_fold_and_by_rounds(spark, base, fold_rows):
+@pytest.mark.parametrize("rounds", [0, 1, 2])
+def test_greedy_duplicates_whatever_the_rounds(spark, base, rounds):
     rng = random.Random(11)
     rows = [(i, rng.choice("hhhab"), base[0] + rng.uniform(0, .006), (base[1] + rng.uniform(0, .012) + 180) % 360 - 180) for i in range(500)]
     rows += [(1000 + i, "h", rows[0][2], rows[0][3]) for i in range(300)]  # a third of all rows at one point
@@ -47,10 +47,25 @@ def test_greedy_duplicates_by_fold_and_by_rounds(spark, base, fold_rows):
             want.add((i, not prior))
             prior.append((lat, lon))
     df = spark.createDataFrame(rows, "i int, name string, lat double, lon double").repartition(5)
-    got = keep_distinct_places(df, F.col("name"), "i", 150.0, fold_rows).collect()
+    got = keep_distinct_places(df, F.col("name"), "i", 150.0, rounds).collect()
     assert {(r.i, r.first_of_name) for r in got} == want
 
 
+def test_greedy_duplicates_in_a_long_chain(spark):
+    """10,000 neighbours of one name in order, around the globe: every other one stays, and the jobs are as many as for a short chain."""
+    side = lambda n: spark.createDataFrame([(i, "h", 10.0, (i * 0.001 + 175) % 360 - 180) for i in range(n)], "i int, name string, lat double, lon double")
+    status = spark.sparkContext.statusTracker()
+
+    def jobs(n):
+        spark.sparkContext.setJobGroup(f"chain {n}", "")
+        kept = [r.i for r in keep_distinct_places(side(n), F.col("name"), "i", 150.0).collect()]
+        spark.sparkContext.setJobGroup("", "")
+        assert sorted(kept) == list(range(0, n, 2))
+        return len(status.getJobIdsForGroup(f"chain {n}"))
+
+    assert jobs(10_000) <= jobs(100) + 12
+
+
 def test_place_key(spark):
     df = spark.createDataFrame([("A", "1 B St", 1.0, 2.0, True), ("A", "1 B St", 1.0, 2.0, False), ("A", None, 37.123456, -122.5, False)],
                                "n string, a string, lat double, lon double, f boolean")
@@ -222,6 +237,103 @@ def test_match_keeps_nearest_address_and_siblings(spark):
     assert out.places.first().methods == ["exact", "sibling"]
 
 
+def test_far_businesses_with_two_shared_words_are_rejected(spark):
+    p = spark.createDataFrame([("k", "Golden Lantern House", "", 37.7946, -122.4058)], PLACE)
+    b = spark.createDataFrame([("d", str(k), "Golden Lantern Noodles", f"{k} Far St", "94999", None, None) for k in range(5)], BIZ)
+    got = match(p, b).rejected.collect()
+    assert sorted(r.business_id for r in got) == list("01234") and {(r.kind, r.reason) for r in got} == {("overlap", "conflict")}
+
+
+@pytest.mark.parametrize("blocks", [(256, 8), (2, 2)])
+def test_rejected_are_the_first_of_all_that_share_a_word(spark, blocks):
+    """Against all pairs, with a word and a name on a third of the registrations."""
+    import difflib
+    rng = random.Random(8)
+    words = ["golden", "lantern", "noodles", "noodels", "pizza", "house", "north", "beach", "crab", "shack", "thai", "coffee", "cofee"]
+    name = lambda: " ".join(["north"] * (rng.random() < 0.4) + rng.sample(words, rng.randint(1, 4)))
+    at = lambda: (37.79 + rng.randrange(8) / 1500, -122.4) if rng.random() < 0.7 else (None, None)
+    street = lambda: rng.choice(["", "1 Elm St", "2 Elm St", "1 Oak St"])
+    places = [(f"k{i}", name(), street(), *at()) for i in range(40)]
+    regs = [("ab"[i % 2], f"{i:03}", "Golden Lantern" if i % 3 == 0 else name(), street(), rng.choice(["94133", "94999", ""]), *at()) for i in range(90)]
+    rules = replace(MatchRules(), first_block=blocks[0], block_growth=blocks[1])
+    p, b = spark.createDataFrame(places, PLACE), spark.createDataFrame(regs, BIZ)
+    out = match(p, b, rules)
+    got = {}
+    for r in out.rejected.collect():
+        got.setdefault(r.key, []).append((r.dataset, r.business_id, r.kind, r.reason))
+    ps = _side(p, "p_", "name", "addr", rules).collect()
+    bs = sorted(_side(b, "b_", "name", "address", rules).collect(), key=lambda r: (r.dataset, r.business_id))
+
+    def metres(a, b, c, d):
+        h = math.sin(math.radians(c - a) / 2) ** 2 + math.cos(math.radians(a)) * math.cos(math.radians(c)) * math.sin(math.radians(d - b) / 2) ** 2
+        return 2 * 6371000 * math.asin(math.sqrt(h))
+
+    df = {}
+    for y in bs:
+        for t in y.b_set:
+            df[t] = df.get(t, 0) + 1
+    for x in ps:
+        want = []
+        for y in bs:
+            s, t, area = set(x.p_set), set(y.b_set), set(rules.place_words)
+            same_street = x.p_street is not None and x.p_street == y.b_street
+            if not (s | {x.p_joined}) & (t | {y.b_joined}) and not same_street:
+                continue
+            ratio = difflib.SequenceMatcher(None, x.p_joined, y.b_joined).ratio()
+            kind = ("exact" if s == t else "compact" if x.p_joined == y.b_joined else "subset" if s <= t or t <= s else "overlap" if len((s & t) - area) >= 2
+                    else "fuzzy" if ratio >= rules.fuzzy_ratio else None)
+            if kind is None or same_street:
+                continue
+            strong = kind in ("exact", "compact") or kind == "fuzzy" and ratio >= rules.fuzzy_strong
+            if x.p_lat and y.b_lat:
+                d = metres(x.p_lat, x.p_lon, y.b_lat, y.b_lon)
+                geo = "same" if d <= 120 else "near" if d <= 400 else "conflict" if d > 1000 else "far"
+            else:
+                geo = None if y.postal == "" else "zip" if y.postal in rules.area_zips else "conflict"
+            smaller = (s if s <= t else t) - area
+            best = min((df.get(w, 10**9) for w in smaller), default=10**9)
+            if x.p_street and y.b_street:
+                ok, geo_or_note = strong and geo == "same", "addr-conflict"
+            else:
+                geo_or_note = geo
+                ok = geo not in ("conflict", "far") and (kind in ("exact", "compact") or kind == "fuzzy" and strong and geo == "same" or kind == "subset" and (
+                    geo == "same" and (best <= rules.df_distinct or len(smaller) >= rules.min_identity) or geo == "zip" and best <= rules.df_unique))
+            if not ok:
+                want.append((y.dataset, y.business_id, kind, geo_or_note))
+        assert sorted(got.get(x.key, [])) == want[:6], x.key
+
+
+def test_a_frequent_word_gives_a_prefix_of_the_rejected(spark, monkeypatch):
+    from larderline.operators import matching
+    seen = []
+    decide = matching._decide
+    monkeypatch.setattr(matching, "_decide", lambda pairs, rules: (seen.append(pairs.count()), decide(pairs, rules))[1])
+    p = spark.createDataFrame([(f"k{i}", f"Golden Lantern number{i}", "", 37.79, -122.4) for i in range(50)], PLACE)
+    b = spark.createDataFrame([("d", f"{i:05}", f"Golden Lantern far{i}", "", "94999", None, None) for i in range(4000)], BIZ)
+    out = match(p, b, replace(MatchRules(), first_block=16))
+    seen.clear()
+    assert out.rejected.count() == 50 * 6 and sum(seen) == 50 * 16
+
+
+@pytest.mark.parametrize("ratio", [0.85, 0.7])
+def test_near_spellings_are_those_of_all_pairs(spark, ratio):
+    import difflib
+    rng = random.Random(5)
+    base = ["".join(rng.choices("abcdefg", k=rng.randint(1, 14))) for _ in range(60)]
+
+    def changed(t):
+        t = list(t)
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randrange(len(t) + 1)
+            t[k:k + rng.randint(0, 1)] = rng.choice(["", "x", "a"])
+        return "".join(t)
+
+    left, right = base + [None, ""], [changed(rng.choice(base)) for _ in range(150)] + [None, "", base[0]]
+    got = near_spellings(spark.createDataFrame([(x,) for x in left], "l string"), spark.createDataFrame([(x,) for x in right], "r string"), ratio).collect()
+    want = {(x, y): r for x in set(left) - {None, ""} for y in set(right) - {None, ""} if x != y and (r := difflib.SequenceMatcher(None, x, y).ratio()) >= ratio}
+    assert len(got) == len(want) and all(abs(want[r.l, r.r] - r.ratio) < 1e-12 for r in got)
+
+
 def test_radius_reaches_a_wide_box(spark):
     """Counts and nearest distances for three boxes and radii against all pairs."""
     import math
