@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from dataclasses import dataclass
 from typing import Iterator
 
@@ -33,9 +34,10 @@ from larderline.session import cut
 class AlignRules:
     byte_level: str                  # a file of the ``tokenizers`` library with a byte-level vocabulary (A)
     pieces: str                      # a model file of the ``sentencepiece`` library (B)
-    block_segments: int = 3_000_000  # a block of documents is full at so many segments,
-    block_letters: int = 1 << 24     # or at so many letters of different ones
-    expansion: int = 1 << 22         # elements of a row product that are worked on at a time
+    block_segments: int = 1_000_000  # a block of documents is full at so many segments,
+    block_letters: int = 1 << 22     # or at so many letters of different ones
+    known_segments: int = 1 << 17    # segments whose ids a worker remembers, twice over, before it starts anew
+    expansion: int = 1 << 20         # elements of a row product that are worked on at a time
     id_bits: int = 20                # of a B id in the key of an id pair
 
 
@@ -103,6 +105,8 @@ class Tokenizers:
     kept: dict[tuple, "Tokenizers"] = {}
 
     def __init__(self, rules: AlignRules):
+        import os
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"   # a task has one core
         import sentencepiece
         from tokenizers import Tokenizer
         from larderline.llm.packing import BYTE_SIGNS
@@ -116,6 +120,8 @@ class Tokenizers:
         pieces = [self.b.id_to_piece(k) for k in range(self.b.vocab_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)]
         self.size_a, self.size_b = (np.array([len(x) for x in t]) for t in (self.bytes_a, self.bytes_b))
+        self.now: dict[str, tuple[bytes, bytes] | None] = {}
+        self.before: dict[str, tuple[bytes, bytes] | None] = {}
         self.words = [f"{k}{sign}".encode() for k in range(max(size, len(pieces))) for sign in ",|;"]
         self.word_size = np.array([len(w) for w in self.words])
         shape = json.loads(open(rules.byte_level, encoding="utf-8").read())
@@ -133,6 +139,25 @@ class Tokenizers:
         """Ids by A of segments, which begin with a space, and by B, which adds it itself."""
         return [e.ids for e in self.a.encode_batch_fast(segments, add_special_tokens=False)], self.b.encode([s[1:] for s in segments], num_threads=1)
 
+    def known(self, segments: list[str], limit: int) -> list[tuple[bytes, bytes] | None]:
+        """Ids by both of each segment, as bytes of 32-bit numbers; None if they don't give back its bytes. Remembered for later blocks."""
+        if len(self.now) > limit:  # those known so far are asked once more before they go
+            self.now, self.before = {}, self.now
+        now, before = self.now, self.before
+        missing = []
+        for s in segments:
+            if s not in now:
+                if s in before:
+                    now[s] = before[s]
+                else:
+                    missing.append(s)
+        for at in range(0, len(missing), 5_000):
+            part = missing[at:at + 5_000]
+            for s, a, b in zip(part, *self.encoded(part)):
+                told = b"".join([self.bytes_a[k] for k in a]) == s.encode() == b"".join([self.bytes_b[k] for k in b])
+                now[s] = (array("I", a).tobytes(), array("I", b).tobytes()) if told else None
+        return [now[s] for s in segments]
+
     def alike(self, text: str) -> bool:
         whole, parts = self.encoded([" " + text]), self.encoded(SEGMENT.findall(" " + text))
         return all(w[0] == [k for ids in p for k in ids] for w, p in zip(whole, parts))
@@ -161,32 +186,28 @@ class Links:
     whole: np.ndarray        # whether the tokens' bytes are the segment's
 
 
-def flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    n = np.fromiter(map(len, ids), np.int64, len(ids))
-    return np.fromiter((k for x in ids for k in x), np.int64, int(n.sum())), n
+def flat(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids that follow each other, and how many each entry has."""
+    return np.frombuffer(b"".join(ids), np.uint32).astype(np.int64), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
 
 
 def linked(segments: list[str], tokenizers: Tokenizers, rules: AlignRules) -> Links:
     """Links and groups of segments. One whose bytes a tokenizer doesn't give back has no tokens."""
-    ids_a, ids_b = [], []
-    for at in range(0, len(segments), 10_000):
-        a, b = tokenizers.encoded(segments[at:at + 10_000])
-        ids_a += a
-        ids_b += b
-    data = [s.encode() for s in segments]
-    whole = np.fromiter((b"".join([tokenizers.bytes_a[k] for k in a]) == d == b"".join([tokenizers.bytes_b[k] for k in b]) for a, b, d in zip(ids_a, ids_b, data)), bool, len(data))
-    (a, n_a), (b, n_b) = (flat([x if w else [] for x, w in zip(ids, whole)]) for ids in (ids_a, ids_b))
+    ids = tokenizers.known(segments, rules.known_segments)
+    whole = np.fromiter((x is not None for x in ids), bool, len(ids))
+    (a, n_a), (b, n_b) = (flat([x[side] if x else b"" for x in ids]) for side in (0, 1))
+    number = len(segments)
     end_a, end_b = np.cumsum(tokenizers.size_a[a]), np.cumsum(tokenizers.size_b[b])
     size = int(end_a[-1]) if len(end_a) else 0
     of_a, of_b = Rows.of_spans(end_a, size), Rows.of_spans(end_b, size)
-    parts = [(i, j) for i, j, _ in of_a.products(of_b.transposed(), rules.expansion)] or [(np.zeros(0, np.int64),) * 2]
-    i, j = (np.concatenate(x) for x in zip(*parts))
-    segment_a, segment_b = np.repeat(np.arange(len(data)), n_a), np.repeat(np.arange(len(data)), n_b)
+    found = [(i, j) for i, j, _ in of_a.products(of_b.transposed(), rules.expansion)] or [(np.zeros(0, np.int64),) * 2]
+    i, j = (np.concatenate(x) for x in zip(*found))
+    segment_a, segment_b = np.repeat(np.arange(number), n_a), np.repeat(np.arange(number), n_b)
     ends = np.intersect1d(end_a, end_b, assume_unique=True)
     group_a, group_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
     segment_of = segment_a[np.searchsorted(end_a, ends)]
     shared = Rows.of_members(group_a, len(ends)).sizes(Rows.of_members(group_b, len(ends)).transposed())
-    count = lambda x, w=None: np.bincount(x, weights=w, minlength=len(data)).astype(np.int64)
+    count = lambda x, w=None: np.bincount(x, weights=w, minlength=number).astype(np.int64)
     sizes = np.stack([n_a, n_b, count(segment_of), count(segment_a[i]), count(segment_a, shared)])
     # groups as text: the tokens of A, then of B, group by group; a bar after the last of A, a semicolon after the last of B
     order = np.argsort(np.concatenate((2 * group_a, 2 * group_b + 1)), kind="stable")
@@ -213,7 +234,7 @@ class Block:
 
     def add(self, doc, text: bytes | None, tokenizers: Tokenizers) -> None:
         segments = tokenizers.segments(text.decode("utf-8", "replace")) if text else []
-        self.texts.append(np.array(list(map(self.known.__getitem__, segments)), np.int64))
+        self.texts.append(np.array(list(map(self.known.__getitem__, segments)), np.int32))
         self.docs.append(doc)
         self.size += len(segments)
 
@@ -222,7 +243,7 @@ class Block:
         length = np.array([len(t) for t in self.texts])
         seen = np.bincount(text, minlength=len(self.known))
         order = np.argsort(-seen, kind="stable")     # frequent segments get small numbers, which pack well
-        new = np.empty_like(order)
+        new = np.empty(len(order), np.int32)
         new[order] = np.arange(len(order))
         names = list(self.known)
         links = linked([names[k] for k in order], tokenizers, rules)
@@ -294,11 +315,11 @@ def align(docs: DataFrame, rules: AlignRules, doc_id: str = "doc_id", text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             row = {n: batch.column(n)[0] for n in batch.schema.names}
-            array = lambda n: row[n].values.to_numpy(zero_copy_only=False) if row[n].is_valid else np.zeros(0, np.int64)
-            keys, found = array("keys"), array("back_key")
+            column = lambda n: row[n].values.to_numpy(zero_copy_only=False) if row[n].is_valid else np.zeros(0, np.int64)
+            keys, found = column("keys"), column("back_key")
             count, best = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
             at = np.searchsorted(keys, found)
-            count[at], best[at] = array("back_count"), array("back_best")
+            count[at], best[at] = column("back_count"), column("back_best")
             length, text, links, pairs = (unpacked(row[n].as_py()).astype(np.int64) for n in ("length", "text", "links", "pairs"))
             sizes = unpacked(row["sizes"].as_py()).astype(np.int64).reshape(len(SIZES), -1)
             of_doc = [sums(sums(v[pairs], links)[text], length) for v in (best, count)]

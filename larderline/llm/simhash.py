@@ -28,18 +28,18 @@ FEW = 32      # the fingerprints that live in a cell up to this size are compare
 SMALL = 2048  # a larger cell up to this size is walked through as it is, beyond that by blocks of 16 bits
 
 
-def fingerprint(text: bytes | None, shingle: int = 3) -> int:
+def fingerprint(text: bytes | None, shingle: int = 3, seed: int = SEED) -> int:
     """SimHash of a text's word shingles (signed 64 bits): bit set if set in over half of their XXH64; no words: 0."""
     w = words(lower(text))
     if not w:
         return 0
     line = b" ".join(w)
     if len(w) <= shingle:
-        hashes = np.array([xxhash.xxh64_intdigest(line, SEED)], np.uint64)
+        hashes = np.array([xxhash.xxh64_intdigest(line, seed)], np.uint64)
     else:
         end = np.cumsum(np.fromiter(map(len, w), np.int64, len(w)) + 1) - 1
         begin = np.concatenate(([0], end[:-1] + 1))
-        digest, seed = xxhash.xxh64_intdigest, SEED
+        digest = xxhash.xxh64_intdigest
         hashes = np.fromiter((digest(line[a:b], seed) for a, b in zip(begin[:len(w) - shingle + 1].tolist(), end[shingle - 1:].tolist())), np.uint64, len(w) - shingle + 1)
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
@@ -64,17 +64,17 @@ def unary(fp: Column) -> Column:
     return low.bitwiseOR(high).bitwiseOR(F.shiftleft(low.bitwiseAND(high), 1))
 
 
-def cells(unique: DataFrame) -> DataFrame:
-    """(cell, fp, home): the two cells where a fingerprint lives, and the cells at distance 1 that it visits."""
+def cells(unique: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """(cell, fp, ``more``, home): the two cells where a fingerprint lives, and the cells at distance 1 that it visits."""
     halves = F.array(F.col("u").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("u", 32))
-    homes = unique.select("fp", unary(F.col("fp")).alias("u")).select("fp", F.posexplode(halves).alias("half", "v"))
+    homes = unique.select("fp", *more, unary(F.col("fp")).alias("u")).select("fp", *more, F.posexplode(halves).alias("half", "v"))
 
     def valid(k: Column) -> Column:  # the lower bit may turn while the upper is 0, the upper while the lower is 1
         return F.when(k % 2 == 0, F.getbit("v", F.least(k + 1, F.lit(31))) == 0).otherwise(F.getbit("v", F.greatest(k - 1, F.lit(0))) == 1)
 
     turned = F.transform(F.filter(F.sequence(F.lit(0), F.lit(31)), valid), lambda k: F.col("v").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k)))
     where = F.concat(F.array(F.struct(F.col("v").alias("cell"), F.lit(True).alias("home"))), F.transform(turned, lambda v: F.struct(v.alias("cell"), F.lit(False).alias("home"))))
-    return homes.select("fp", "half", F.inline(where)).select((F.col("cell") * 2 + F.col("half")).alias("cell"), "fp", "home")
+    return homes.select("fp", *more, "half", F.inline(where)).select((F.col("cell") * 2 + F.col("half")).alias("cell"), "fp", *more, "home")
 
 
 def near_u64(a: np.ndarray, b: np.ndarray) -> np.ndarray:
