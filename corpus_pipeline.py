@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larderline.catalog.base import table
-from larderline.llm import decontaminate, language, line_dedup, packing, simhash
+from larderline.llm import decontaminate, language, line_dedup, near_words, packing
 from larderline.llm.catalog import tokenizer_file
 from larderline.llm.common import fresh
 from larderline.session import fresh_path
@@ -27,8 +27,8 @@ def without_spread_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, the document with the smallest id."""
-    return simhash.drop_copies(docs).select(*docs.columns)
+    """Of each group of near copies (five-word shingles, a similarity of 0.8 or more), one document."""
+    return near_words.drop_near_copies(docs)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,9 +46,8 @@ def key(r):
 
 def test_stages_one_after_the_other(spark, tmp_path):
     import corpus_pipeline as C
-    from larderline.llm import simhash
     from tests.llm import test_line_dedup as lines
-    from tests.llm.test_simhash import plain_components, plain_print
+    from tests.llm.test_near_words import near_pairs, similar
 
     docs, items = corpus()
     spark.createDataFrame(docs, SCHEMA).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
@@ -68,11 +67,12 @@ def test_stages_one_after_the_other(spark, tmp_path):
     want = [(i, t, lang, s, len(t)) for (i, t, _, gone), (_, old, lang, s, _) in zip(lines.plain([(a, b, d, "") for a, b, c, d, e in told], 5), told) if gone == 0 or t.strip()]
     assert sorted(clean, key=key) == sorted(want, key=key) and len(clean) == len(told) - 2 and sum(len(r[1]) for r in clean) < sum(len(r[1]) for r in told)
 
-    prints = {r[0]: plain_print(r[1]) for r in clean}
-    root, least = plain_components(set(prints.values())), {}
-    for d, f in prints.items():
-        least[root[f]] = min(least.get(root[f], d), d)
-    assert {r[0] for r in single} == set(least.values()) and len(single) == len(least) < len(clean) - 20
+    pairs, sets = near_pairs([r[1] for r in clean])
+    kept = {r[0] for r in single}
+    place = {r[0]: k for k, r in enumerate(clean)}
+    assert kept < place.keys() and len(kept) < len(clean) - 20
+    assert not any(clean[a][0] in kept and clean[b][0] in kept for a, b in pairs)
+    assert all(any(similar(sets[place[d]], sets[place[e]]) >= 0.8 for e in kept) for d in place.keys() - kept)
 
     tokens = lambda x: regex.findall(r"[\p{L}\p{N}]+", x.lower())
     from tests.llm.test_decontaminate import plain_tiles
@@ -82,7 +82,6 @@ def test_stages_one_after_the_other(spark, tmp_path):
     pieces = C.run(spark, str(tmp_path)).collect()
     assert Counter(r["doc_id"] for r in pieces).keys() == {r[0] for r in safe}
     assert sum(r["length"] for r in pieces) == sum({r["doc_id"]: r["doc_tokens"] for r in pieces}.values())
-    assert simhash.BITS == 3
 
 
 def test_other_columns_of_any_name_pass(spark, tmp_path):
