@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-from array import array
 from dataclasses import dataclass
 from typing import Iterator
 
@@ -34,7 +33,7 @@ from larderline.session import cut
 class AlignRules:
     byte_level: str                  # a file of the ``tokenizers`` library with a byte-level vocabulary (A)
     pieces: str                      # a model file of the ``sentencepiece`` library (B)
-    block_segments: int = 1_000_000  # a block of documents is full at so many segments,
+    block_segments: int = 600_000    # a block of documents is full at so many segments,
     block_letters: int = 1 << 22     # or at so many letters of different ones
     known_segments: int = 1 << 17    # segments whose ids a worker remembers, twice over, before it starts anew
     expansion: int = 1 << 20         # elements of a row product that are worked on at a time
@@ -153,11 +152,32 @@ class Tokenizers:
                     missing.append(s)
         for at in range(0, len(missing), 5_000):
             part = missing[at:at + 5_000]
-            for s, a, b in zip(part, *self.encoded(part)):
-                told = b"".join([self.bytes_a[k] for k in a]) == s.encode() == b"".join([self.bytes_b[k] for k in b])
-                now[s] = (array("I", a).tobytes(), array("I", b).tobytes()) if told else None
+            ended = [s for s in part if not s[-1].isspace()]   # others would run on into the next
+            now.update(zip(ended, self.in_one(ended) or []))
+            for s in part:
+                if s not in now:
+                    now[s] = (self.in_one([s]) or [None])[0]
         return [now[s] for s in segments]
 
+    def in_one(self, segments: list[str]) -> list[tuple[bytes, bytes]] | None:
+        """Ids by both of segments, tokenized as one text; None if the tokens don't give back its bytes, or one stands over an end."""
+        if not segments:
+            return []
+        text, out = "".join(segments), []
+        data, ends = text.encode(), np.cumsum([len(s.encode()) for s in segments])
+        (a,), (b,) = self.encoded([text])
+        for ids, sizes, bytes_of in ((a, self.size_a, self.bytes_a), (b, self.size_b, self.bytes_b)):
+            if b"".join(map(bytes_of.__getitem__, ids)) != data:
+                return None
+            ids = np.array(ids, np.uint32)
+            stop = np.cumsum(sizes[ids])
+            after = np.searchsorted(stop, ends) + 1
+            if not np.array_equal(stop[after - 1], ends):
+                return None
+            plain = ids.tobytes()
+            out.append([plain[4 * x:4 * y] for x, y in zip([0, *after[:-1].tolist()], after.tolist())])
+        return list(zip(*out))
+
     def alike(self, text: str) -> bool:
         whole, parts = self.encoded([" " + text]), self.encoded(SEGMENT.findall(" " + text))
         return all(w[0] == [k for ids in p for k in ids] for w, p in zip(whole, parts))
