@@ -305,6 +305,25 @@ def item_nutrients(spark, sf):
     return out.select("id", *[F.round(f, 6).alias(f) for f in _FIELDS])
 
 
+@REGISTRY.add("item_amounts", f"""
+WITH {NUTRIENT_SQL}, m AS (SELECT o_orderkey AS id, o_orderkey % 9 = 0 AS labelled, CASE WHEN o_orderkey % 4 <> 0 THEN (o_orderkey * 7) % (SELECT count(*) FROM orders) END AS fdcId, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey % 300 + 0.5::DOUBLE END AS grams FROM orders),
+wide AS (SELECT m.*, {', '.join(_FIELDS)} FROM m LEFT JOIN per USING (fdcId) WHERE NOT labelled)
+SELECT id, 'label' AS basis, 'Nutrient ' || l_linenumber AS name, round(l_quantity::DOUBLE, 6) AS amount FROM m JOIN lineitem ON l_orderkey = id WHERE labelled
+UNION ALL {' UNION ALL '.join(f"SELECT id, 'record', '{f}', round({f} * grams / 100, 6) FROM wide" for f in _FIELDS)}""")
+def item_amounts(spark, sf):
+    """Every ninth order has a label with its lines as nutrients, the others a record."""
+    k = F.col("o_orderkey")
+    orders = table(spark, sf, "orders")
+    total = orders.agg(F.count(F.lit(1))).scalar()
+    mapped = orders.select(k.alias("id"), F.when(k % 9 == 0, "label").otherwise("usda-single-food").alias("kind"), F.when(k % 4 != 0, (k * 7) % total).alias("fdcId"),
+                           F.when(k % 5 != 0, k % 300 + F.lit(0.5)).alias("grams"))
+    line = F.struct(F.concat(F.lit("Nutrient "), F.col("l_linenumber").cast("string")).alias("name"), F.lit("mg").alias("unit"), F.col("l_quantity").alias("amount"))
+    labels = (table(spark, sf, "lineitem").join(orders.filter(k % 9 == 0).select(k.alias("l_orderkey")), "l_orderkey")
+              .groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_list(line).alias("nutrients")).withColumn("serving_g", F.lit(28.0)))
+    out = N.amounts_of_items(mapped, N.nutrient_rows(_amounts(spark, sf), "fdcId", "nid", "amount", "ord"), labels)
+    return out.withColumn("amount", F.round("amount", 6))
+
+
 @REGISTRY.add("missing_records", """
 WITH m AS (SELECT DISTINCT l_partkey AS fdcId FROM lineitem UNION SELECT c_custkey FROM customer),
 u AS (SELECT fdcId FROM m WHERE fdcId NOT IN (SELECT s_suppkey FROM supplier))

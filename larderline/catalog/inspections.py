@@ -217,7 +217,7 @@ def _longest(x: str, y: str) -> str:
             f"CASE WHEN contains({y}, substring({x}, i, k)) THEN {{'k': k, 'i': -i}} END))), lambda z: z IS NOT NULL))")
 
 
-MATCH_SQL = f"""
+PARTS_SQL = f"""
 pt AS (SELECT p_partkey AS k, p_name, string_split(p_name, ' ')[1] AS f, string_split(p_name, ' ')[2] AS s2, {point_sql('p_partkey', 100)},
   ['Main St', 'North Oak Ave', 'The Bay', 'Elm'][(p_partkey % 4)::INT + 1] AS street FROM part),
 pl AS (SELECT k AS key, CASE k % 6 WHEN 0 THEN 'The Cafe' WHEN 1 THEN p_name || ' North Beach' WHEN 2 THEN 'number' || (k % 700) || ' ' || f ELSE p_name END AS name,
@@ -227,7 +227,10 @@ bz AS (SELECT CASE WHEN k % 2 = 0 THEN '{ERA_SCORED}' ELSE '{ERA_PLACARD}' END A
     WHEN 4 THEN 'Number' || (k % 700) WHEN 5 THEN f || ' ' || s2 || 's' ELSE substring(p_name, 1, 6) || 'x' || substring(p_name, 8, 30) END AS name,
   CASE WHEN k % 5 = 0 THEN '' ELSE (k % 40 + 1) || ' ' || CASE WHEN k % 9 = 0 THEN 'Oak Ave' ELSE street END END AS address,
   CASE k % 4 WHEN 0 THEN '94133' WHEN 1 THEN '94999' WHEN 2 THEN '' ELSE '94108' END AS postal,
-  CASE WHEN k % 8 <> 0 THEN lat + 0.0004::DOUBLE END AS blat, CASE WHEN k % 8 <> 0 THEN lon END AS blon FROM pt),
+  CASE WHEN k % 8 <> 0 THEN lat + 0.0004::DOUBLE END AS blat, CASE WHEN k % 8 <> 0 THEN lon END AS blon FROM pt)"""
+
+#: The match of places ``pl`` (key, name, addr, plat, plon) to registrations ``bz``.
+RULES_SQL = f"""
 p1 AS (SELECT *, {_TOKENS.format('name')} AS tk, {_STREET.format('addr')} AS pstreet FROM pl),
 p2 AS (SELECT *, list_sort(list_distinct(tk)) AS pset, array_to_string(tk, '') AS pj FROM p1 WHERE len(tk) > 0),
 b1 AS (SELECT *, {_TOKENS.format('name')} AS tk, {_STREET.format('address')} AS bstreet FROM bz),
@@ -271,6 +274,9 @@ chosen AS (SELECT grp.* FROM grp JOIN best USING (key) WHERE ng = 1 OR bd = 'inf
 matched AS (SELECT * FROM by_addr UNION ALL SELECT key, dataset, business_id, kind, conf FROM chosen)
 """
 
+MATCH_SQL = f"{PARTS_SQL}, {RULES_SQL}"
+
+
 @REGISTRY.add("entity_match_names", f"WITH RECURSIVE {MATCH_SQL} SELECT key, dataset, business_id, kind, conf AS confidence FROM matched")
 def entity_match_names(spark, sf):
     """The accepted registrations of every place; the SQL finds matching blocks of names by recursion."""
@@ -363,7 +369,20 @@ def match_eras(spark, sf):
     return plan.era_report(_report_layer(spark, sf), "2000-01-01")
 
 
-@REGISTRY.add("inspection_layer")
+@REGISTRY.add("inspection_layer", f"""
+WITH RECURSIVE {ERA_SQL},
+guests AS (SELECT c_custkey, {point_sql('c_custkey')} FROM customer),
+pl AS (SELECT c_custkey AS key, 'Café ' || c_custkey AS name, CASE WHEN c_custkey % 4 <> 0 THEN (c_custkey % 50 + 1) || ' Main Street' ELSE '' END AS addr, lat AS plat, lon AS plon FROM guests),
+seen AS (SELECT DISTINCT c, day < '1997-01-01' AS lo, day >= '1997-01-01' AND day < '1999-01-01' AS mid FROM o),
+spots AS (SELECT c, lo, mid, {point_sql('c')} FROM seen),
+bz AS (SELECT CASE WHEN lo THEN '{ERA_SCORED}' WHEN mid THEN '{ERA_PLACARD}' ELSE '{ERA_CURRENT}' END AS dataset,
+  CASE WHEN mid THEN 'CAFE ' || c || '|' || (c % 50 + 1) || ' MAIN ST' ELSE c::VARCHAR END AS business_id,
+  CASE WHEN lo THEN 'Cafe ' || c WHEN mid THEN 'CAFE ' || c ELSE 'Cafe ' || c || ' Inc.' END AS name, (c % 50 + 1) || CASE WHEN mid THEN ' MAIN ST' ELSE ' Main St' END AS address,
+  CASE WHEN lo THEN '94133' WHEN mid THEN '94109' ELSE '' END AS postal, CASE WHEN NOT mid THEN lat END AS blat, CASE WHEN NOT mid THEN lon END AS blon FROM spots),
+{RULES_SQL}, {SUMMARY_SQL.replace("SELECT *, regexp_extract(business_id, '([0-9]+)', 1)::BIGINT AS place FROM insp WHERE", "SELECT insp.*, key AS place FROM insp JOIN matched USING (dataset, business_id) WHERE")},
+counted AS (SELECT key, max(conf) AS conf, count(*) AS n FROM matched GROUP BY key)
+SELECT pl.key, coalesce(conf, 'none') AS match_confidence, coalesce(n, 0) AS registrations, inspections_total, last_score, last_status
+FROM pl LEFT JOIN counted ON pl.key = counted.key LEFT JOIN summary ON summary.place = pl.key""")
 def inspection_layer(spark, sf):
     """Customers as places matched to the registrations of the three eras, with their summaries."""
     k = F.col("c_custkey")

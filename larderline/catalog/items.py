@@ -53,6 +53,36 @@ def item_id_collisions(spark, sf):
     return duplicates(I.with_ids(item_rows(spark, sf)), ["id"])
 
 
+DOCUMENT_SQL = f"""
+src AS (SELECT p_brand AS place, 'menu' AS kind, p_type AS section, p_name AS name, CASE WHEN p_partkey % 5 = 0 THEN 'big' ELSE '' END AS description,
+  '' AS size, CASE WHEN p_partkey % 9 <> 0 THEN p_retailprice END AS price, 'list ' || lpad((p_partkey // 50)::VARCHAR, 12, '0') AS source, p_partkey AS pos FROM part
+  UNION ALL SELECT 'Store No. ' || s_nationkey, 'product', 'Shelf / A', 'Item #' || (s_suppkey % 3), '', CASE WHEN s_suppkey % 2 = 0 THEN (s_suppkey % 4) || ' Oz' ELSE '' END, s_acctbal,
+  'list ' || lpad((s_suppkey // 50)::VARCHAR, 12, '0'), s_suppkey FROM supplier),
+based AS (SELECT *, {_slug_sql('place')} || '--' || {_slug_sql('name')} AS base FROM src)
+"""
+
+
+@REGISTRY.add("item_table", f"""
+WITH {DOCUMENT_SQL}
+SELECT base || CASE WHEN n = 1 THEN '' ELSE '-' || n END AS id, place, kind, section, name, description, size, price, source, '2024-01-01' AS as_of, 'ok' AS status
+FROM (SELECT *, row_number() OVER (PARTITION BY base ORDER BY section, description, size, coalesce(price, -1), name, kind, source, pos) AS n FROM based)""")
+def item_table(spark, sf):
+    """Menu documents of parts and product documents of suppliers, at most 50 items each, as one item table with ids."""
+    k, s = F.col("p_partkey"), F.col("s_suppkey")
+    source = lambda c: F.concat(F.lit("list "), F.lpad(F.floor(c / 50).cast("string"), 12, "0"))
+
+    def documents(rows, name, key, items, item):
+        listed = F.transform(F.array_sort(F.collect_list(F.struct(key.alias("o"), item.alias("i")))), lambda x: x["i"])
+        return rows.groupBy(name.alias("name"), source(key).alias("source")).agg(listed.alias(items)).withColumns({"as_of": F.lit("2024-01-01"), "status": F.lit("ok")})
+
+    menus = documents(table(spark, sf, "part"), F.col("p_brand"), k, "items", F.struct(
+        F.col("p_type").alias("section"), F.col("p_name").alias("item"), F.when(k % 5 == 0, "big").alias("description"), F.when(k % 9 != 0, F.col("p_retailprice")).alias("price")))
+    products = documents(table(spark, sf, "supplier"), F.concat(F.lit("Store No. "), F.col("s_nationkey").cast("string")), s, "products", F.struct(
+        F.lit("Shelf / A").alias("section"), F.concat(F.lit("Item #"), (s % 3).cast("string")).alias("name"), F.lit(None).cast("string").alias("description"),
+        F.when(s % 2 == 0, F.concat_ws(" ", (s % 4).cast("string"), F.lit("Oz"))).alias("size"), F.col("s_acctbal").alias("price")))
+    return I.with_ids(I.menu_items(menus).unionByName(I.product_items(products)))
+
+
 _UNITS = {"MEDIUM": "Oz", "PROMO": "lb", "STANDARD": "Fl Oz", "LARGE": "Each", "SMALL": "Doz", "ECONOMY": "Bunch"}
 
 
@@ -129,10 +159,10 @@ def level_report(spark, sf):
 
 
 @REGISTRY.add("price_level", """
-WITH p AS (SELECT l_orderkey, median(l_extendedprice / 2000) AS m FROM lineitem WHERE l_returnflag IN ('A', 'N') GROUP BY 1)
+WITH p AS (SELECT l_orderkey, median(l_extendedprice / 2000) AS m FROM lineitem GROUP BY 1)
 SELECT l_orderkey, round(m, 8) AS median_price, CASE WHEN m < 10 THEN 1 WHEN m < 18 THEN 2 WHEN m < 30 THEN 3 ELSE 4 END AS price_level FROM p""")
 def price_level(spark, sf):
-    lines = table(spark, sf, "lineitem").filter(F.col("l_returnflag").isin("A", "N")).select(
+    lines = table(spark, sf, "lineitem").select(
         "l_orderkey", (F.col("l_extendedprice") / 2000).alias("price"), "l_linenumber")
     out = I.median_price(lines, "l_orderkey", "price", "l_linenumber")
     return out.select("l_orderkey", F.round("median_price", 8).alias("median_price"),

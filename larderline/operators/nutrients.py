@@ -139,6 +139,19 @@ def label_amounts(labels: DataFrame) -> DataFrame:
         "id", "serving_g", "n.name", "n.unit", "n.amount")
 
 
+def amounts_of_items(food_map: DataFrame, nutrients: DataFrame, labels: DataFrame, rules: NutrientRules = NutrientRules()) -> DataFrame:
+    """Amounts of every mapped item, one row per nutrient: (id, basis, name, amount).
+
+    A labelled item has what its label prints, per serving, and nothing else; another has each field of its record per
+    100 g times its grams over 100, null where the record, the grams or the field is unknown.
+    """
+    printed = (food_map.filter("kind = 'label'").select("id").join(label_amounts(labels), "id")
+               .select("id", F.lit("label").alias("basis"), "name", F.col("amount").cast("double").alias("amount")))
+    fields = F.array(*[F.struct(F.lit(f).alias("name"), F.col(f).alias("amount")) for f in rules.fields])
+    of_record = item_amounts(food_map.filter("kind <> 'label'"), nutrients, rules=rules).select("id", F.lit("record").alias("basis"), F.inline(fields))
+    return printed.unionByName(of_record)
+
+
 def mapped_records(food_map: DataFrame, grocery: DataFrame) -> DataFrame:
     """Every record a mapping uses."""
     return (food_map.select("fdcId").union(grocery.select("fdcId"))

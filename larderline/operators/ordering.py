@@ -27,26 +27,24 @@ def ordered_position(df: DataFrame, group: Sequence[str], order: Sequence[str],
     key = F.struct(*[F.col(c) for c in order])
     tie = F.xxhash64(*order)
     if not group:
-        # one group: its size and its cuts are single values, so nothing is joined to every row
-        n = df.agg(F.count(F.lit(1))).scalar()
-        sampled = df.select(*order).filter(F.pmod(tie, _sample_step(n, rows_per_task)) == 0)
-        cuts = sampled.agg(F.array_sort(F.collect_list(key))).scalar()
-        cut_up = df.withColumn("_cuts", cuts).withColumn("_piece", _piece(key)).drop("_cuts")
-        same = []
-    else:
-        sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_task)
-        big = sizes.select(*[F.col(c).alias(f"_b_{c}") for c in group],
-                           _sample_step(F.col("_n"), rows_per_task).alias("_every"))
-        same = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in group]
-        sampled = (df.select(*group, *[c for c in order if c not in group]).join(big, same)
-                   .filter(F.pmod(tie, F.col("_every")) == 0))
-        cuts = (sampled.groupBy(*[F.col(f"_b_{c}") for c in group])
-                .agg(F.array_sort(F.collect_list(key)).alias("_cuts")))
-        cut_up = (df.join(cuts, same, "left").withColumn("_piece", _piece(key))
-                  .drop("_cuts", *[f"_b_{c}" for c in group]))
+        cut_up = _cut_up(df, order, rows_per_task)
+        before = _prefix_sums(cut_up.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n")))
+        local = F.row_number().over(Window.partitionBy("_piece").orderBy(*order))
+        return (cut_up.withColumn(out, local).join(before, F.col("_piece") == F.col("_b_piece"), "left")
+                .withColumn(out, (F.col(out) + F.coalesce("_before", F.lit(0))).cast("bigint")).drop("_before", "_piece", "_b_piece"))
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_task)
+    big = sizes.select(*[F.col(c).alias(f"_b_{c}") for c in group],
+                       _sample_step(F.col("_n"), rows_per_task).alias("_every"))
+    same = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in group]
+    sampled = (df.select(*group, *[c for c in order if c not in group]).join(big, same)
+               .filter(F.pmod(tie, F.col("_every")) == 0))
+    cuts = (sampled.groupBy(*[F.col(f"_b_{c}") for c in group])
+            .agg(F.array_sort(F.collect_list(key)).alias("_cuts")))
+    cut_up = (df.join(cuts, same, "left").withColumn("_piece", _piece(key))
+              .drop("_cuts", *[f"_b_{c}" for c in group]))
 
     # groups that were not cut are left out of the counts: all their rows are in piece 0
-    counted = cut_up.join(cuts.select(*[f"_b_{c}" for c in group]), same, "left_semi") if group else cut_up
+    counted = cut_up.join(cuts.select(*[f"_b_{c}" for c in group]), same, "left_semi")
     pieces = counted.groupBy(*group, "_piece").agg(F.count(F.lit(1)).alias("_n"))
     earlier = F.sum("_n").over(Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1))
     # a first piece is shifted by nothing, so only groups that were cut appear here
@@ -59,6 +57,36 @@ def ordered_position(df: DataFrame, group: Sequence[str], order: Sequence[str],
             .drop("_before", "_piece", "_b_piece", *[f"_b_{c}" for c in group]))
 
 
+def sum_before(df: DataFrame, order: Sequence[str], value: str, out: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Sum of ``value`` over all rows that come before a row in ascending ``order``; 0 for the first.
+
+    ``order`` names columns that together are unique. The table is cut at sampled values as in ``ordered_position``:
+    each piece is summed up apart and shifted by the sums of those before it, so that no task gets all rows. Nulls add nothing.
+    """
+    cut_up = _cut_up(df, order, rows_per_task)
+    before = _prefix_sums(cut_up.groupBy("_piece").agg(F.coalesce(F.sum(value), F.lit(0)).alias("_n")))
+    local = F.sum(value).over(Window.partitionBy("_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    return (cut_up.withColumn(out, local).join(before, F.col("_piece") == F.col("_b_piece"), "left")
+            .withColumn(out, F.coalesce(out, F.lit(0)) + F.coalesce("_before", F.lit(0))).drop("_before", "_piece", "_b_piece"))
+
+
+def _cut_up(df: DataFrame, order: Sequence[str], rows_per_task: int) -> DataFrame:
+    """``df`` with ``_piece``, the number of its part in ``order``; the size and the cuts are single values, so nothing is joined to every row."""
+    key = F.struct(*[F.col(c) for c in order])
+    n = df.agg(F.count(F.lit(1))).scalar()
+    sampled = df.select(*order).filter(F.pmod(F.xxhash64(*order), _sample_step(n, rows_per_task)) == 0)
+    cuts = sampled.agg(F.array_sort(F.collect_list(key))).scalar()
+    return df.withColumn("_cuts", cuts).withColumn("_piece", _piece(key)).drop("_cuts")
+
+
+def _prefix_sums(pieces: DataFrame) -> DataFrame:
+    """_b_piece and _before, the sum of ``_n`` over all earlier pieces, of which there are at most ``MAX_SPLITS`` or so."""
+    listed = pieces.agg(F.array_sort(F.collect_list(F.struct("_piece", "_n"))).alias("l"))
+    earlier = lambda i: F.transform(F.slice("l", F.lit(1), F.greatest(i, F.lit(0))), lambda x: x["_n"])
+    sums = F.transform("l", lambda x, i: F.struct(x["_piece"].alias("_b_piece"), F.aggregate(earlier(i), x["_n"] - x["_n"], lambda acc, n: acc + n).alias("_before")))
+    return listed.select(F.inline(sums))
+
+
 def _sample_step(n: Column, rows_per_task: int) -> Column:
     """One row in how many is sampled as a cut; null when the group is not cut."""
     pieces = F.least(F.ceil(n / rows_per_task), F.lit(MAX_SPLITS))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larderline.config import RiskRules
 from larderline.functions.numbers import round_even
 from larderline.operators import incidents as inc
-from larderline.operators.ordering import first_rows, ordered_position
+from larderline.operators.ordering import first_rows, ordered_position, sum_before
 from larderline.operators.spatial import radius_by_category, radius_summary
 from larderline.session import cut
 
@@ -42,11 +42,9 @@ def ranked(counted: DataFrame) -> DataFrame:
     """
     counted = cut(counted)
     sizes = counted.groupBy("total").agg(F.count(F.lit(1)).alias("_n"))
-    below = F.coalesce(F.sum("_n").over(Window.orderBy("total").rowsBetween(Window.unboundedPreceding, -1)),
-                       F.lit(0))
-    n = F.sum("_n").over(Window.partitionBy())
-    histogram = sizes.select("total", F.when(n > 1, round_even(100 * below / (n - 1), 1)).otherwise(0.0)
-                             .alias("percentile"))
+    n = counted.agg(F.count(F.lit(1))).scalar()
+    histogram = sum_before(cut(sizes), ["total"], "_n", "_below").select(
+        "total", F.when(n > 1, round_even(100 * F.col("_below") / (n - 1), 1)).otherwise(0.0).alias("percentile"))
     order = counted.withColumn("_t", -F.col("total")).withColumn("_v", -F.col("violent"))
     return (ordered_position(order, [], ["_t", "_v", "key"], "rank").drop("_t", "_v")
             .join(histogram, "total"))

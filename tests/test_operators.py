@@ -11,7 +11,7 @@ from larderline.config import FoodRules, MatchRules, RiskRules
 from larderline.operators.dedup import keep_distinct_places, numbered_chunks, place_key
 from larderline.operators.items import median_price, with_ids
 from larderline.operators.matching import _side, match, near_spellings
-from larderline.operators.ordering import ordered_position
+from larderline.operators.ordering import ordered_position, sum_before
 from larderline.operators.retrieval import candidate_foods, retrieve
 from larderline.plans import street_risk as risk
 
@@ -34,6 +34,16 @@ def test_ordered_position_with_a_hot_group(spark, per_task):
     assert overall == {i: n for n, (_, i) in enumerate(sorted((v, i) for _, v, i in rows), 1)}
 
 
+@pytest.mark.parametrize("per_task", [5, 10**6])
+def test_sums_of_all_rows_before(spark, per_task):
+    rng = random.Random(3)
+    rows = [(i // 3, i, rng.choice([None, 0, 1, 7])) for i in range(400)]
+    df = spark.createDataFrame(rows, "v int, i int, n long").repartition(5)
+    out = sum_before(df, ["v", "i"], "n", "s", per_task)
+    assert {r.i: r.s for r in out.collect()} == {i: sum(n or 0 for _, j, n in rows if j < i) for _, i, _ in rows}
+    assert sum_before(df.limit(0), ["v", "i"], "n", "s").collect() == []
+
+
 @pytest.mark.parametrize("base", [(37.7, -122.4), (64.0, 179.9995), (-0.0003, 10.0)])
 @pytest.mark.parametrize("rounds", [0, 1, 2])
 def test_greedy_duplicates_whatever_the_rounds(spark, base, rounds):
@@ -361,6 +371,30 @@ def test_radius_reaches_a_wide_box(spark):
         assert kinds == {(*x, "abc"[j]): n for x in sites for j in range(3) if (n := sum(d <= radius and k % 3 == j for d, k in near[x]))}
 
 
+def test_a_crowded_tile_is_split(spark):
+    """100,000 distinct points in one fine tile: the sums are exact, and few points are opened."""
+    from larderline.operators import spatial
+    rng = random.Random(2)
+    box, radius = (0.006, 0.0075), 20.0
+    side = spatial.cell_of(box)[0] / spatial.FINE, spatial.cell_of(box)[1] / spatial.FINE
+    corner = math.floor(37.75 / side[0]) * side[0], math.floor(-122.45 / side[1]) * side[1]
+    at = lambda: (corner[0] + rng.random() * side[0] * 0.999, corner[1] + rng.random() * side[1] * 0.999)
+    points = [(*at(), 1, "abc"[k % 3]) for k in range(100_000)]
+    sites = [at() for _ in range(3)] + [(corner[0] + 0.002, corner[1])]
+    s = spark.createDataFrame(sites, "lat double, lon double")
+    p = spark.createDataFrame(points, "lat double, lon double, n long, kind string").repartition(8).cache()
+    near = {x: [(metres(*x, *y[:2]), y[3]) for y in points] for x in sites}
+    got = {(r["lat"], r["lon"]): r for r in spatial.radius_summary(s, p, ["n"], radius, box).collect()}
+    for x in sites:
+        assert got[x]["n"] == sum(d <= radius for d, _ in near[x])
+        assert math.isclose(got[x]["nearest_m"], min(near[x])[0], abs_tol=1e-6)
+    kinds = {(r["lat"], r["lon"], r["kind"]): r["n"] for r in spatial.radius_by_category(s, p, "kind", "n", radius, box).collect()}
+    assert kinds == {(*x, j): n for x in sites for j in "abc" if (n := sum(d <= radius and k == j for d, k in near[x]))}
+    tiled = spatial.with_tiles(p, spatial.cell_of(box))
+    opened = sum(pairs.filter("opened").join(tiled, [f"y{k}", f"x{k}"]).count() for k, pairs in enumerate(spatial._levels(s, tiled, radius, box, spatial.cell_of(box), ["n"], True)))
+    assert opened < 0.1 * len(points) * len(sites)
+
+
 def test_long_votes_follow_the_rule_of_samples(spark):
     """The sums over a long table answer as the expression over samples does."""
     import random
