@@ -55,12 +55,57 @@ def rolling(tokens: np.ndarray, length: int) -> np.ndarray:
             size, power = size * 2, power * power
 
 
+def open_windows(tokens: np.ndarray, free: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where windows of ``size`` free tokens begin, and their hashes."""
+    if len(tokens) < size:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    count = np.concatenate(([0], np.cumsum(free)))
+    where = np.flatnonzero(count[size:] - count[:-size] == size)
+    return where, rolling(tokens, size)[where]
+
+
+def beside(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which values of ``a`` are in ``b``; both rise."""
+    at = np.searchsorted(b, a)
+    return (at < len(b)) & (b[np.minimum(at, len(b) - 1)] == a) if len(b) else np.zeros(len(a), bool)
+
+
+def matches(d: np.ndarray, free_d: np.ndarray, t: np.ndarray, free_t: np.ndarray, size: int) -> list[tuple[int, int, int]]:
+    """(-length, place in t, place in d) of the common runs of ``size`` free tokens or more that can't be made longer.
+
+    Windows are looked up by their rolling hashes; windows that follow each other in both texts are one run. The work
+    for a window of the item is linear in the windows of the document that equal it, and only runs are kept.
+    """
+    in_d, hash_d = open_windows(d, free_d, size)
+    in_t, hash_t = open_windows(t, free_t, size)
+    order = np.argsort(hash_d, kind="stable")
+    in_d, hash_d = in_d[order], hash_d[order]
+    low, high = np.searchsorted(hash_d, hash_t, "left"), np.searchsorted(hash_d, hash_t, "right")
+    heads, tails, last, before = [], [], -2, in_d[:0]
+    for j, a, b in [*zip(in_t.tolist(), low.tolist(), high.tolist()), (len(t) + 1, 0, 0)]:
+        here = in_d[a:b]
+        follows = j == last + 1
+        heads.append((here[~beside(here - 1, before)] if follows else here, j))
+        tails.append((before[~beside(before + 1, here)] if follows else before, last))
+        last, before = j, here
+
+    def sorted_runs(parts: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
+        i = np.concatenate([x for x, _ in parts])
+        j = np.repeat([k for _, k in parts], [len(x) for x, _ in parts])
+        run = np.lexsort((i, i - j))
+        return i[run], j[run]
+
+    (i, j), (end, _) = sorted_runs(heads), sorted_runs(tails)
+    return list(zip((i - end - size).tolist(), j.tolist(), i.tolist()))
+
+
 def tiles(doc: np.ndarray, item: np.ndarray, rules: TilingRules) -> list[tuple[int, int, int]]:
     """Greedy string tiling: (start in doc, start in item, length) of the tiles.
 
     Searches with falling length: windows of the item that no tile covers are looked up among those of the document by
-    their rolling hash, matches are extended, and the longest are marked first; of a match that a tile cuts, the free head is a match again. A find beyond twice the search length
-    restarts the search at its length. Ties go to the first in the item, then the first in the document.
+    their rolling hash, and of the runs they make, the longest are marked first; what a longer tile leaves free of a run
+    is a run again. A find beyond twice the search length restarts the search at its length. Ties go to the first in the
+    item, then the first in the document. Texts of one token over and over give a run for each place, not for each window.
     """
     low = min(rules.min_match, len(item))
     if low < rules.min_match or len(doc) < low:
@@ -72,50 +117,32 @@ def tiles(doc: np.ndarray, item: np.ndarray, rules: TilingRules) -> list[tuple[i
     for k in range(low):
         used[near + k] = True
     where = np.flatnonzero(used)
-    # runs of those tokens, kept apart by one free position each
+    # runs of those tokens, kept apart by one taken position each
     gap = np.flatnonzero(np.diff(where) > 1)
     at = np.insert(where, gap + 1, -1)
-    d = [int(doc[p]) if p >= 0 else -1 for p in at.tolist()]
-    t = item.tolist()
-    free_d, free_t = [x >= 0 for x in d], [True] * len(t)
+    d, free_d, free_t = np.where(at >= 0, doc[np.maximum(at, 0)], np.uint64(0)), at >= 0, np.ones(len(item), bool)
     found: list[tuple[int, int, int]] = []
-    length = max(low, min(rules.first_length, len(t)))
-
-    def windows(tokens: list[int], free: list[bool], size: int) -> dict[int, list[int]]:
-        out: dict[int, list[int]] = {}
-        run = 0
-        arr = rolling(np.array([x if x >= 0 else 0 for x in tokens], np.uint64), size)
-        for i, ok in enumerate(free):
-            run = run + 1 if ok else 0
-            if run >= size:
-                out.setdefault(int(arr[i - size + 1]), []).append(i - size + 1)
-        return out
-
+    length = max(low, min(rules.first_length, len(item)))
     while True:
-        in_doc, matches, longest = windows(d, free_d, length), [], 0
-        for key, places in windows(t, free_t, length).items():
-            for j in places:
-                for i in in_doc.get(key, ()):
-                    size = 0
-                    while i + size < len(d) and j + size < len(t) and free_d[i + size] and free_t[j + size] and d[i + size] == t[j + size]:
-                        size += 1
-                    if size >= length:
-                        matches.append((-size, j, i))
-                        longest = max(longest, size)
+        runs = matches(d, free_d, item, free_t, length)
+        longest = -min(runs, default=(0,))[0]
         if longest > 2 * length:
             length = longest
             continue
-        heapify(matches)
-        while matches:
-            size, j, i = heappop(matches)
-            left = next((k for k in range(-size) if not (free_d[i + k] and free_t[j + k])), -size)
-            if left == -size:
-                found.append((int(at[i]), j, left))
-                free_d[i:i + left] = [False] * left
-                free_t[j:j + left] = [False] * left
-            elif left >= length:      # the head before a longer tile waits for its turn; what is behind has its own start
-                heappush(matches, (-left, j, i))
-        if length == low:
+        heapify(runs)
+        while runs and free_t.any():
+            size, j, i = heappop(runs)
+            free = free_d[i:i - size] & free_t[j:j - size]
+            if free.all():
+                if np.array_equal(d[i:i - size], item[j:j - size]):  # hashes alone don't decide
+                    found.append((int(at[i]), j, -size))
+                    free_d[i:i - size] = free_t[j:j - size] = False
+                continue
+            edge = np.flatnonzero(np.diff(np.concatenate(([False], free, [False])).astype(np.int8)))
+            for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
+                if b - a >= length:
+                    heappush(runs, (a - b, j + a, i + a))
+        if length == low or not free_t.any():
             return found
         length = max(low, length // 2) if length > 2 * low else low
 
@@ -145,7 +172,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
        hashes and the hashes of their tokens. The flags are of fixed size and only spare rows.
     2. The windows join the items' windows; distinct positions of an item that a document reaches bound its coverage,
        and pairs that can't get there go.
-    3. The items of a document meet its tokens, and greedy string tiling gives the coverage.
+    3. Each item meets the tokens of the document, and greedy string tiling gives the coverage.
 
     Tokens are runs of letters and digits, without case. Items with fewer tokens than ``min_match`` have no tile and
     are never found. Null or empty texts have no tokens. Equal ids with different texts are tiled apart, and the
@@ -185,17 +212,15 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
             yield pa.RecordBatch.from_pydict({"item": batch.column("item").take(pa.array(rows, pa.int64())), "seeds": pa.array(seeds, pa.list_(pa.int64())), "item_tokens": pa.array(tokens, pa.binary()), "m": pa.array(count, pa.int64())})
 
     def tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 200):
+        for batch in slices(batches, 100):
             out = {"doc": [], "item": [], "coverage": [], "n_tiles": [], "longest": [], "first_at": []}
             for row in batch.to_pylist():
-                d = np.frombuffer(row["tokens"], np.uint64)
-                for one in row["items"]:
-                    t = np.frombuffer(one["item_tokens"], np.uint64)
-                    found = tiles(d, t, rules)
-                    share = sum(x[2] for x in found) / len(t)
-                    if share >= rules.coverage:
-                        for k, v in zip(out, (row["doc"], one["item"], share, len(found), max(x[2] for x in found), min(x[0] for x in found))):
-                            out[k].append(v)
+                d, t = np.frombuffer(row["tokens"], np.uint64), np.frombuffer(row["item_tokens"], np.uint64)
+                found = tiles(d, t, rules)
+                share = sum(x[2] for x in found) / len(t)
+                if share >= rules.coverage:
+                    for k, v in zip(out, (row["doc"], row["item"], share, len(found), max(x[2] for x in found), min(x[0] for x in found))):
+                        out[k].append(v)
             yield pa.RecordBatch.from_pydict({k: pa.array(v, kind) for (k, v), kind in zip(out.items(), (doc_kind, item_kind, pa.float64(), pa.int64(), pa.int64(), pa.int64()))})
 
     from pyspark.sql.pandas.types import to_arrow_type
@@ -211,9 +236,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
              .groupBy("row", "of", "m").agg(F.countDistinct("pos").alias("n")))
     # n windows reach at most n * min_match tokens
     pairs = pairs.where(F.col("n") * least >= F.col("m") * rules.coverage)
-    grouped = (pairs.join(wanted.select("of", "item", "item_tokens"), "of")
-               .groupBy("row").agg(F.collect_list(F.struct("item", "item_tokens")).alias("items")))
-    tiled = hit.select("row", "doc", "tokens").dropDuplicates(["row"]).join(grouped, "row").select("doc", "tokens", "items").mapInArrow(
+    # a row a pair, so that a document with many items is many rows
+    met = pairs.select("row", "of").join(wanted.select("of", "item", "item_tokens"), "of")
+    tiled = hit.select("row", "doc", "tokens").dropDuplicates(["row"]).join(met, "row").select("doc", "tokens", "item", "item_tokens").mapInArrow(
         tile, f"doc {d}, item {t}, coverage double, n_tiles long, longest long, first_at long")
     best = tiled.groupBy("doc", "item").agg(F.max(F.struct("coverage", "longest", "n_tiles", "first_at")).alias("x"))
     return best.select("doc", "item", "x.coverage", "x.n_tiles", "x.longest", "x.first_at")

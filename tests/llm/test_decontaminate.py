@@ -119,3 +119,16 @@ def test_tiles_are_those_of_the_plain_greedy_search():
             d[at:at] = t[a:a + rng.randint(3, 40)]
         got = D.tiles(np.array(d, np.uint64), np.array(t, np.uint64), RULES)
         assert sorted(got) == sorted(plain_tiles(d, t, 5))
+
+
+def test_repeated_tokens_are_linear():
+    import time
+    rng = random.Random(3)
+    for d, t in (([7] * 60, [7] * 13), ([7, 8] * 30, [8, 7] * 9), ([7] * 30 + [8] + [7] * 20, [7] * 12 + [9] + [7] * 6), ([rng.randint(0, 1) for _ in range(80)], [rng.randint(0, 1) for _ in range(30)])):
+        assert sorted(D.tiles(np.array(d, np.uint64), np.array(t, np.uint64), RULES)) == sorted(plain_tiles(d, t, 5))
+    start = time.perf_counter()
+    got = D.tiles(np.full(20_000, 7, np.uint64), np.full(200, 7, np.uint64), RULES)
+    assert got == [(0, 0, 200)] and time.perf_counter() - start < 1
+    start = time.perf_counter()
+    got = D.tiles(np.tile(np.arange(2, dtype=np.uint64), 10_000), np.tile(np.arange(3, dtype=np.uint64), 70), RULES)
+    assert time.perf_counter() - start < 1
