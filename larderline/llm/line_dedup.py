@@ -25,9 +25,12 @@ def is_blank(line: Column) -> Column:
     return ~line.rlike(r"[^\x20\x09-\x0D]")
 
 
+BLANKS = " \t\n\x0b\x0c\r"
+
+
 def line_keys(line: Column) -> list[Column]:
-    """128 bits that stand for a line, without blanks at its ends."""
-    line = F.trim(line)
+    """128 bits that stand for a line, without ASCII blanks at its ends."""
+    line = F.btrim(line, F.lit(BLANKS))
     return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit("second"), line).alias("h2")]
 
 
@@ -60,7 +63,7 @@ def remove_spread_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
                         names: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
     """``docs`` without boilerplate lines, and n_lines, n_removed under these or other ``names``.
 
-    A line is what stands between line ends, compared without blanks at its ends. If it stands on ``min_sites``
+    A line is what stands between line ends, compared without ASCII blanks (CR and tab, too) at its ends. If it stands on ``min_sites``
     distinct sites or more, it goes everywhere but (``keep_first``) where it stands first: lowest id, then lowest hash
     of the text, then position. Within one document a later repeat of such a line goes too.
 
@@ -94,7 +97,7 @@ WITH doc_lines AS (
   SELECT doc_id, coalesce(source, '') AS site, unnest(string_split(text, chr(10))) AS line,
          unnest(range(len(string_split(text, chr(10))))) AS pos
   FROM {docs} WHERE text IS NOT NULL),
-full_lines AS (SELECT *, trim(line) AS k FROM doc_lines WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+full_lines AS (SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k FROM doc_lines WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
 spread AS (SELECT k, min((doc_id, pos)) AS first FROM full_lines GROUP BY k HAVING count(DISTINCT site) >= {rules.min_sites}),
 gone AS (SELECT doc_id, pos FROM full_lines JOIN spread USING (k) WHERE (doc_id, pos) <> first),
 rest AS (

@@ -15,7 +15,7 @@ def plain(rows, least, keep_first=True):
     for i, t, s, _ in rows:
         for pos, line in enumerate((t or "").split("\n") if t is not None else []):
             if line.strip(" \t\n\r\x0b\x0c"):
-                k = line.strip(" ")
+                k = line.strip(" \t\n\r\x0b\x0c")
                 sites[k].add(s or "")
                 at = ((i is not None, i or 0), pos)
                 first[k] = min(first.get(k, at), at)
@@ -26,7 +26,7 @@ def plain(rows, least, keep_first=True):
             continue
         keep = []
         for pos, line in enumerate(t.split("\n")):
-            k = line.strip(" ")
+            k = line.strip(" \t\n\r\x0b\x0c")
             blank = not line.strip(" \t\n\r\x0b\x0c")
             if blank or len(sites[k]) < least or (keep_first and first[k] == ((i is not None, i or 0), pos)):
                 keep.append(line)
@@ -40,7 +40,7 @@ def fixture():
     common = [f"common line {k}" for k in range(40)]
     rows = []
     for i in range(400):
-        lines = [rng.choice([f"own {i} {k}", rng.choice(common), rng.choice(common[:3]), "", "  ", "\t", f" {common[0]} "]) for k in range(rng.randint(0, 12))]
+        lines = [rng.choice([f"own {i} {k}", rng.choice(common), rng.choice(common[:3]), "", "  ", "\t", f" {common[0]} ", f"{common[1]}\r", f"\t{common[2]}\x0c"]) for k in range(rng.randint(0, 12))]
         rows.append((i, "\n".join(lines), rng.choice([None, *(f"s{k}" for k in range(rng.choice([2, 12])))]), "x"))
     return rows + [(1000, None, "s1", "x"), (1001, "", None, "x"), (None, "common line 1\nown", "s9", "x"), (7, rows[7][1], rows[7][2], "x"), (1002, "\n".join(["common line 0"] * 3000 + ["end"]), "s2", "x")]
 
@@ -74,3 +74,9 @@ def test_columns_plan_and_empty_table(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
     assert D.remove_spread_lines(df.limit(0)).count() == 0
+
+
+def test_a_line_with_carriage_return_equals_the_line_without(spark):
+    rows = [(i, "shared line" + "\r" * (i % 2) + f"\nown {i}", f"s{i}", "x") for i in range(8)]
+    got = {r["doc_id"]: r["text"] for r in D.remove_spread_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: "shared line\nown 0" if i == 0 else f"own {i}" for i in range(8)}
