@@ -152,7 +152,11 @@ def account(text: str, key: bytes, back: bool) -> str | None:
 
 
 def day(text: str, key: bytes, back: bool) -> str | None:
-    """Dates as 2001-02-03, 03.02.2001 or 02/03/2001 (month first; day first where only that is a date)."""
+    """Dates as 2001-02-03, 03.02.2001 or 02/03/2001 (month first; day first where only that is a date).
+
+    Dates written day first between slashes have a day above 12, and so have their pseudonyms: they are permuted among
+    themselves, and linked to each other but not to the other notations.
+    """
     a, sign, b, _, c = re.split(r"([-./])", text)
     order = (0, 1, 2) if sign == "-" else (2, 1, 0) if sign == "." else (2, 0, 1)
     for o in (order, (2, 1, 0)) if sign == "/" else (order,):
@@ -162,9 +166,10 @@ def day(text: str, key: bytes, back: bool) -> str | None:
             continue
         if not FIRST_DAY <= told <= LAST_DAY:
             return None
-        new = FIRST_DAY + timedelta(permuted((told - FIRST_DAY).days, (LAST_DAY - FIRST_DAY).days + 1, key, "day", back))
-        if sign == "/" and o == (2, 1, 0) and new.day <= 12 and not back:
-            o = (2, 0, 1)  # else it would be read with the month first
+        day_first = sign == "/" and o == (2, 1, 0)
+        new = told
+        while new is told or day_first and new.day <= 12:
+            new = FIRST_DAY + timedelta(permuted((new - FIRST_DAY).days, (LAST_DAY - FIRST_DAY).days + 1, key, "day first" if day_first else "day", back))
         out = [""] * 3
         for k, v in zip(o, (new.year, new.month, new.day)):
             out[k] = f"{v:04d}" if v > 31 else f"{v:02d}"

@@ -37,7 +37,8 @@ def values(rng):
             ("phone", f"{rng.randint(200, 999)}-{rng.randint(200, 999)}-{rng.randint(0, 9999):04d}"), ("phone", f"+1 (0{rng.randint(10, 99)}) 555-{rng.randint(0, 9999):04d}"), ("ipv4", f"{rng.choice([1, 126, 128, 255])}.{rng.randint(0, 255)}.{rng.randint(0, 255)}.{rng.randint(0, 255)}"),
             ("national_id", f"{rng.randint(1, 665):03d}-{rng.randint(1, 99):02d}-{rng.randint(1, 9999):04d}"), ("account", i), ("account", " ".join(i[k:k + 4] for k in range(0, 22, 4))),
             ("email", f"ab{rng.randint(0, 99)}.Cd@mail{rng.randint(0, 9)}.example.com"), ("day", f"{rng.randint(1900, 2099)}-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}"),
-            ("day", f"{rng.randint(1, 28):02d}.{rng.randint(1, 12):02d}.{rng.randint(1900, 2099)}"), ("access_key", "AKIA" + "".join(rng.choice(P.UPPER + P.DIGITS) for _ in range(16))),
+            ("day", f"{rng.randint(1, 28):02d}.{rng.randint(1, 12):02d}.{rng.randint(1900, 2099)}"), ("day", f"{rng.randint(1, 12):02d}/{rng.randint(1, 28):02d}/{rng.randint(1900, 2099)}"),
+            ("day", f"{rng.randint(13, 28)}/{rng.randint(1, 12):02d}/{rng.randint(1900, 2099)}"), ("access_key", "AKIA" + "".join(rng.choice(P.UPPER + P.DIGITS) for _ in range(16))),
             ("secret", f"password={rng.getrandbits(72):018x}"), ("secret", f'token = "{rng.getrandbits(160):040x}')]
 
 
@@ -110,3 +111,11 @@ def test_secrets_end_at_their_quote_or_blank():
     assert new[text.index('","'):] == text[text.index('","'):] and P.pseudonymized(new, KEY, RULES, PATTERN, back=True)[0] == text
     one = [P.pseudonymized(f"token={v}", KEY, RULES, PATTERN)[0] for v in ("deadbeef", "deadbeef,", '"deadbeef"')]
     assert {x.strip('",').replace('"', "") for x in one} == {one[0]}
+
+
+def test_day_first_dates_stay_day_first_and_come_back():
+    rng = random.Random(4)
+    for _ in range(200):
+        v = f"{rng.randint(13, 28)}/{rng.randint(1, 12):02d}/{rng.randint(1900, 2099)}"
+        new = P.day(v, KEY, False)
+        assert int(new[:2]) > 12 and P.day(new, KEY, True) == v
