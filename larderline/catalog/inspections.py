@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from larderline.catalog.base import Registry, metres_sql, point, point_sql, table
+from larderline.catalog.base import FOLD_SQL, Registry, metres_sql, point, point_sql, table
 from larderline.config import ERA_CURRENT, ERA_PLACARD, ERA_SCORED, MatchRules
 from larderline.operators import inspections as I
 from larderline.operators.matching import match
@@ -202,7 +202,7 @@ def match_sides(spark, sf):
 
 _M = MatchRules()
 _words = lambda ws: ", ".join(f"'{w}'" for w in ws)
-_CLEAN = r"trim(regexp_replace(replace(regexp_replace(lower({0}), '[.'']', '', 'g'), '&', ' and '), '[^a-z0-9]+', ' ', 'g'))"
+_CLEAN = r"trim(regexp_replace(replace(regexp_replace(lower(" + FOLD_SQL.replace("{0}", "coalesce({0}, '')") + r"), '[.'']', '', 'g'), '&', ' and '), '[^a-z0-9]+', ' ', 'g'))"
 _TOKENS = (f"list_transform(list_filter(string_split({_CLEAN}, ' '), lambda w: w NOT IN ('', {_words(_M.stop_words)})), "
            "lambda w: CASE WHEN length(w) > 3 AND w LIKE '%s' AND w NOT LIKE '%ss' THEN left(w, length(w) - 1) ELSE w END)")
 _STREET = r"""CASE WHEN regexp_matches(lower({0}), '^\s*[0-9]+\s+[a-z0-9]+') THEN regexp_extract(lower({0}), '^\s*([0-9]+)', 1) || '|' ||

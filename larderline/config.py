@@ -130,7 +130,7 @@ class FoodRules:
     section_weight: float = 0.25
     prefix_length: int = 5
     prefix_weight: float = 0.5
-    first_block: int = 256  # foods of a pool that each lookup may meet before scores bound the search
+    first_block: int = 64   # foods of a pool that each lookup may meet before scores bound the search
     block_growth: int = 8   # times as many in each next block
     # fixed values: categories, words and food groups as the food data prints them
     single_exclude: tuple[str, ...] = (

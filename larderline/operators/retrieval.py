@@ -35,8 +35,8 @@ def with_weights(items: DataFrame, out: str, rules: FoodRules = FoodRules()) ->
     return every.withColumn(out, weighed).drop("_every", *[f"_{k}_{f}" for f in fields for k in "ow"])
 
 
-def posting_blocks(foods: DataFrame, rules: FoodRules = FoodRules()) -> DataFrame:
-    """A row for each token of each food: token, pool, fdcId, tokens (all of the food's) and block.
+def food_blocks(foods: DataFrame, rules: FoodRules = FoodRules()) -> DataFrame:
+    """fdcId, pool, tokens (distinct, sorted) and block of each food.
 
     The foods of a pool are dealt to blocks in order of their ids, ``first_block`` to the first, ``block_growth`` times
     as many to each next one.
@@ -46,7 +46,7 @@ def posting_blocks(foods: DataFrame, rules: FoodRules = FoodRules()) -> DataFram
     told = cut(texts.select("fdcId", "pool", tokens.alias("tokens")))
     placed = ordered_position(told.select("fdcId", "pool"), ["pool"], ["fdcId"], "_at")
     block = F.floor(F.log(float(rules.block_growth), (F.col("_at") - 1) * (rules.block_growth - 1) / rules.first_block + 1)).cast("int")
-    return cut(each(told.join(placed.select("fdcId", "pool", block.alias("block")), ["fdcId", "pool"]), "tokens", "token"))
+    return cut(told.join(placed.select("fdcId", "pool", block.alias("block")), ["fdcId", "pool"]))
 
 
 def score_of(weighed: Column) -> Column:
@@ -55,27 +55,30 @@ def score_of(weighed: Column) -> Column:
 
 
 def open_lookups(asked: DataFrame, top: DataFrame | None, block: int, rules: FoodRules) -> DataFrame:
-    """The lookups that a food of ``block`` or a later one can still change, with ``low``, the score to beat, and
-    ``need``: the tokens of which such a food has at least one.
+    """The lookups that a food of ``block`` or a later one can still change, with ``low``, the score to beat, ``need``: the
+    tokens of which such a food has at least one, and ``rest``: what its other tokens can add.
 
     Later ids lose ties, so a food has to beat the last of the full list. The tokens still to come, from the lightest
     on, whose sum doesn't do that are no reason to look at a food.
     """
     coming = F.filter("tw", lambda t: t["last"] >= block)
     if top is None:
-        return asked.withColumn("low", F.lit(None).cast("double")).withColumn("need", coming)
+        return asked.withColumns({"low": F.lit(None).cast("double"), "need": coming, "rest": F.lit(0.0)})
     low = F.when(F.count(F.lit(1)) == rules.per_pool, F.min("score"))
     j = asked.join(top.groupBy("q", "pool").agg(low.alias("low")), ["q", "pool"], "left").withColumn("coming", coming)
     beats = lambda t: F.col("low").isNull() | (score_of(F.filter("coming", lambda u: u["c"] <= t["c"])) > F.col("low"))
-    return j.withColumn("need", F.filter("coming", beats)).drop("coming").filter(F.size("need") > 0)
+    # a list of one holds the filtered tokens, which are looked for once
+    need = F.transform(F.array(F.filter("coming", beats)), lambda need: F.struct(need.alias("need"), (score_of(F.col("coming")) - score_of(need)).alias("rest")))[0]
+    return j.withColumn("_n", need).select("q", "pool", "low", "_n.need", "_n.rest").filter(F.size("need") > 0)
 
 
-def met_pairs(lookups: DataFrame, postings: DataFrame) -> DataFrame:
-    """Lookups and foods that share a needed token, each pair once: by the first such token."""
-    p = postings.select(F.col("token").alias("p_token"), F.col("pool").alias("p_pool"), "fdcId", "tokens")
-    return (each(lookups, F.transform("need", lambda t: t["token"]), "token")
-            .join(p, (F.col("token") == F.col("p_token")) & (F.col("pool") == F.col("p_pool")))
-            .filter(F.col("token") == F.filter("need", lambda t: F.array_contains("tokens", t["token"]))[0]["token"]))
+def met_pairs(lookups: DataFrame, foods: DataFrame) -> DataFrame:
+    """(q, pool, fdcId, low) of the lookups and foods that share a needed token, where what they share may beat ``low``."""
+    postings = each(foods.select("fdcId", F.col("pool").alias("p_pool"), "tokens"), "tokens", "p_token").drop("tokens")
+    needed = each(lookups, "need", "t").select("q", "pool", "low", "rest", "t.token", "t.c")
+    met = (needed.join(postings, (F.col("token") == F.col("p_token")) & (F.col("pool") == F.col("p_pool")))
+           .groupBy("q", "pool", "fdcId").agg(F.sum("c").alias("part"), F.first("low").alias("low"), F.first("rest").alias("rest")))
+    return met.filter(F.col("low").isNull() | (F.col("part") + F.col("rest") + 1e-6 > F.col("low"))).select("q", "pool", "fdcId", "low")
 
 
 def retrieve(items: DataFrame, foods: DataFrame, rules: FoodRules = FoodRules()) -> DataFrame:
@@ -96,9 +99,9 @@ def retrieve(items: DataFrame, foods: DataFrame, rules: FoodRules = FoodRules())
     q = F.sha2(F.concat_ws("\x1f", *[F.coalesce(c, F.lit("")) for c in ("section", "name", "description")]), 256)
     keyed = items.withColumn("q", q)
     texts = with_weights(keyed.select("q", "section", "name", "description").dropDuplicates(["q"]), "tw", rules)
-    posted = posting_blocks(foods, rules)
+    told = food_blocks(foods, rules)
     total = foods.agg(F.count(F.lit(1))).scalar()
-    seen = cut(posted.groupBy("token", "pool").agg(F.count(F.lit(1)).alias("n"), F.max("block").alias("last")))
+    seen = cut(each(told, "tokens", "token").groupBy("token", "pool").agg(F.count(F.lit(1)).alias("n"), F.max("block").alias("last")))
     idf = seen.groupBy("token").agg(F.log(total / F.sum("n")).alias("idf"))
     weighed = each(texts, "tw", "x").select("q", "x.token", "x.w").join(idf, "token").join(seen.select("token", "pool", "last"), "token")
     asked = cut(weighed.groupBy("q", "pool").agg(F.array_sort(F.collect_list(F.struct("token", (F.col("w") * F.col("idf")).alias("c"), "last"))).alias("tw")))
@@ -106,8 +109,9 @@ def retrieve(items: DataFrame, foods: DataFrame, rules: FoodRules = FoodRules())
     score = score_of(F.filter("tw", lambda t: F.array_contains("tokens", t["token"])))
     top = None
     for block in range(blocks):
-        lookups = open_lookups(asked, top, block, rules)
-        found = met_pairs(lookups, posted.filter(F.col("block") == block)).withColumn("score", score)
+        here = told.filter(F.col("block") == block)
+        met = met_pairs(open_lookups(asked, top, block, rules), here)
+        found = met.join(here.select("fdcId", "pool", "tokens"), ["fdcId", "pool"]).join(asked, ["q", "pool"]).withColumn("score", score)
         found = found.filter(F.col("low").isNull() | (F.col("score") > F.col("low"))).select("q", "pool", "fdcId", "score")
         every = found if top is None else top.unionByName(found)
         top = cut(first_rows(every, ["q", "pool"], [F.desc("score"), F.asc("fdcId")], rules.per_pool))

@@ -208,6 +208,24 @@ def test_retrieval_is_the_same_whatever_the_blocks(spark, blocks):
             assert all(math.isclose(h[2], w[2], abs_tol=1e-8) for h, w in zip(have, want))
 
 
+def test_a_frequent_token_opens_few_pairs(spark, monkeypatch):
+    """A token on half of the foods: lookups with it meet a number of foods that depends on the list's length only."""
+    from larderline.operators import retrieval
+    opened = []
+    met = retrieval.met_pairs
+    monkeypatch.setattr(retrieval, "met_pairs", lambda lookups, foods: (opened.append(met(lookups, foods).count()), met(lookups, foods))[1])
+
+    def pairs(foods):
+        opened.clear()
+        f = spark.createDataFrame([(i, "single", ("rice " if i % 2 else "bread ") + f"plain{'abcdefgh'[i % 8]}") for i in range(foods)], "fdcId int, pool string, description string")
+        q = spark.createDataFrame([(f"i{k}", "", "rice" if k % 2 else f"rice rare{k}", "") for k in range(20)], "id string, section string, name string, description string")
+        got = retrieve(q, f).collect()
+        assert sorted((r.rank, r.fdcId) for r in got if r.id == "i1") == [(n + 1, 2 * n + 1) for n in range(8)]
+        return sum(opened)
+
+    assert pairs(8000) <= pairs(1000) + 20 * 8
+
+
 PLACE = "key string, name string, addr string, lat double, lon double"
 BIZ = "dataset string, business_id string, name string, address string, postal string, lat double, lon double"
 
