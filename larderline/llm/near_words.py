@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larderline.llm.common import components, fresh, lower, raw, slices, starts, words
-from larderline.llm.simhash import cells, fingerprint, unary_u64
+from larderline.llm.decontaminate import rolling
+from larderline.llm.simhash import cells, unary_u64
 from larderline.session import cut
 
 
@@ -31,14 +32,36 @@ class CopyRules:
     seeds: tuple[int, ...] = (42, 43)
     word_bits: int = 8           # most differing bits of the fingerprints of words,
     shingle_bits: int = 14       # and of shingles, of candidates
+    bitmap_bits: int = 23        # 2**bits flags of candidates go to the tasks: a fixed size, which only spares rows
     rounds: int = 2              # in which the first text of a region is compared with all others at once
 
 
-def shingles(text: bytes | None, n: int) -> np.ndarray:
-    """The different XXH64 of a text's shingles of ``n`` words, signed and sorted; of all words where there are fewer."""
+def word_hashes(text: bytes | None) -> np.ndarray:
+    """64-bit hashes of the words, A-Z lower-cased."""
     w = words(lower(text))
-    found = {xxhash.xxh64_intdigest(b" ".join(w[k:k + n]), 7) for k in range(max(len(w) - n + 1, 1))}
-    return np.sort(np.fromiter(found, np.uint64, len(found)).view(np.int64))
+    return np.fromiter(map(xxhash.xxh64_intdigest, w), np.uint64, len(w))
+
+
+def mixed(hashes: np.ndarray, seed: int) -> np.ndarray:
+    """Hashes anew under a seed."""
+    with np.errstate(over="ignore"):
+        x = hashes + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+        return x ^ (x >> np.uint64(31))
+
+
+def shingle_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
+    """A hash for each ``n`` words that follow each other, from those of the words; one of all words where there are fewer."""
+    return mixed(rolling(hashes, min(n, len(hashes))), n) if len(hashes) else hashes
+
+
+def print_of(hashes: np.ndarray) -> int:
+    """Fingerprint (signed 64 bits): a bit is set if it is in over half of the hashes; 0 without any."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        ones += np.unpackbits(hashes[at:at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
 
 
 def prints(docs: DataFrame, keys: list[str], rules: CopyRules) -> DataFrame:
@@ -47,8 +70,8 @@ def prints(docs: DataFrame, keys: list[str], rules: CopyRules) -> DataFrame:
         for batch in slices(batches):
             rows = []
             for t in raw(batch, "text"):
-                line = b" ".join(words(lower(t)))
-                rows.append((xxhash.xxh64_intdigest(line, 1), xxhash.xxh64_intdigest(line, 2), fingerprint(t, rules.shingle), [fingerprint(t, 1, s) for s in rules.seeds]))
+                line, h = b" ".join(words(lower(t))), word_hashes(t)
+                rows.append((xxhash.xxh64_intdigest(line, 1), xxhash.xxh64_intdigest(line, 2), print_of(shingle_hashes(h, rules.shingle)), [print_of(mixed(h, s)) for s in rules.seeds]))
             t1, t2, c, p = zip(*rows) if rows else ((),) * 4
             signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_pydict({n: batch.column(n) for n in ("doc", *keys)} | {"t1": signed(t1), "t2": signed(t2), "c": pa.array(c, pa.int64()), "p": pa.array(p, pa.list_(pa.int64()))})
@@ -115,6 +138,16 @@ def regions(texts: DataFrame, rules: CopyRules) -> DataFrame:
     return components(grid.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long"))
 
 
+def bitmap_of(keys: DataFrame, bits: int) -> bytes:
+    """Flags of the first ``bits`` bits of hashes: a fixed size, merged by 'or' in the tasks."""
+    slot = F.shiftrightunsigned(F.col(keys.columns[0]), 64 - bits)
+    rows = (keys.select(F.shiftright(slot, 6).alias("at"), F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int")).alias("flag"))
+            .groupBy("at").agg(F.bit_or("flag").alias("flag")).toPandas())   # at most 2**bits / 64 rows
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[rows["at"].to_numpy(np.int64)] = rows["flag"].to_numpy(np.int64)
+    return out.view(np.uint8).tobytes()
+
+
 def majority(c: Column) -> Column:
     """The fingerprint whose bits most of a group's fingerprints have."""
     bits = [F.when(2 * F.sum(F.getbit(c, F.lit(k))) > F.count(F.lit(1)), F.shiftleft(F.lit(1).cast("long"), k)).otherwise(F.lit(0).cast("long")) for k in range(64)]
@@ -181,12 +214,18 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     at = F.struct(F.bit_count(F.col("c").bitwiseXOR(F.col("most"))).alias("d"), "last", "doc")
     members = told.filter("n > 1").select("root", at.alias("at"), "k1", "k2")
 
+    flags = docs.sparkSession.sparkContext.broadcast(bitmap_of(members.select("k1"), rules.bitmap_bits))
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flag = np.frombuffer(flags.value, np.uint8)
         for batch in slices(batches):
-            found = pa.array([shingles(t, rules.shingle) for t in raw(batch, "text")], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_pydict({"k1": batch.column("k1"), "k2": batch.column("k2"), "set": found})
-
-    whole = slim.join(members.select("k1", "k2"), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select("k1", "k2", "text")
-    members = cut(members.join(whole.mapInArrow(sets, "k1 long, k2 long, set array<bigint>"), ["k1", "k2"]))
+            slot = batch.column("k1").to_numpy().view(np.uint64) >> np.uint64(64 - rules.bitmap_bits)
+            part = batch.take(pa.array(np.flatnonzero(flag[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)))
+            found = [np.unique(shingle_hashes(word_hashes(t), rules.shingle).view(np.int64)) for t in raw(part, "text")]
+            yield pa.RecordBatch.from_pydict({"k1": part.column("k1"), "k2": part.column("k2"), "set": pa.array(found, pa.list_(pa.int64()))})
+
+    # texts aren't shuffled for their sets: rows whose flag isn't set have none, and the join leaves the members'
+    whole = slim.select("k1", "k2", "text").mapInArrow(sets, "k1 long, k2 long, set array<bigint>")
+    members = cut(members.join(whole, ["k1", "k2"]).dropDuplicates(["k1", "k2"]))
     kept = told.filter("n is null").select("k1", "k2").union(kept_of(members, rules)).toDF(k1, k2)
     return keyed.join(kept, [k1, k2], "left_semi").dropDuplicates([k1, k2]).select(*docs.columns)
