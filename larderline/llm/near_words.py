@@ -135,7 +135,8 @@ def regions(texts: DataFrame, rules: CopyRules) -> DataFrame:
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     each = texts.select("c", F.posexplode("p").alias("seed", "fp")).distinct().repartition(n, "c")
     grid = cells(each, ("c", "seed")).withColumn("cell", F.col("cell") * len(rules.seeds) + F.col("seed")).select("cell", "fp", "c", "home")
-    return components(grid.repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long"))
+    # in order of the fingerprints, so that a crowd hangs on the same text in all the cells that it shares
+    return components(grid.repartition(n, "cell").sortWithinPartitions("cell", "c").mapInArrow(run, "a long, b long"))
 
 
 def bitmap_of(keys: DataFrame, bits: int) -> bytes:
