@@ -10,6 +10,7 @@ whose shingles have a Jaccard similarity of ``similar`` or more, worked out exac
 
 from __future__ import annotations
 
+from collections import deque
 from dataclasses import dataclass
 from typing import Iterator
 
@@ -93,14 +94,14 @@ def walked(p: np.ndarray, c: np.ndarray, home: np.ndarray, rules: CopyRules) ->
     for seed in np.flatnonzero(home):
         if not open_[seed]:
             continue
-        open_[seed], stack = False, [int(seed)]
-        while stack:
-            at, rest = stack.pop(), np.flatnonzero(open_)
+        open_[seed], queue = False, deque([int(seed)])
+        while queue:   # in order, so that the same few texts hold a crowd together in all cells
+            at, rest = queue.popleft(), np.flatnonzero(open_)
             rest = rest[close(p, c, at, rest, rules)]
             open_[rest] = False
             a += [at] * len(rest)
             b += rest.tolist()
-            stack += rest.tolist()
+            queue.extend(rest.tolist())
     return a, b
 
 
