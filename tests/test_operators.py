@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 from dataclasses import replace
 
 import pytest
@@ -325,6 +326,39 @@ def test_a_frequent_word_gives_a_prefix_of_the_rejected(spark, monkeypatch):
     assert out.rejected.count() == 50 * 6 and sum(seen) == 50 * 16
 
 
+def test_other_names_at_an_address_and_equal_rows_form_no_pairs(spark, monkeypatch):
+    """150 names at one address, each the name of a place and of a registration; and 40 equal places beside 40 equal registrations."""
+    from larderline.operators import matching
+    seen, rated = [], matching._rated
+    monkeypatch.setattr(matching, "_rated", lambda pairs, near: (seen.append(pairs.count()), rated(pairs, near))[1])
+    rng = random.Random(3)
+    names = ["".join(rng.choices("bcdfghklmnpqrt", k=9)) for _ in range(150)]
+    at, far = ("5 Elm St", 37.79, -122.4), ("", 37.70, -122.4)
+    p = spark.createDataFrame([(f"k{i}", n, *at) for i, n in enumerate(names)] + [(f"e{i}", "Golden Lantern", *far) for i in range(40)], PLACE)
+    b = spark.createDataFrame([("d", f"{i:03}", n, at[0], "94133", None, None) for i, n in enumerate(names)]
+                              + [("d", f"e{i:03}", "Golden Lantern", "", "94133", far[1], far[2]) for i in range(40)], BIZ)
+    out = match(p, b)
+    got = {r.key: (r.confidence, r.methods, r.registrations) for r in out.places.collect()}
+    assert got == {f"k{i}": ("name+address", ["exact"], 1) for i in range(150)} | {f"e{i}": ("name-only", ["exact"], 40) for i in range(40)}
+    pairs = Counter(r.key for r in out.matches.collect())
+    assert pairs == Counter({f"k{i}": 1 for i in range(150)} | {f"e{i}": 40 for i in range(40)})
+    assert sum(seen) < 400
+
+
+def test_repeated_and_missing_ids_of_a_match(spark):
+    """A key or an id on several rows counts each of them; rows without an id are siblings only."""
+    place, other = ("Golden Lantern", "", 37.79, -122.4), ("Crab Shack", "", 37.79, -122.4)
+    p = spark.createDataFrame([("a", *place), ("a", *place), ("b", *place), ("b", *other), (None, *place)], PLACE)
+    golden, crab = ("Golden Lantern", "1 Elm St", "", 37.79, -122.4), ("Crab Shack", "1 Elm St", "", 37.79, -122.4)
+    b = spark.createDataFrame([("d", "1", *golden), ("d", "1", *golden), ("d", "2", *golden), ("d", "2", *crab), ("d", None, *golden), ("d", None, *golden)], BIZ)
+    out = match(p, b)
+    got = Counter((r.key, r.business_id, r.kind) for r in out.matches.collect())
+    assert got == {("a", "1", "exact"): 4, ("a", "2", "exact"): 2, ("a", None, "sibling"): 4,
+                   ("b", "1", "exact"): 2, ("b", "2", "exact"): 2, ("b", None, "sibling"): 2}
+    assert sorted((r.key or "", r.confidence, r.registrations) for r in out.places.collect()) == [
+        ("", "none", 0), ("a", "name-only", 10), ("a", "name-only", 10), ("b", "name-only", 6), ("b", "name-only", 6)]
+
+
 @pytest.mark.parametrize("ratio", [0.85, 0.7])
 def test_near_spellings_are_those_of_all_pairs(spark, ratio):
     import difflib
