@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from decimal import ROUND_HALF_UP, Decimal
+from typing import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,47 +47,36 @@ def retrieve(items: DataFrame, foods: DataFrame, rules: FoodRules = FoodRules())
     items: id, section, name, description; foods: fdcId, pool, description
     (see ``candidate_foods``). Score = sum over shared tokens of weight times
     ln(foods / foods with the token), taken in token order and rounded to nine
-    decimals; ties go to the lower id.
+    decimals; ties go to the lower id. Rows of one id in a pool are one food, whose
+    tokens count once a row.
 
-    Equal items are looked up once. A token on more than ``common_df`` foods
-    never pairs rows by itself: pairs come from the rarer tokens, and common
-    tokens are then added to the score of each pair. What only common tokens
-    would find is found exactly by other means: such foods score by the set of
-    their common tokens alone, so the lowest ids of each such set are enough.
+    Equal items are looked up once. Foods are dealt by id to tasks, each of which also gets
+    the tokens of all items; a pair of an item and a food is scored where the food lies, and
+    only the best of a task leave it. So no token of a food and no pair is stored or shuffled.
+    All tokens count alike: ``common_df`` has no effect on the work or the result.
     """
     q = F.sha2(F.concat_ws("\x1f", *[F.coalesce(c, F.lit("")) for c in ("section", "name", "description")]), 256)
     keyed = items.withColumn("q", q)
     texts = with_weights(keyed.select("q", "section", "name", "description").dropDuplicates(["q"]), "tw", rules)
-    # the inverted index is read three times below, so the texts are split once
-    tokens = F.array_distinct(search_tokens(F.col("description"), rules.prefix_length))
-    words = cut(each(spread(foods.select("fdcId", "pool", "description")), tokens, "token").drop("description"))
+    foods = foods.select("fdcId", "pool", "description")
+    tokens = lambda: F.array_distinct(search_tokens(F.col("description"), rules.prefix_length))
     total = foods.agg(F.count(F.lit(1))).scalar()
-    df = words.groupBy("token").agg(F.count(F.lit(1)).alias("df")).select(
-        "token", F.log(total / F.col("df")).alias("idf"), (F.col("df") > rules.common_df).alias("common"))
-    asked = cut(each(texts, "tw", "x").select("q", "x.token", "x.w")).join(df, "token")
-    posted = words.join(df.filter("common").select("token"), "token", "left_semi")
-
-    pair = asked.select("q", "token", (F.col("w") * F.col("idf")).alias("s"), "common")
-    part = F.struct("token", "s")
-    q_common = pair.filter("common").groupBy("q").agg(F.collect_list(part).alias("q_common"))
-    f_common = posted.groupBy("fdcId", "pool").agg(F.array_sort(F.collect_list("token")).alias("f_common"))
-
-    met = (pair.filter(~F.col("common")).select("q", "token", "s")
-           .join(words.withColumnRenamed("token", "f_token"), F.col("token") == F.col("f_token"))
-           .groupBy("q", "fdcId", "pool").agg(F.collect_list(part).alias("parts")))
-    met = met.join(q_common, "q", "left").join(f_common, ["fdcId", "pool"], "left")
-    both = F.filter("q_common", lambda c: F.array_contains("f_common", c["token"]))
-    empty = F.slice("parts", 1, 0)
-    met = met.select("q", "fdcId", "pool", F.concat("parts", F.coalesce(both, empty)).alias("parts"))
-
-    kinds = first_rows(f_common, ["pool", "f_common"], [F.asc("fdcId")], rules.per_pool)
-    by_common = (
-        kinds.withColumn("token", F.explode("f_common"))
-        .join(pair.filter("common").select("q", "token"), "token").select("q", "fdcId", "pool", "f_common").distinct()
-        .join(q_common, "q").select("q", "fdcId", "pool", both.alias("parts")))
-    score = F.round(F.aggregate(F.array_sort("parts"), F.lit(0.0), lambda acc, p: acc + p["s"]), 9)
-    scored = (met.unionByName(by_common).select("q", "fdcId", "pool", score.alias("score"))
-              .groupBy("q", "fdcId", "pool").agg(F.max("score").alias("score")))
+    df = each(spread(foods.select("description")), tokens(), "token").groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    idf = df.select("token", F.log(total / F.col("df")).alias("idf"))
+    asked = cut(each(texts, "tw", "x").select("q", "x.token", "x.w")).join(idf, "token").select("q", "token", (F.col("w") * F.col("idf")).alias("s"))
+    weighed = F.array_sort(F.collect_list(F.struct("token", "s")))
+    index = cut(asked.groupBy("q").agg(weighed.alias("_i")).select(
+        "q", F.array_join(F.transform("_i", lambda x: x["token"]), " ").alias("description"), F.transform("_i", lambda x: x["s"]).alias("s")))
+
+    tasks = int(foods.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    everywhere = index.withColumn("_task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
+    dealt = (foods.withColumn("_task", F.pmod(F.xxhash64("fdcId", "pool"), F.lit(tasks)).cast("int"))
+             .unionByName(everywhere, allowMissingColumns=True).repartitionById(tasks, "_task")
+             .sortWithinPartitions(F.col("q").isNull(), "fdcId", "pool"))
+    words = F.when(F.col("q").isNull(), F.array_join(tokens(), " ")).otherwise(F.col("description"))
+    found = dealt.select("q", "s", "fdcId", "pool", words.alias("words"))
+    kept = found.select("q", "fdcId", "pool", F.lit(0.0).alias("score")).schema
+    scored = found.mapInArrow(_closest(rules.per_pool), kept).withColumn("score", F.round("score", 9))
     top = first_rows(scored, ["q", "pool"], [F.desc("score"), F.asc("fdcId")], rules.per_pool)
     # at most per_pool rows per group: the rank is a window over those few
     ranked = (top.groupBy("q", "pool").agg(F.array_sort(F.collect_list(
@@ -91,6 +86,98 @@ def retrieve(items: DataFrame, foods: DataFrame, rules: FoodRules = FoodRules())
     return keyed.select("id", "q").join(ranked, "q").select("id", "pool", "rank", "fdcId", "score")
 
 
+#: Items and foods whose scores are held at once.
+ITEMS_AT_ONCE, FOODS_AT_ONCE = 1024, 2048
+
+
+def _closest(per_pool: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Batches of a task, items with their tokens and shares of the score before foods in order of their ids, to the best foods
+    of each item and pool of every ``FOODS_AT_ONCE`` foods, with scores that are not rounded."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, lists, shares = [], [], []
+        index = number = food = None
+        held: list[tuple] = []   # fdcId, pool, how often it has which token
+        for batch in batches:
+            fields = {c: batch.schema.field(c).type for c in ("q", "fdcId", "pool")}
+            read = {c: batch.column(c).to_pylist() for c in batch.schema.names}
+            for q, s, fdc, pool, words in zip(*(read[c] for c in ("q", "s", "fdcId", "pool", "words")), strict=True):
+                if q is not None:
+                    names.append(q)
+                    lists.append(words.split(" "))
+                    shares.append(s)
+                    continue
+                if index is None:
+                    # numbers follow the order of the tokens, in which the shares are added up
+                    number = {t: k for k, t in enumerate(sorted({t for ts in lists for t in ts}))}
+                    index = _by_token(number, lists, shares)
+                    lists, shares = [], []
+                if food != (fdc, pool) or not held:
+                    if len(held) >= FOODS_AT_ONCE:
+                        yield from _best(held, index, names, fields, per_pool)
+                        held = []
+                    food = (fdc, pool)
+                    held.append((fdc, pool, Counter()))
+                held[-1][2].update(k for t in words.split(" ") if (k := number.get(t)) is not None)
+        if held:
+            yield from _best(held, index, names, fields, per_pool)
+
+    return run
+
+
+def _by_token(number: dict[str, int], lists: list[list[str]], shares: list[list[float]]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each block of items: where each token begins, and by token the items that have it and their shares."""
+    blocks = []
+    for at in range(0, len(lists), ITEMS_AT_ONCE):
+        some = lists[at:at + ITEMS_AT_ONCE]
+        token = np.array([number[t] for ts in some for t in ts], np.int64)
+        item = np.repeat(np.arange(len(some)), [len(ts) for ts in some])
+        share = np.array([x for xs in shares[at:at + ITEMS_AT_ONCE] for x in xs], np.float64)
+        order = np.argsort(token, kind="stable")
+        blocks.append((np.searchsorted(token[order], np.arange(len(number) + 1)), item[order], share[order]))
+    return blocks
+
+
+def _best(held: list[tuple], index: list[tuple], names: list[str], fields: dict[str, pa.DataType], per_pool: int) -> Iterator[pa.RecordBatch]:
+    token = np.array([k for _, _, has in held for k in has], np.int64)
+    times = np.array([n for _, _, has in held for n in has.values()], np.float64)
+    place = np.repeat(np.arange(len(held)), [len(has) for _, _, has in held])
+    order = np.argsort(token, kind="stable")
+    token, times, place = token[order], times[order], place[order]
+    present, begin = np.unique(token, return_index=True)
+    end = np.append(begin[1:], len(token))
+    pools: dict = {}
+    for k, (_, pool, _) in enumerate(held):
+        pools.setdefault(pool, []).append(k)
+    for block, (start, item, share) in enumerate(index):
+        size = min(ITEMS_AT_ONCE, len(names) - block * ITEMS_AT_ONCE)
+        score, met = np.zeros((size, len(held))), np.zeros((size, len(held)), bool)
+        for k, a, b in zip(present, begin, end, strict=True):
+            x, y = start[k], start[k + 1]
+            if x < y:
+                at = np.ix_(item[x:y], place[a:b])
+                score[at] += share[x:y, None] * times[a:b]
+                met[at] = True
+        for pool, columns in pools.items():
+            some = score[:, columns]
+            nine = np.where(met[:, columns], _nine_decimals(some), -np.inf)
+            first = np.argsort(-nine, axis=1, kind="stable")[:, :per_pool]   # foods are in order of their ids
+            row, rank = np.nonzero(np.take_along_axis(nine, first, 1) > -np.inf)
+            column = first[row, rank]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([names[block * ITEMS_AT_ONCE + i] for i in row], fields["q"]), pa.array([held[columns[j]][0] for j in column], fields["fdcId"]),
+                pa.array([pool] * len(row), fields["pool"]), pa.array(some[row, column])], ["q", "fdcId", "pool", "score"])
+
+
+def _nine_decimals(x: np.ndarray) -> np.ndarray:
+    """Billionths, rounded as Spark rounds to nine decimals: halves of the shortest decimal form go up."""
+    scaled = x * 1e9
+    whole = np.floor(scaled + 0.5)
+    close = np.abs(scaled - np.floor(scaled) - 0.5) <= 1e-3 + 4 * np.spacing(scaled)
+    whole[close] = [float((Decimal(repr(v)) * 10**9).to_integral_value(ROUND_HALF_UP)) for v in x[close].tolist()]
+    return whole
+
+
 def candidate_lists(items: DataFrame, retrieved: DataFrame, foods: DataFrame, rules: FoodRules = FoodRules()) -> DataFrame:
     """Candidates of each item as one list, single foods first; at most two pools of ``per_pool``."""
     record = F.struct(F.when(F.col("pool") == "single", 0).otherwise(1).alias("o"), "rank", "fdcId", "dataType",

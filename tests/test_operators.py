@@ -209,6 +209,56 @@ def test_retrieval_is_the_same_whatever_counts_as_common(spark, common_df):
             assert all(math.isclose(h[2], w[2], abs_tol=1e-8) for h, w in zip(have, want))
 
 
+@pytest.mark.parametrize("at_once", [(3, 5), (1024, 2048)])
+def test_the_closest_foods_of_a_task_are_those_of_all_pairs(monkeypatch, at_once):
+    """Scores by blocks of items and foods; ids on several rows or null, equal scores, and shares of zero."""
+    import pyarrow as pa
+    from larderline.operators import retrieval
+    monkeypatch.setattr(retrieval, "ITEMS_AT_ONCE", at_once[0])
+    monkeypatch.setattr(retrieval, "FOODS_AT_ONCE", at_once[1])
+    rng = random.Random(8)
+    vocab = [f"w{k}" for k in range(12)]
+    share = {t: rng.choice([0.0, 0.5, rng.random()]) for t in vocab}
+    items = [(f"q{k}", sorted(rng.sample(vocab, rng.randint(1, 4)))) for k in range(7)]
+    foods = sorted([(rng.choice([-1, *range(20)]), rng.choice(["dish", "single"]), rng.sample([*vocab, "x"], rng.randint(0, 5))) for _ in range(40)], key=lambda x: x[:2])
+    rows = [(q, [share[t] for t in ts], None, None, " ".join(ts)) for q, ts in items]
+    rows += [(None, None, None if i < 0 else i, pool, " ".join(ts)) for i, pool, ts in foods]
+    types = [("q", pa.string()), ("s", pa.list_(pa.float64())), ("fdcId", pa.int64()), ("pool", pa.string()), ("words", pa.string())]
+    table = pa.Table.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), types)], [n for n, _ in types])
+    found = [r for b in retrieval._closest(2)(table.to_batches(max_chunksize=9)) for r in b.to_pylist()]
+    for q, ts in items:
+        for pool in ("dish", "single"):
+            all_words = {i: sorted(t for j, p, words in foods if (j, p) == (i, pool) for t in words if t in ts) for i, p, _ in foods if p == pool}
+            want = sorted((-round(sum(share[t] for t in words), 9), i) for i, words in all_words.items() if words)[:2]
+            got = sorted((-round(r["score"], 9), -1 if r["fdcId"] is None else r["fdcId"]) for r in found if (r["q"], r["pool"]) == (q, pool))[:2]
+            assert [x for _, x in got] == [x for _, x in want] and all(math.isclose(a[0], b[0], abs_tol=1e-9) for a, b in zip(got, want)), (q, pool)
+
+
+def test_billionths_are_rounded_as_spark_rounds(spark):
+    import numpy as np
+    from larderline.operators.retrieval import _nine_decimals
+    rng = random.Random(1)
+    values = [0.0, 1.0000000005, 0.0000000015, 123.4567891235, 17.0000000025] + [round(rng.random() * 100, 10) for _ in range(500)]
+    want = [r.v for r in spark.createDataFrame([(v,) for v in values], "x double").select(F.round("x", 9).alias("v")).collect()]
+    assert [round(n) for n in _nine_decimals(np.array(values)).tolist()] == [round(w * 1e9) for w in want]
+
+
+def test_retrieval_moves_the_best_of_each_task_and_no_pairs(spark, monkeypatch):
+    """400 foods that all share a word with 20 items; an id on two rows is one food, with its words counted twice."""
+    from larderline.operators import retrieval
+    seen, first = [], retrieval.first_rows
+    monkeypatch.setattr(retrieval, "first_rows", lambda df, *a: (seen.append(df.count()), first(df, *a))[1])
+    foods = spark.createDataFrame([(i, "dish", f"raw oil{'x' * (i % 7)}") for i in range(400)] + [(7, "dish", "raw"), (None, "dish", "salt")],
+                                  "fdcId long, pool string, description string")
+    items = spark.createDataFrame([(i, "", "raw" + " pie" * (i % 2) + " salt" * (i == 3) + f" i{'y' * i}", "") for i in range(20)], "id long, section string, name string, description string")
+    got = {(r.id, r["rank"]): (r.fdcId, round(r.score, 6)) for r in retrieval.retrieve(items, foods).collect()}
+    raw = math.log(402 / 401)
+    assert all(got[i, n] == (n - 2, round(raw, 6)) for i in range(20) if i != 3 for n in range(2, 9))
+    assert all(got[i, 1] == (7, round(2 * raw, 6)) for i in range(20) if i != 3)
+    assert got[3, 1] == (None, round(math.log(402), 6)) and got[3, 2] == (7, round(2 * raw, 6))
+    assert sum(seen) <= 20 * 8 * int(spark.conf.get("spark.sql.shuffle.partitions")) < 20 * 400
+
+
 PLACE = "key string, name string, addr string, lat double, lon double"
 BIZ = "dataset string, business_id string, name string, address string, postal string, lat double, lon double"
 
