@@ -395,6 +395,16 @@ def test_other_names_at_an_address_and_equal_rows_form_no_pairs(spark, monkeypat
     assert sum(seen) < 400
 
 
+def test_a_pair_is_judged_once_when_accepted_pairs_are_asked_for(spark):
+    """The distance and the words that two names share are worked out once, however many filters ask for them."""
+    from larderline.operators.matching import _decide
+    pairs = spark.createDataFrame([], "pc int, p_set array<string>, b_set array<string>, p_joined string, b_joined string, p_street string, b_street string, "
+                                  "p_located boolean, b_located boolean, p_lat double, p_lon double, b_lat double, b_lon double, postal string, p_best long, b_best long, ratio double")
+    accepted = _decide(pairs.repartition(2), MatchRules()).filter(F.col("confidence").isNotNull()).select("pc", "kind", "confidence", "d")
+    plan = accepted._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("asin(") == 1 and plan.count("array_intersect(") == 1
+
+
 def test_repeated_and_missing_ids_of_a_match(spark):
     """A key or an id on several rows counts each of them; rows without an id are siblings only."""
     place, other = ("Golden Lantern", "", 37.79, -122.4), ("Crab Shack", "", 37.79, -122.4)
