@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larderline.config import SURVEY, FoodRules
-from larderline.functions.text import alias_words, search_tokens, short_number
+from larderline.functions.text import alias_words, distinct_search_tokens, search_tokens, short_number
 from larderline.operators.ordering import each, first_rows
 from larderline.session import cut, spread
 
@@ -59,7 +59,7 @@ def retrieve(items: DataFrame, foods: DataFrame, rules: FoodRules = FoodRules())
     keyed = items.withColumn("q", q)
     texts = with_weights(keyed.select("q", "section", "name", "description").dropDuplicates(["q"]), "tw", rules)
     foods = foods.select("fdcId", "pool", "description")
-    tokens = lambda: F.array_distinct(search_tokens(F.col("description"), rules.prefix_length))
+    tokens = lambda: distinct_search_tokens(F.col("description"), rules.prefix_length)
     total = foods.agg(F.count(F.lit(1))).scalar()
     df = each(spread(foods.select("description")), tokens(), "token").groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     idf = df.select("token", F.log(total / F.col("df")).alias("idf"))
