@@ -10,6 +10,7 @@ whose shingles have a Jaccard similarity of ``similar`` or more, worked out exac
 
 from __future__ import annotations
 
+import math
 from collections import deque
 from dataclasses import dataclass
 from typing import Iterator
@@ -36,6 +37,10 @@ class CopyRules:
     bitmap_bits: int = 23        # 2**bits flags of candidates go to the tasks: a fixed size, which only spares rows
     rounds: int = 2              # in which the first text of a region is compared with all others at once
 
+    def near(self, both, m, n):
+        """Whether sets of ``m`` and ``n`` shingles with ``both`` in common are similar enough (numbers or columns)."""
+        return both >= self.similar * (m + n - both) - 1e-9
+
 
 def word_hashes(text: bytes | None) -> np.ndarray:
     """64-bit hashes of the words, A-Z lower-cased."""
@@ -87,18 +92,29 @@ def close(p: np.ndarray, c: np.ndarray, i, j, rules: CopyRules) -> np.ndarray:
 
 
 def walked(p: np.ndarray, c: np.ndarray, home: np.ndarray, rules: CopyRules) -> tuple[list[int], list[int]]:
-    """Links that hold the candidates of one cell together: a walk that reaches each text once."""
+    """Links that hold the candidates of one cell together: a walk that reaches each text once.
+
+    A step looks at the fingerprints of shingles of all texts that aren't reached yet, in one piece of memory; those of
+    unrelated texts differ in half of their bits, so the other checks see few.
+    """
     a: list[int] = []
     b: list[int] = []
-    open_ = np.ones(len(p), bool)
-    for seed in np.flatnonzero(home):
+    open_, left, bits, shut = np.ones(len(p), bool), np.arange(len(p)), c, 0
+    for seed in np.flatnonzero(home).tolist():
         if not open_[seed]:
             continue
-        open_[seed], queue = False, deque([int(seed)])
+        open_[seed], queue = False, deque([seed])
+        shut += 1
         while queue:   # in order, so that the same few texts hold a crowd together in all cells
-            at, rest = queue.popleft(), np.flatnonzero(open_)
-            rest = rest[close(p, c, at, rest, rules)]
+            if 8 * shut > len(left):   # reached texts leave the piece of memory now and then
+                left = left[open_[left]]
+                bits, shut = c[left], 0
+            at = queue.popleft()
+            rest = left[np.bitwise_count(bits ^ c[at]) <= rules.shingle_bits]
+            rest = rest[open_[rest]]
+            rest = rest[close(p, c, at, rest, rules)] if len(rest) else rest
             open_[rest] = False
+            shut += len(rest)
             a += [at] * len(rest)
             b += rest.tolist()
             queue.extend(rest.tolist())
@@ -159,14 +175,49 @@ def majority(c: Column) -> Column:
     return out
 
 
+class Held:
+    """The sets of the texts of a region that stay, found by their smallest hashes.
+
+    Two near copies share 0.8 of the hashes of either at least, so the smallest hash that they share is among the first
+    fifth or so of both: a new text is compared with those texts only that share one of these.
+    """
+
+    def __init__(self, rules: CopyRules):
+        self.rules = rules
+        self.sets: list[np.ndarray] = []
+        self.having: dict[int, list[int]] = {}
+
+    def takes(self, found: np.ndarray) -> bool:
+        """Whether a text, of whose set ``found`` are the sorted hashes, has no near copy here; it is held then."""
+        first = found[:len(found) - max(math.ceil(self.rules.similar * len(found) - 1e-6), 1) + 1].tolist() or [None]
+        seen: set[int] = set()
+        for x in first:
+            for k in self.having.get(x, ()):
+                if k in seen:
+                    continue
+                seen.add(k)
+                other, m = self.sets[k], len(found)
+                if self.rules.near(min(m, len(other)), m, len(other)) and self.rules.near(shared(found, other), m, len(other)):
+                    return False
+        for x in first:
+            self.having.setdefault(x, []).append(len(self.sets))
+        self.sets.append(found.copy())
+        return True
+
+
+def shared(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two sorted arrays of different values have in common."""
+    at = np.searchsorted(b, a)
+    return int((b[np.minimum(at, len(b) - 1)] == a).sum()) if len(b) else 0
+
+
 def kept_of(members: DataFrame, rules: CopyRules) -> DataFrame:
     """k1, k2 of the texts that stay, of ``members``: root, at (their order in the region), k1, k2, set.
 
     In each round the first text of a region stays, and those near it go; a crowd around one text is settled by that.
-    The rest passes in order, a region at a time, and only the texts that stay are held.
+    The rest passes in order, a region at a time, and only the texts that stay are held (``Held``).
     """
     order = ["at", "k1", "k2"]
-    near = lambda both, m, n: both >= rules.similar * (m + n - both) - 1e-9
     kept = None
     for _ in range(rules.rounds):
         first = members.groupBy("root").agg(F.min(F.struct(*order)).alias("f"))
@@ -174,19 +225,17 @@ def kept_of(members: DataFrame, rules: CopyRules) -> DataFrame:
         lead = cut(lead)
         kept = lead.select(F.col("l1").alias("k1"), F.col("l2").alias("k2")) if kept is None else kept.union(lead.select("l1", "l2"))
         both = F.size(F.array_intersect("set", "lead"))
-        rest = members.join(lead, "root").filter(~((F.col("k1") == F.col("l1")) & (F.col("k2") == F.col("l2"))) & ~near(both, F.size("set"), F.size("lead")))
+        rest = members.join(lead, "root").filter(~((F.col("k1") == F.col("l1")) & (F.col("k2") == F.col("l2"))) & ~rules.near(both, F.size("set"), F.size("lead")))
         members = cut(rest.select("root", *order, "set"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        now, held = None, Held(rules)
         for batch in batches:
-            out = []
-            for k, (root, found) in enumerate(zip(batch.column("root").to_pylist(), batch.column("set").to_pylist())):
+            out, sets = [], batch.column("set")
+            for k, root in enumerate(batch.column("root").to_pylist()):
                 if root != now:
-                    now, held = root, []
-                mine = set(found)
-                if not any(near(len(mine & other), len(mine), len(other)) for other in held):
-                    held.append(mine)
+                    now, held = root, Held(rules)
+                if held.takes(sets[k].values.to_numpy()):
                     out.append(k)
             yield batch.select(["k1", "k2"]).take(pa.array(out, pa.int64()))
 

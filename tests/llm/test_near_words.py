@@ -1,9 +1,11 @@
 """One document of each group of near copies, against all pairs."""
 
 import random
+import time
 from dataclasses import replace
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 from larderline.llm import near_words
@@ -98,3 +100,53 @@ def test_recall_on_the_driver_table(spark):
     assert len(pairs) >= 40 and found >= 0.9 * len(pairs)
     partners = {k for p in pairs for k in p}
     assert all(ids[k] in kept for k in range(len(ids)) if k not in partners)
+
+
+def test_many_unlike_texts_of_a_region_take_little_time():
+    rng = np.random.default_rng(4)
+    sets = [np.sort(rng.integers(-2**62, 2**62, 300)) for _ in range(2000)]
+    sets += [np.union1d(sets[k][30 * (k % 3):], rng.integers(-2**62, 2**62, 10)) for k in range(0, 2000, 40)] + [sets[7], sets[0][:0], sets[0][:0]]
+    began, held = time.process_time(), near_words.Held(CopyRules())
+    got = [held.takes(s) for s in sets]
+    assert time.process_time() - began < 5   # each with all that stay: 25 s
+    want, stay = [], []
+    for s in map(lambda x: set(x.tolist()), sets[:150] + sets[2000:]):
+        want.append(not any(len(s & t) >= 0.8 * len(s | t) - 1e-9 for t in stay))
+        stay += [s] if want[-1] else []
+    held = near_words.Held(CopyRules())
+    assert [held.takes(s) for s in sets[:150] + sets[2000:]] == want
+    assert got[:2000] == [True] * 2000 and 0 < sum(got[2000:]) < 40 and got[-2:] == [True, False]
+
+
+def test_a_crowded_cell_is_walked_as_by_loops():
+    rng = np.random.default_rng(5)
+
+    def turned(x, k):
+        for _ in range(k):
+            x = x ^ (np.uint64(1) << rng.integers(0, 64, len(x)).astype(np.uint64))
+        return x
+
+    def cell(n):
+        p, c = turned(np.repeat(rng.integers(0, 2**63, 1, dtype=np.uint64), n), 4), rng.integers(0, 2**63, n, dtype=np.uint64)
+        c[n // 2:] = turned(c[rng.integers(0, n // 3, n - n // 2)], 8)
+        return p, c, rng.random(n) < 0.5
+
+    p, c, home = cell(300)
+    open_, want = set(range(300)), []
+    for seed in np.flatnonzero(home).tolist():
+        queue = [seed] if seed in open_ else []
+        open_ -= set(queue)
+        for at in queue:
+            found = [k for k in sorted(open_) if near_words.close(p, c, np.array([at]), np.array([k]), CopyRules())[0]]
+            open_ -= set(found)
+            want += [(at, k) for k in found]
+            queue += found
+    assert list(zip(*near_words.walked(p, c, home, CopyRules()))) == want and len(want) > 50
+    p, c, home = cell(30000)
+    began = time.process_time()
+    near_words.walked(p, c, home, CopyRules())
+    spent = time.process_time() - began
+    began = time.process_time()
+    for at in range(0, 30000, 100):   # one look in a hundred, at all fingerprints anew
+        near_words.close(p, c, at, np.arange(30000), CopyRules())
+    assert spent < 20 * (time.process_time() - began)
