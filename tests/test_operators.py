@@ -504,3 +504,21 @@ def test_long_votes_follow_the_rule_of_samples(spark):
     listed = long.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("ord", "c", "p"))).alias("s"))
     one = listed.select("key", V.route_choice(F.col("s"), F.lit(3), 2, 2).alias("r")).select("key", "r.*")
     assert sorted(map(repr, one.collect())) == sorted(map(repr, V.route_choices(long, "key", F.lit(3), 2, 2).select(*one.columns).collect()))
+
+
+def test_pairs_of_many_ids_are_spelled_out_from_lists(spark, monkeypatch):
+    """Lists of a few ids, names at an address and names without, ids that come twice; no join has a row for each pair."""
+    from larderline.operators import matching
+    monkeypatch.setattr(matching, "IDS_HELD", 3)
+    at, off = ("Golden Lantern", "5 Elm St"), ("Crab Shack", "")
+    p = spark.createDataFrame([(f"k{i:02}", *(at if i % 2 else off), 37.79, -122.4) for i in range(40)] * 2, PLACE)
+    b = spark.createDataFrame([("d", f"{i:02}", *(at if i % 2 else off), "94133", 37.79, -122.4) for i in range(60)] + [("d", "01", *at, "94133", 37.79, -122.4)], BIZ)
+    out = match(p, b).matches
+    got = Counter((r.key, r.business_id, r.kind, r.confidence, r.addr_note) for r in out.collect())
+    assert got == {(f"k{i:02}", f"{j:02}", "exact", *(("name+address", "match") if i % 2 else ("name-only", None))): 4 if j == 1 else 2
+                   for i in range(40) for j in range(60) if i % 2 == j % 2}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    top = plan[:plan.index("Join")]
+    assert top.count("Generate") >= 2 and "inline" in top.lower()   # the ids come out of their lists above all joins
+
+
