@@ -522,3 +522,34 @@ def test_pairs_of_many_ids_are_spelled_out_from_lists(spark, monkeypatch):
     assert top.count("Generate") >= 2 and "inline" in top.lower()   # the ids come out of their lists above all joins
 
 
+def test_names_spelled_alike_meet_at_an_address_or_near_place_only(spark):
+    """120 numbers that differ in one digit, each at an address of its own, far from each other; registrations of one more digit beside them."""
+    number = lambda i: f"12{i // 10:02}{i % 10}77"
+    p = spark.createDataFrame([(f"k{i:03}", number(i), f"{i + 1} Elm St", 37.0 + i / 20, -122.4) for i in range(120)], PLACE)
+    b = spark.createDataFrame([("d", f"a{i:03}", number(i)[:-1] + "8", f"{i + 1} Elm St", "94999", None, None) for i in range(0, 120, 2)]
+                              + [("d", f"n{i:03}", number(i) + "5", "", "94999", 37.0 + i / 20 + 0.0005, -122.4) for i in range(1, 120, 2)], BIZ)
+    out = match(p, b)
+    assert {(r.l, r.r) for r in out.near.select("l", "r").collect()} == (
+        {(number(i), number(i)[:-1] + "8") for i in range(0, 120, 2)} | {(number(i), number(i) + "5") for i in range(1, 120, 2)})
+    assert sorted((r.key, r.business_id, r.kind) for r in out.matches.collect()) == [(f"k{i:03}", f"a{i:03}", "fuzzy") for i in range(0, 120, 2)]
+
+
+@pytest.mark.parametrize("few", [0, 2, 50])
+def test_near_spellings_at_one_of_few_or_many_places(spark, monkeypatch, few):
+    import difflib
+    from larderline.operators import matching
+    monkeypatch.setattr(matching, "FEW_AREAS", few)
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abc", k=rng.randint(5, 9))) for _ in range(40)]
+    side = lambda: [(t, a) for t in texts for a in rng.sample(range(30), rng.choice([1, 2, 9]))] + [("abcab", None), (None, 3)]
+    left, right = side(), side()
+    got = near_spellings(spark.createDataFrame(left, "l string, at long"), spark.createDataFrame(right, "r string, at long"), 0.85).collect()
+    met = {(x, y) for x, a in left for y, b in right if x and y and a is not None and a == b and x != y}
+    alike = lambda x, y: difflib.SequenceMatcher(None, x, y).ratio()
+    found = {(r.l, r.r): r.ratio for r in got}
+    assert {(x, y) for x, y in met if alike(x, y) >= 0.85} <= set(found) and len(found) == len(got)
+    assert all(abs(alike(x, y) - r) < 1e-12 and r >= 0.85 for (x, y), r in found.items())
+    if few == 50:
+        assert set(found) <= met
+
+
